@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DecimalType
 
 
 def _col(x: Column | str) -> Column:
@@ -11,19 +10,20 @@ def _col(x: Column | str) -> Column:
 
 
 def exact_sum(x: Column | str, weight: Column | None = None, scale: int = 4) -> Column:
-    """Sum of a double column, added up as decimals so that partitioning cannot change it.
+    """Sum of a double column that does not depend on the order in which rows are added.
 
-    ``weight`` counts each row that many times. A group holding a value that has no such decimal
-    (NaN, infinity, beyond 1e14) falls back to the plain double sum, so such values still show.
+    Values are added up as whole units of the last decimal place, in 64-bit integers. ``weight``
+    counts each row that many times. Where a group holds a value without such units (NaN,
+    infinity) or its sum outgrows them (9e14 at four places), the plain double sum stands.
     """
     x = _col(x)
-    exact = x.try_cast(DecimalType(18, scale))
-    if weight is None:
-        total, plain = F.sum(exact), F.sum(x)
-    else:
-        total = F.sum(exact * weight.cast(DecimalType(18, 0)))
-        plain = F.sum(x * weight)
-    return F.when(F.count(x) == F.count(exact), total.cast("double")).otherwise(plain)
+    power = float(10 ** scale)
+    units = F.rint(x * power).try_cast("bigint")
+    plain = F.sum(x)
+    if weight is not None:
+        units, plain = F.try_multiply(units, weight), F.sum(x * weight)
+    exact = F.try_sum(units).cast("double") / power
+    return F.coalesce(F.when(F.count(x) == F.count(units), exact), plain)
 
 
 def mean(x: Column | str, weight: Column | None = None, scale: int = 4) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.domains import STREAM_STATUSES, UNKNOWN_STATUS
@@ -15,18 +18,22 @@ _STRICT = {"allowSingleQuotes": "false"}
 
 
 def _parse(text: Column) -> Column:
-    """The message as an array of one struct, or NULL if it is not exactly one JSON object.
+    """The message's objects as an array, NULL if it is no JSON.
 
-    Read between brackets, so that anything left over after the object is an error.
+    Read between brackets, so that anything left over after an object is an error.
     """
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _MESSAGE, _STRICT)
-    return F.when(F.is_valid_utf8(text) & (F.size(parsed) == 1), parsed)
+    bracketed = F.concat(F.lit("["), text, F.lit("]"))
+    return F.when(F.is_valid_utf8(text), F.from_json(bracketed, _MESSAGE, _STRICT))
+
+
+def _any_null(message: Column, fields: tuple[str, ...]) -> Column:
+    return reduce(or_, (message[f].isNull() for f in fields))
 
 
 def _lacks_field(text: Column, message: Column) -> Column:
     """A required field is absent. A field given as null is present; only messages in which
     something is null are parsed again to tell the two apart."""
-    some_null = F.greatest(*(message[f].isNull() for f in REQUIRED))
+    some_null = _any_null(message, REQUIRED)
     given = F.map_keys(F.from_json(text, "map<string,string>", _STRICT))
     return some_null & (F.size(F.array_except(F.array(*map(F.lit, REQUIRED)), given)) > 0)
 
@@ -34,14 +41,17 @@ def _lacks_field(text: Column, message: Column) -> Column:
 def assess(messages: DataFrame, reject_nan: bool = False) -> DataFrame:
     """Every message with its cleaned fields and, if it is not usable, the reason.
 
-    ``messages`` has a text or binary column ``value``. Generating the parsed struct, instead of
-    projecting it, keeps filters above from parsing the text a second time.
+    ``messages`` has a text or binary column ``value``. The parsed object is generated from its
+    array rather than projected: Spark would push a filter below a projection and parse the text
+    once for the filter and once for the fields. A message must hold exactly one object.
     """
     text = F.col("value").cast("string")
     m = F.col("message")
     status = F.lower(strip(m["status"]))
+    one = F.when(F.size("objects") == 1, F.col("objects"))
     cleaned = (
-        messages.select("value", F.explode_outer(_parse(text)).alias("message"))
+        messages.select("value", _parse(text).alias("objects"))
+        .select("value", F.explode_outer(one).alias("message"))
         .select(
             "value", "message",
             *(strip(m[f]).alias(f) for f in IDS),
@@ -53,7 +63,7 @@ def assess(messages: DataFrame, reject_nan: bool = False) -> DataFrame:
     reason = (
         F.when(m.isNull(), "bad_json")
         .when(_lacks_field(text, m), "missing_field")
-        .when(F.greatest(*(m[f].isNull() for f in IDS)), "null_key")
+        .when(_any_null(m, IDS), "null_key")
         .when(amount.isNull(), "bad_amount")
         .when(amount < 0, "negative_amount"))
     if reject_nan:

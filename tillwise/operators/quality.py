@@ -6,12 +6,11 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DecimalType
 
 from tillwise.functions.domains import (
     ACCEPTED, CATEGORY_PRICE_BAND, PAGE_DURATION_BAND, inside, region_of,
 )
-from tillwise.functions.numbers import round_to
+from tillwise.functions.numbers import exact_sum, round_to
 from tillwise.functions.times import moment
 from tillwise.operators.dimensions import first_per_key
 from tillwise.operators.skew import join_per_key
@@ -98,8 +97,8 @@ def order_total_check(orders: DataFrame, items: DataFrame, tolerance: float = 0.
     Equal order rows come out once with their number in ``copies``: both sides of the join are
     aggregated, so neither a repeated order nor an order with very many items is a hot key.
     """
-    line = round_to(F.col("unit_price") * F.col("quantity"), 2).cast(DecimalType(18, 2))
-    per_order = items.groupBy("order_id").agg(F.sum(line).cast("double").alias("items_total"))
+    line = round_to(F.col("unit_price") * F.col("quantity"), 2)
+    per_order = items.groupBy("order_id").agg(exact_sum(line, scale=2).alias("items_total"))
     stated = orders.groupBy("order_id", "total_amount").agg(F.count("*").alias("copies"))
     difference = F.col("total_amount") - F.col("items_total")
     return (stated.join(per_order, "order_id")

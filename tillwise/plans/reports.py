@@ -42,9 +42,10 @@ def country_distribution(clients: DataFrame) -> DataFrame:
     """Clients per country, most first; NULL is no country but counts in the total."""
     counted = clients.groupBy("country").agg(F.count("*").alias("nb_clients"))
     # The window sees one row per country.
-    everyone = F.sum("nb_clients").over(Window.partitionBy())
-    return (counted.withColumn("pct", round_to(F.col("nb_clients") / everyone * 100, 1))
+    return (counted.withColumn("everyone", F.sum("nb_clients").over(Window.partitionBy()))
             .filter(F.col("country").isNotNull())
+            .select("country", "nb_clients",
+                    round_to(F.col("nb_clients") / F.col("everyone") * 100, 1).alias("pct"))
             .orderBy(F.desc("nb_clients"), "country"))
 
 

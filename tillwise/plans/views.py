@@ -35,11 +35,11 @@ def revenue_by_region(orders: DataFrame, clients: DataFrame) -> DataFrame:
              mean(amount, copies).alias("basket")))
     # The window sees one row per country, region and month, not the orders.
     whole = F.sum("total").over(Window.partitionBy())
-    return by_month.select(
+    return by_month.withColumn("whole", whole).select(
         "country", "region", "month", "nb_orders",
         round_to("total", 2).alias("revenue"),
         round_to("basket", 2).alias("avg_basket"),
-        round_to(F.try_divide("total", whole), 4).alias("pct_global_revenue"))
+        round_to(F.try_divide("total", "whole"), 4).alias("pct_global_revenue"))
 
 
 def inactive_clients(orders: DataFrame, clients: DataFrame,
