@@ -1,0 +1,194 @@
+from datetime import date
+
+import pytest
+from rows import by, client, item, order, product, table, ts
+
+from tillwise.plans import catalog, reports, views
+
+
+def test_revenue_leaves_out_cancelled_and_null_status(spark):
+    orders = table(spark, "orders", order("1", "a", 10.0), order("2", "a", 5.0, status=None),
+                   order("3", "a", 7.0, status="Cancelled"), order("4", "x", 9.0),
+                   order("5", "a", None))
+    [row] = views.revenue_by_region(orders, table(spark, "clients", client("a"))).collect()
+    assert (row.nb_orders, row.revenue, row.avg_basket, row.pct_global_revenue) == (2, 10.0, 10.0, 1.0)
+    assert row.month == ts("2024-01-01")
+
+
+def test_repeated_rows_count_in_sums_but_not_in_distinct_counts(spark):
+    orders = table(spark, "orders", order("1", "a", 10.0), order("1", "a", 10.0),
+                   order("2", "b", 5.0))
+    clients = table(spark, "clients", client("a"), client("a"), client("a"),
+                    client("b", country="Canada"))
+    rows = by(views.revenue_by_region(orders, clients), "country")
+    assert (rows["France"]["nb_orders"], rows["France"]["revenue"]) == (1, 60.0)
+    assert rows["France"]["pct_global_revenue"] == round(60 / 65, 4)
+    assert sum(r["pct_global_revenue"] for r in rows.values()) == pytest.approx(1, abs=1e-4)
+
+
+def test_one_client_id_in_two_countries_counts_in_both(spark):
+    clients = table(spark, "clients", client("a"), client("a", country="Canada"), client("a"))
+    rows = by(views.revenue_by_region(table(spark, "orders", order("1", "a", 10.0)), clients),
+              "country")
+    assert (rows["France"]["revenue"], rows["Canada"]["revenue"]) == (20.0, 10.0)
+
+
+def test_inactive_needs_more_than_sixty_whole_days(spark):
+    orders = table(
+        spark, "orders",
+        order("1", "a", 1.0, order_date=ts("2024-01-01 00:00:00")),
+        order("2", "b", 2.0, order_date=ts("2023-12-31 00:00:00")),
+        order("3", "c", 3.0, order_date=ts("2023-12-31 01:00:00")),
+        order("4", "d", 4.0, order_date=ts("2023-12-01 00:00:00")),
+        order("5", "d", 4.0, order_date=ts("2023-12-02 00:00:00"), status="Cancelled"))
+    clients = table(spark, "clients", *(client(c) for c in "abcde"), client("b"))
+    result = views.inactive_clients(orders, clients, "2024-03-01 00:00:00").collect()
+    assert [(r.client_id, r.days_inactive) for r in result] == [("d", 91), ("b", 61), ("b", 61)]
+
+
+def test_inactive_defaults_to_now(spark):
+    orders = table(spark, "orders", order("1", "a", 1.0))
+    assert views.inactive_clients(orders, table(spark, "clients", client("a"))).count() == 1
+
+
+def test_products_with_equal_revenue_share_a_rank(spark):
+    items = table(spark, "order_items", item("1", "p", 2, 10.0), item("1", "q", 1, 20.0),
+                  item("2", "r", 1, 5.0), item("2", "s", 1, 1.0), item("9", "p", 1, 1.0))
+    products = table(spark, "products", product("p"), product("q"), product("r"),
+                     product("s", "Storage"))
+    orders = table(spark, "orders", order("1", "a", 1.0), order("2", "a", 1.0, status="Cancelled"))
+    rows = by(views.top_products(items, products, orders), "product_id")
+    assert {k: r["rank_in_category"] for k, r in rows.items()} == {"p": 1, "q": 1, "r": 3, "s": 1}
+    assert (rows["r"]["cancellation_rate"], rows["p"]["cancellation_rate"]) == (1.0, 0.0)
+    assert rows["p"]["qty_sold"] == 2.0  # the item of order 9 has no order
+
+
+def test_products_follow_the_plain_join_on_repeated_rows(spark):
+    """Orders with several rows and statuses, products listed twice: the same as pairing rows."""
+    items = table(spark, "order_items", item("1", "p", 2, 10.0), item("1", "p", 1, 4.0),
+                  item("2", "p", 1, None), item("2", "q", 3, 1.0))
+    products = table(spark, "products", product("p"), product("p"), product("q"))
+    orders = table(spark, "orders", order("1", "a", 1.0), order("1", "a", 1.0, status="Cancelled"),
+                   order("2", "a", 1.0), order("2", "a", 1.0, status=None))
+    for name, df in {"i": items, "p": products, "o": orders}.items():
+        df.createOrReplaceTempView(name)
+    plain = spark.sql("""
+        SELECT p.product_id, count(DISTINCT i.order_id) nb_orders, sum(quantity) qty_sold,
+               round(sum(quantity * i.unit_price), 2) revenue, round(avg(i.unit_price), 2) avg_price,
+               round(count_if(o.status = 'Cancelled') / count(*), 4) cancellation_rate
+        FROM i JOIN p ON i.product_id = p.product_id JOIN o ON i.order_id = o.order_id
+        GROUP BY p.product_id, product_name, p.category""")
+    mine = views.top_products(items, products, orders).select(plain.columns)
+    assert sorted(mine.collect()) == sorted(plain.collect())
+
+
+def test_incident_shares(spark):
+    rows = [{"incident_id": str(i), "category": "Login", "status": s, "priority": p,
+             "resolution_time_h": h}
+            for i, (s, p, h) in enumerate([("Resolved", "Critical", 1.0), (None, None, None),
+                                           ("Escalated", "Low", 4.5), ("Resolved", "Low", None)])]
+    [row] = views.recurring_incidents(table(spark, "incidents", *rows)).collect()
+    assert tuple(row) == ("Login", 4, 2.8, 0.25, 0.25, 0.5)
+
+
+def test_funnel_counts_rows_and_known_users(spark):
+    rows = [{"session_id": "s", "client_id": c, "page": "/home", "duration_seconds": d,
+             "device": v} for c, d, v in [("a", 10.0, "Mobile"), ("a", 20.0, "Desktop"),
+                                          (None, None, None)]]
+    [row] = views.navigation_funnel(table(spark, "page_views", *rows)).collect()
+    assert tuple(row) == ("/home", 3, 1, 15.0, 0.3333, 0.3333, 0.05)
+
+
+def test_weekly_growth(spark):
+    orders = table(
+        spark, "orders",
+        order("1", "a", 100.0, order_date=ts("2024-09-01")),   # Sunday, week of 26 August
+        order("2", "a", 150.0, order_date=ts("2024-09-02")),
+        order("3", "b", 0.0, order_date=ts("2024-09-20")),     # the week between is absent
+        order("4", "b", 10.0, order_date=ts("2024-09-23")))
+    rows = views.weekly_kpis(orders).collect()
+    assert [r.week for r in rows] == [date(2024, 8, 26), date(2024, 9, 2), date(2024, 9, 16),
+                                      date(2024, 9, 23)]
+    assert [r.prev_week_revenue for r in rows] == [None, 100.0, 150.0, 0.0]
+    assert [r.growth_pct for r in rows] == [None, 50.0, -100.0, None]
+
+
+def test_client_without_anything(spark):
+    none = {n: table(spark, n) for n in ("orders", "incidents", "page_views")}
+    [row] = views.client_360(table(spark, "clients", client("a")), **none).collect()
+    assert (row.nb_orders, row.total_revenue, row.avg_basket, row.nb_incidents,
+            row.nb_pageviews) == (0, 0.0, 0.0, 0, 0)
+    assert (row.last_order_date, row.value_score, row.client_segment) == (None, None, "At risk")
+
+
+@pytest.mark.parametrize("amount, segment", [
+    (396.0, "Regular"), (396.02, "VIP"), (96.0, "At risk"), (96.02, "Regular")])
+def test_segment_edges(spark, amount, segment):
+    """With one order the worth is half the amount plus 2; 200 and 50 are not above the line."""
+    incidents = table(spark, "incidents", {"incident_id": "1", "client_id": "a"},
+                      {"incident_id": "2", "client_id": "a"}, {"incident_id": "3"})
+    [row] = views.client_360(
+        table(spark, "clients", client("a")), table(spark, "orders", order("1", "a", amount)),
+        incidents, table(spark, "page_views", {"session_id": "s", "client_id": "a"},
+                         {"session_id": "t"})).collect()
+    assert row.client_segment == segment
+    assert row.value_score == round(amount * 0.5 + 12, 2)
+    assert (row.nb_incidents, row.nb_pageviews) == (2, 1)
+
+
+def test_client_360_keeps_every_client_row(spark):
+    clients = table(spark, "clients", client("a"), client("a"), client("b"),
+                    client(None))
+    orders = table(spark, "orders", order("1", "a", 10.0), order("1", "a", 10.0),
+                   order("2", None, 5.0))
+    rows = views.client_360(clients, orders, table(spark, "incidents"),
+                            table(spark, "page_views")).collect()
+    assert sorted((r.client_id or "", r.nb_orders, r.total_revenue) for r in rows) == [
+        ("", 0, 0.0), ("a", 1, 20.0), ("a", 1, 20.0), ("b", 0, 0.0)]
+
+
+def test_top_customers(spark):
+    clients = table(spark, "clients", client("a"), client("a"), client("b"), client("c"),
+                    client("d", first_name=None))
+    orders = table(spark, "orders", order("1", "a", 10.0), order("2", "b", 30.0),
+                   order(None, "b", 1.0), order("4", "d", 99.0))
+    rows = reports.top_customers(clients, orders, k=3).collect()
+    assert [tuple(r) for r in rows] == [("d", None, "France", 1, 99.0),
+                                        ("b", "Ann b", "France", 1, 31.0),
+                                        ("a", "Ann a", "France", 2, 20.0)]
+    everyone = by(reports.top_customers(clients, orders), "client_id")
+    assert (everyone["c"]["num_orders"], everyone["c"]["total_spent"]) == (0, None)
+
+
+def test_report_figures(spark):
+    clients = table(spark, "clients", client("a"), client("b"), client("c", country=None))
+    orders = table(spark, "orders", order("1", "a", 10.0), order("2", "a", None, status=None))
+    assert [tuple(r) for r in reports.country_distribution(clients).collect()] == [
+        ("France", 2, 66.7)]
+    assert reports.total_revenue(orders).collect()[0][0] == 10.0
+    assert tuple(reports.delivery_rate(orders).collect()[0]) == (1, 2, 50.0)
+    assert by(reports.row_counts({"clients": clients, "orders": orders}), "table_name")[
+        "clients"]["n_rows"] == 3
+    assert reports.delivered_by_region(orders).collect()[0].orders == 1
+
+
+def test_top_products_by_name(spark):
+    items = table(spark, "order_items", item("1", "p", 2, 10.0), item("1", "q", 1, 5.0),
+                  item("2", "gone", 9, 9.0), item("2", "n", 9, 9.0), item("3", "v", 1, None))
+    products = table(spark, "products", product("p"), product("q", product_name="name p"),
+                     product("n", product_name=None), product("v"))
+    rows = reports.top_products_by_name(items, products).collect()
+    assert [tuple(r) for r in rows] == [("name p", 25.0), ("name v", 0.0)]
+
+
+def test_registered_names(spark):
+    tables = {"clients": table(spark, "clients", client("a")),
+              "products": table(spark, "products", product("p")),
+              "orders": table(spark, "orders", order("1", "a", 10.0)),
+              "order_items": table(spark, "order_items", item("1", "p", 1, 10.0)),
+              "incidents": table(spark, "incidents"), "page_views": table(spark, "page_views")}
+    for _ in range(2):  # create, then replace
+        catalog.register(tables, "2025-01-01")
+    for name in [*tables, *catalog.all_views(tables)]:
+        spark.sql(f"SELECT * FROM {name}").collect()
+    assert spark.sql("SELECT revenue FROM v_top_products").collect()[0][0] == 10.0

@@ -113,9 +113,16 @@ def _cleaned(spark, folder):
     return clean.clean_orders(star.order_messages(spark, folder))
 
 
+def _clients(spark, folder):
+    return dim.stored(spark, dim.client_dimension(star.clients(spark, folder)), "clients")
+
+
+def _products(spark, folder):
+    return dim.stored(spark, dim.product_dimension(star.products(spark, folder)), "products")
+
+
 def _dimensions(spark, folder):
-    return (dim.stored(spark, dim.client_dimension(star.clients(spark, folder)), "clients"),
-            dim.stored(spark, dim.product_dimension(star.products(spark, folder)), "products"))
+    return _clients(spark, folder), _products(spark, folder)
 
 
 def event_encode(spark, folder):
@@ -135,13 +142,13 @@ def dimension_first(spark, folder):
 
 
 def orders_join_clients(spark, folder):
-    clients, _ = _dimensions(spark, folder)
-    return enrich.with_clients(_cleaned(spark, folder), clients).drop("processed_at")
+    return enrich.with_clients(_cleaned(spark, folder),
+                               _clients(spark, folder)).drop("processed_at")
 
 
 def orders_join_products(spark, folder):
-    _, products = _dimensions(spark, folder)
-    return enrich.with_products(_cleaned(spark, folder), products).drop("processed_at")
+    return enrich.with_products(_cleaned(spark, folder),
+                                _products(spark, folder)).drop("processed_at")
 
 
 def enriched_union(spark, folder):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -9,32 +12,47 @@ _BAD = "_corrupt_record"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; quotes inside a cell are doubled."""
+    """CSV with a header; quotes inside a cell are doubled, NULL is nothing, empty text is quoted."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def _reader(spark: SparkSession, schema: StructType, quoted_newlines: bool):
     # Files whose cells may hold line breaks cannot be split: each is read by one task. Land
     # large tables as many files, or switch quoted_newlines off where no cell holds one.
+    # NULL is marked by a character no text holds, or quoted empty cells would be NULL as well.
     return (spark.read.schema(schema).option("header", True).option("escape", '"')
-            .option("multiLine", quoted_newlines))
+            .option("nullValue", "\0").option("multiLine", quoted_newlines))
+
+
+def _texts(spark: SparkSession, names: list[str], path: str, quoted_newlines: bool) -> DataFrame:
+    """All cells as text; rows of another width carry their own text in addition."""
+    schema = StructType([StructField(name, StringType()) for name in [*names, _BAD]])
+    # Without pruning: a short row would fit whenever only its first columns are asked for.
+    return (_reader(spark, schema, quoted_newlines).option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", _BAD).csv(path))
 
 
 def load_csv(spark: SparkSession, schema: StructType, path: str,
              quoted_newlines: bool = True) -> DataFrame:
-    """Typed load that fails on the first row that does not fit the schema."""
+    """Typed load; reading a cell that does not fit the schema fails the job."""
     return _reader(spark, schema, quoted_newlines).option("mode", "FAILFAST").csv(path)
 
 
 def load_csv_with_rejects(spark: SparkSession, schema: StructType, path: str,
                           quoted_newlines: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit, and the text of those that do not."""
-    wide = StructType(schema.fields + [StructField(_BAD, StringType())])
-    rows = (_reader(spark, wide, quoted_newlines).option("columnNameOfCorruptRecord", _BAD)
-            .csv(path))
-    fits = F.col(_BAD).isNull()
-    return (rows.filter(fits).drop(_BAD),
-            rows.filter(~fits).select(F.col(_BAD).alias("value"), F.lit("bad_row").alias("reason")))
+    """Rows that fit the schema, and the text of those that do not.
+
+    Cells are cast here and not by the reader, whose verdict on a row depends on the columns a
+    query happens to use.
+    """
+    rows = _texts(spark, schema.fieldNames(), path, quoted_newlines)
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    wrong_cell = reduce(or_, (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+                              for f in schema.fields))
+    reason = F.when(F.col(_BAD).isNotNull(), "bad_width").when(wrong_cell, "bad_value")
+    text = F.coalesce(F.col(_BAD), F.to_csv(F.struct(*schema.fieldNames()), {"escape": '"'}))
+    return (rows.filter(reason.isNull()).select(*typed),
+            rows.filter(reason.isNotNull()).select(text.alias("value"), reason.alias("reason")))
 
 
 def load_by_position(spark: SparkSession, path: str, names: list[str],
@@ -45,9 +63,7 @@ def load_by_position(spark: SparkSession, path: str, names: list[str],
     a reject; rows of another wrong width are kept, as only the first columns matter.
     """
     fields = names + [f"_rest{i}" for i in range(width - len(names))]
-    schema = StructType([StructField(f, StringType()) for f in [*fields, _BAD]])
-    rows = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-            .option("escape", '"').option("columnNameOfCorruptRecord", _BAD).csv(path))
+    rows = _texts(spark, fields, path, quoted_newlines=False)
     short = F.col(_BAD).isNotNull() & F.col(names[-1]).isNull()
     return (rows.filter(~short).select(*names),
             rows.filter(short).select(F.col(_BAD).alias("value"), F.lit("short_row").alias("reason")))
