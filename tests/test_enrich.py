@@ -1,7 +1,7 @@
 import pytest
 from rows import by, client, product, table, ts
 
-from tillwise import schemas
+from tillwise import schemas, scratch
 from tillwise.operators import dimensions, enrich, metrics
 
 
@@ -71,6 +71,6 @@ def test_windows(orders):
 
 def test_stored_dimension_is_a_plain_scan(spark, dims):
     clients, _ = dims
-    stored = dimensions.stored(spark, clients, "clients")
+    stored = scratch.stored(spark, clients, "clients")
     assert sorted(stored.collect()) == sorted(clients.collect())
     assert "Exchange" not in stored._jdf.queryExecution().executedPlan().toString()

@@ -1,8 +1,9 @@
 """Joins with a key that holds most of the rows."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from tillwise.operators.ranking import rank_within
 from tillwise.operators.skew import MAX_HOT_KEYS, hot_keys, join_per_key
 
 
@@ -27,20 +28,29 @@ def values(rows):
     return rows.filter("k is null or k <> '5'").groupBy("k").agg(F.max("row").alias("top"))
 
 
-def test_hot_key_is_found_with_its_share(spark, rows):
-    found = {r.k: r.parts for r in hot_keys(rows, "k").collect()}
-    assert found.keys() - {None} == {"h"}
-    assert found["h"] == 6  # two thirds of eight shuffle partitions, rounded up
+def test_hot_key_is_found_with_its_share(rows):
+    assert hot_keys(rows, "k") == {"h": 6}  # two thirds of eight shuffle partitions, rounded up
+
+
+def test_hot_null_is_found(rows):
+    assert hot_keys(rows.select(F.when(F.col("k") != "h", F.col("k")).alias("k")), "k") == {None: 6}
 
 
 def test_even_keys_are_not_hot(spark):
     df = spark.range(0, 50_000).select(F.col("id").cast("string").alias("k"))
-    assert hot_keys(df, "k").collect() == []
+    assert hot_keys(df, "k") == {}
+    plan = join_per_key(df, df.distinct(), "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice" not in plan
+
+
+def test_nothing_is_not_hot(spark):
+    assert hot_keys(spark.createDataFrame([], "k string"), "k") == {}
 
 
 def test_many_equal_shares_stay_bounded(spark):
     df = spark.range(0, 50_000).select((F.col("id") % 2).alias("k"))
-    assert len(hot_keys(df, "k").collect()) <= MAX_HOT_KEYS
+    assert hot_keys(df, "k") == {0: 4, 1: 4}
+    assert len(hot_keys(df.select((F.col("k") % 500).alias("k")), "k")) <= MAX_HOT_KEYS
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -62,3 +72,19 @@ def test_hot_key_is_spread_over_tasks(no_broadcast, rows, values, how):
         assert max(sizes) < 0.5 * sum(sizes)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_rank_in_bands_is_the_plain_rank(spark):
+    special = [(None, "x", None), (None, "y", 1.0), ("g", "nan", float("nan")), ("g", "n1", None),
+               ("g", "n2", None), ("g", "zero", 0.0), ("g", "minus", -5.0), ("g", "less", -5.5),
+               ("g", "inf", float("inf")), ("g", "-inf", float("-inf")), ("g", "tiny", 1e-9), ("g", "big", 1e17)]
+    n = F.col("id")
+    df = (spark.range(0, 20_000).select(
+        F.when(n % 3 == 0, "g").otherwise((n % 5).cast("string")).alias("grp"),
+        n.cast("string").alias("name"), ((n * 7919) % 5003 / 100.0 + 100).alias("v"))
+        .union(spark.createDataFrame(special, "grp string, name string, v double")))
+    plain = df.withColumn("place", F.rank().over(
+        Window.partitionBy("grp").orderBy(F.desc("v"))).cast("bigint"))
+    mine = rank_within(df, "grp", "v", "place")
+    assert mine.columns == plain.columns
+    assert mine.exceptAll(plain).isEmpty() and plain.exceptAll(mine).isEmpty()

@@ -5,7 +5,7 @@ import json
 import pytest
 from rows import client, product, table
 
-from tillwise import schemas
+from tillwise import schemas, scratch
 from tillwise.operators import clean, dimensions, enrich, metrics, quality
 from tillwise.sources import messages
 from tillwise.streaming import orders as streams
@@ -22,8 +22,8 @@ def body(i: int, **change) -> str:
 def dims(spark):
     clients = table(spark, "clients", client("c0"), client("c1"), client("c1"))
     products = table(spark, "products", product("p0"), product("p1"))
-    return (dimensions.stored(spark, dimensions.client_dimension(clients), "clients"),
-            dimensions.stored(spark, dimensions.product_dimension(products), "products"))
+    return (scratch.stored(spark, dimensions.client_dimension(clients), "clients"),
+            scratch.stored(spark, dimensions.product_dimension(products), "products"))
 
 
 def put(tmp_path, name: str, *texts: str) -> None:

@@ -1,10 +1,13 @@
-"""Dimensions with one row per key, as the enrichment joins need them."""
+"""Dimensions with one row per key, as the enrichment joins need them.
 
-from __future__ import annotations
+Store one (scratch.stored, or a table of your own) before joining: a stream then does not reduce it
+again in every batch, its size is known when Spark chooses between broadcast and sort-merge, and,
+being a plain scan, it lets adaptive execution split a hot key on the other side.
+"""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from __future__ import annotations
 
-from tillwise import scratch
+from pyspark.sql import DataFrame, functions as F
 
 
 def first_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -31,15 +34,3 @@ def product_dimension(products: DataFrame) -> DataFrame:
     return first_per_key(
         products.select("product_id", F.col("product_name").alias("name"), "category"),
         "product_id")
-
-
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write a dimension once to the shared folder and read it from there.
-
-    A stream then does not reduce it again in every batch, its size is known when Spark chooses
-    between broadcast and sort-merge, and, being a plain scan, it lets adaptive execution split a
-    hot key on the other side.
-    """
-    path = scratch.new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ No broadcast hints: Spark broadcasts a dimension while its measured size is belo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tillwise.schemas import CLEANED_ORDERS, ENRICHED_ORDERS, conform
 
@@ -22,10 +22,20 @@ def with_products(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def union_form(orders: DataFrame, clients: DataFrame, products: DataFrame) -> DataFrame:
-    """Both joins one below the other: an order that matches both sides comes twice, once with
-    the client's name and once with the product's."""
-    return with_clients(orders, clients).unionByName(with_products(orders, products),
-                                                     allowMissingColumns=True)
+    """Orders joined with clients and orders joined with products, one below the other: an order
+    that matches both comes twice, once with the client's name and once with the product's.
+
+    Both matches are attached to the order in one pass and then unfolded, so the orders (and with
+    them their messages) are read once and not once per branch.
+    """
+    none = F.lit(None).cast("string")
+    by_client = F.struct("name", "email", none.alias("category")).alias("by_client")
+    by_product = F.struct("name", none.alias("email"), "category").alias("by_product")
+    matched = (orders.join(clients.select("client_id", by_client), "client_id", "left")
+               .join(products.select("product_id", by_product), "product_id", "left"))
+    return (matched
+            .withColumn("match", F.explode(F.array_compact(F.array("by_client", "by_product"))))
+            .select(*orders.columns, "match.*"))
 
 
 def joined_form(orders: DataFrame, clients: DataFrame, products: DataFrame) -> DataFrame:

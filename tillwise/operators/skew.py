@@ -4,42 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tillwise.functions.domains import lookup
+
 MAX_HOT_KEYS = 64
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys that fill more than one fair shuffle partition, with how many they fill.
+def hot_keys(df: DataFrame, key: str) -> dict:
+    """Keys that fill more than one fair shuffle partition, with the number they fill.
 
-    One pass over one column: a mergeable frequent-item sketch per task, so no row is shuffled.
-    At most MAX_HOT_KEYS rows come out, which is what makes broadcasting them safe.
+    One pass over one column, no row shuffled: each task keeps a frequent-item sketch, and the
+    merged sketch returns at most MAX_HOT_KEYS keys. Only these reach the driver. NULL is counted
+    on its own.
     """
     slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        df.agg(F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {MAX_HOT_KEYS * 64})").alias("top"),
-               F.count("*").alias("total"))
-        .selectExpr("total", "inline(top)")
-        .select(F.col("item").alias(key),
-                F.ceil(F.col("count") * slots / F.col("total")).cast("int").alias("parts"))
-        .filter("parts > 1"))
+    top = F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {MAX_HOT_KEYS * 64})")
+    counted = df.agg(top.alias("top"), F.count("*").alias("total"),
+                     F.count_if(F.col(key).isNull()).alias("none")).first()
+    counts = {None: counted.none, **{r.item: r["count"] for r in counted.top or [] if r.item is not None}}
+    return {k: -(-n * slots // counted.total) for k, n in counts.items()
+            if n * slots > counted.total}
 
 
 def join_per_key(rows: DataFrame, values: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join ``rows`` to ``values``, which has one row per key and is the result of an aggregation.
 
     Adaptive execution splits a hot key only where both join inputs come straight from a shuffle,
-    and aggregated ``values`` do not. So a hot key's rows are dealt out over several slices here
-    and its one value row is repeated for each slice. A key the sketch misses stays in one slice:
-    the result is the same either way. ``rows`` should be a scan with narrow steps on top, so that
-    a retried task numbers its rows as before.
+    and aggregated ``values`` do not. So the rows of a hot key are dealt out over several slices
+    and its one value row is repeated for each slice. The keys are looked up while the plan is
+    built, so both sides use the same list; any list, also an outdated one, gives the same result.
+    ``rows`` should be a scan with narrow steps on top, so that a retried task deals as before.
     """
-    hot = F.broadcast(hot_keys(rows, key))
-    parts = F.coalesce("parts", F.lit(1))
-    # A NULL key matches nothing, so any slice will do for it.
-    slices = F.when(F.col(key).isNull(), MAX_HOT_KEYS).otherwise(parts)
-    dealt = (rows.join(hot, key, "left")
-             .withColumn("slice", (F.monotonically_increasing_id() % slices).cast("int"))
-             .drop("parts"))
-    repeated = (values.join(hot, key, "left")
-                .withColumn("slice", F.explode(F.sequence(F.lit(0), parts - 1)))
-                .drop("parts"))
+    hot = hot_keys(rows, key)
+    if not hot:
+        return rows.join(values, key, how)
+    known = F.coalesce(lookup(F.col(key), {k: n for k, n in hot.items() if k is not None}), F.lit(1))
+    # A NULL key matches nothing, so its rows may go anywhere.
+    slices = F.when(F.col(key).isNull(), hot.get(None, 1)).otherwise(known)
+    dealt = rows.withColumn("slice", (F.monotonically_increasing_id() % slices).cast("int"))
+    repeated = values.withColumn("slice", F.explode(F.sequence(F.lit(0), known - 1)))
     return dealt.join(repeated, [key, "slice"], how).drop("slice")

@@ -41,7 +41,8 @@ def inactive_clients(spark, folder):
 
 def top_products(spark, folder):
     return views.top_products(star.order_items(spark, folder), star.products(spark, folder),
-                              star.orders(spark, folder))
+                              star.orders(spark, folder),
+                              store=lambda figures: scratch.stored(spark, figures, "products"))
 
 
 def recurring_incidents(spark, folder):
@@ -114,11 +115,11 @@ def _cleaned(spark, folder):
 
 
 def _clients(spark, folder):
-    return dim.stored(spark, dim.client_dimension(star.clients(spark, folder)), "clients")
+    return scratch.stored(spark, dim.client_dimension(star.clients(spark, folder)), "clients")
 
 
 def _products(spark, folder):
-    return dim.stored(spark, dim.product_dimension(star.products(spark, folder)), "products")
+    return scratch.stored(spark, dim.product_dimension(star.products(spark, folder)), "products")
 
 
 def _dimensions(spark, folder):

@@ -8,12 +8,14 @@ ever building the pairs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwise.functions.numbers import exact_sum, mean, round_to, share
 from tillwise.functions.times import iso_week, moment, whole_days
+from tillwise.operators.ranking import rank_within
 from tillwise.operators.skew import join_per_key
 
 
@@ -59,8 +61,14 @@ def inactive_clients(orders: DataFrame, clients: DataFrame,
             .orderBy(F.desc("historical_revenue")))
 
 
-def top_products(order_items: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
-    """Sales, cancellation rate and rank within the category, per product."""
+def top_products(order_items: DataFrame, products: DataFrame, orders: DataFrame,
+                 store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Sales, cancellation rate and rank within the category, per product.
+
+    A plain window ranks each category in one task. For a catalogue too large for that give
+    ``store``, which writes the figures per product to a table and reads them back; they are then
+    ranked in bands.
+    """
     statuses = orders.groupBy("order_id", "status").agg(F.count("*").alias("copies"))
     quantity, price, copies = F.col("quantity"), F.col("unit_price"), F.col("copies")
     sales = (
@@ -75,16 +83,21 @@ def top_products(order_items: DataFrame, products: DataFrame, orders: DataFrame)
     # Joined only now: one row per product instead of one per item.
     catalogue = (products.groupBy("product_id", "product_name", "category")
                  .agg(F.count("*").alias("listings")))
-    by_revenue = Window.partitionBy("category").orderBy(F.desc("total"))
-    return (
-        catalogue.join(sales, "product_id")
-        .withColumn("total", F.col("total") * F.col("listings"))
-        .select("product_id", "product_name", "category", "nb_orders",
-                (F.col("quantity") * F.col("listings")).alias("qty_sold"),
-                round_to("total", 2).alias("revenue"),
-                round_to("price", 2).alias("avg_price"),
-                round_to("cancelled", 4).alias("cancellation_rate"),
-                F.rank().over(by_revenue).cast("bigint").alias("rank_in_category")))
+    figures = catalogue.join(sales, "product_id").select(
+        "product_id", "product_name", "category", "nb_orders",
+        (F.col("quantity") * F.col("listings")).alias("qty_sold"),
+        (F.col("total") * F.col("listings")).alias("total"), "price", "cancelled")
+    if store:
+        ranked = rank_within(store(figures), "category", "total", "place")
+    else:
+        by_revenue = Window.partitionBy("category").orderBy(F.desc("total"))
+        ranked = figures.withColumn("place", F.rank().over(by_revenue))
+    return ranked.select(
+        "product_id", "product_name", "category", "nb_orders", "qty_sold",
+        round_to("total", 2).alias("revenue"),
+        round_to("price", 2).alias("avg_price"),
+        round_to("cancelled", 4).alias("cancellation_rate"),
+        F.col("place").cast("bigint").alias("rank_in_category"))
 
 
 def recurring_incidents(incidents: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
 
@@ -29,3 +29,10 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path of its own for one run; it does not exist yet."""
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate result once and go on from the table."""
+    path = new_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
