@@ -19,7 +19,7 @@ def one(df):
 
 @pytest.mark.parametrize("value, places, expected", [
     (1.005, 1, 1.0), (2.5, 0, 3.0), (-2.5, 0, -3.0), (0.125, 2, 0.13), (-0.125, 2, -0.13),
-    (1e300, 2, 1e300), (None, 2, None), (math.inf, 2, math.inf), (1234.5678, 4, 1234.5678)])
+    (1e300, 2, 1e300), (1.005, 2, 1.0), (0.285, 2, 0.28), (None, 2, None), (math.inf, 2, math.inf), (1234.5678, 4, 1234.5678)])
 def test_round_half_away_from_zero(spark, value, places, expected):
     assert one(doubles(spark, value).select(round_to("x", places))) == expected
 

@@ -39,8 +39,6 @@ def share(condition: Column) -> Column:
 
 
 def round_to(x: Column | str, places: int) -> Column:
-    """Round half away from zero. Doubles too large to have a fraction, and NaN, pass as they are."""
-    x = _col(x)
+    """Round half away from zero, judged on the scaled double; NaN and infinity pass."""
     power = float(10 ** places)
-    rounded = F.when(x < 0, -F.floor(-x * power + 0.5)).otherwise(F.floor(x * power + 0.5)) / power
-    return F.when(F.abs(x) * power < float(2 ** 52), rounded).otherwise(x)
+    return F.round(_col(x) * power) / power
