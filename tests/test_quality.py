@@ -76,6 +76,16 @@ def test_dates_before_registration(spark):
     assert [r.order_id for r in rows] == ["1"]
 
 
+def test_incidents_before_registration(spark):
+    incidents = table(spark, "incidents",
+                      {"incident_id": "1", "client_id": "a", "report_date": ts("2021-12-31")},
+                      {"incident_id": "2", "client_id": "a", "report_date": ts("2022-01-01")},
+                      {"incident_id": "3", "client_id": "z", "report_date": ts("2000-01-01")})
+    rows = quality.date_order_check(incidents, table(spark, "clients", client("a")),
+                                    "incident_id", "report_date").collect()
+    assert [r.incident_id for r in rows] == ["1"]
+
+
 def test_segments(spark):
     clients = table(spark, "clients", client("a", registration_date=ts("2023-12-02")),
                     client("b", registration_date=ts("2023-12-01 23:59:59")),

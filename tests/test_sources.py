@@ -139,13 +139,14 @@ def test_catalog_tables(spark, folder):
 
 
 def test_landing(spark, folder):
-    for name, df in {"clients": table(spark, "clients", client("a"), client("b")),
-                     "products": table(spark, "products", product("p"))}.items():
-        csv_files.write_csv(df.coalesce(1), f"{folder}/in/{name}")
-        landing.land_csv(spark, name, f"{folder}/in/{name}", f"{folder}/raw")
-    rows = by(landing.manifest(spark, f"{folder}/raw", ["clients", "products"]), "table_name")
+    landing.write_folder({"clients": table(spark, "clients", client("a"), client("b")).coalesce(1),
+                          "products": table(spark, "products", product("p"))}, f"{folder}/in")
+    rows = by(landing.land_folder(spark, f"{folder}/in", f"{folder}/raw", ["clients", "products"]),
+              "table_name")
     assert rows["clients"]["n_rows"] == 2 and rows["products"]["n_rows"] == 1
     assert all(r["source_bytes"] > 0 and r["source_file"].endswith(".csv") for r in rows.values())
+    landed = spark.read.parquet(f"{folder}/raw/products").drop("source_file", "source_bytes")
+    assert landed.schema == schemas.PRODUCTS and landed.count() == 1
 
 
 def test_scratch_follows_the_session(spark):

@@ -114,6 +114,9 @@ _SHOP = {
         FROM cleaned c JOIN client_names USING (client_id) JOIN products USING (product_id)""",
 }
 
+_TABLES = {"clients": "clients", "products": "products", "orders": "shop_orders",
+           "order_items": "order_items", "incidents": "incidents", "page_views": "page_views"}
+
 _METRICS = (f"SELECT client_id, count(*) AS order_count, {_total('total_amount')} AS total_revenue "
             "FROM {} GROUP BY client_id")
 
@@ -282,9 +285,7 @@ def _bodies() -> dict[str, str]:
             GROUP BY ALL ORDER BY total_spent DESC NULLS LAST, c.client_id LIMIT 10""",
         "row_counts": " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {source}"
-            for name, source in (("clients", "clients"), ("products", "products"),
-                                 ("orders", "shop_orders"), ("order_items", "order_items"),
-                                 ("incidents", "incidents"), ("page_views", "page_views"))),
+            for name, source in _TABLES.items()),
         "country_distribution": f"""
             SELECT country, count(*) AS nb_clients,
                    {_round('(count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM clients) * 100)', 1)}
@@ -329,6 +330,7 @@ def _bodies() -> dict[str, str]:
         "client_metrics": _METRICS.format("joined"),
         "client_metrics_windowed": _WINDOWED,
         "stream_clean_orders": "SELECT * FROM enriched",
+        "stream_dedup_orders": "SELECT * FROM cleaned",
         "stream_client_metrics": _METRICS.format("joined"),
         # A stream holds back the windows its watermark has not passed: ten minutes before the
         # last order.
@@ -343,9 +345,9 @@ def _bodies() -> dict[str, str]:
             SELECT country, count(*) AS nb_views,
                    count(DISTINCT CAST(event_datetime AS DATE)) AS nb_days
             FROM page_views JOIN clients USING (client_id) GROUP BY country""",
-        "landing_manifest": """
-            SELECT 'clients' AS table_name, count(*) AS n_rows, 0 AS empty_files FROM clients
-            UNION ALL SELECT 'orders', count(*), 0 FROM shop_orders""",
+        "landing_manifest": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS n_rows, 0 AS empty_files FROM {source}"
+            for name, source in _TABLES.items()),
         "null_profile": _null_profile(),
         "duplicate_rows": """
             SELECT item_id, count(*) AS copies FROM order_items GROUP BY item_id

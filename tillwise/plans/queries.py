@@ -215,6 +215,19 @@ def stream_windowed_metrics(spark, folder):
         "writer", "batch_id")
 
 
+def stream_dedup_orders(spark, folder):
+    """Every message sent twice; one of each order gets through."""
+    base, path = scratch.new_folder(spark, "dedup"), scratch.new_folder(spark, "messages")
+    for _ in range(2):
+        messages.write_messages(star.order_messages(spark, folder), path)
+    once = quality.dedup_stream(clean.clean_orders(messages.stream_messages(spark, path)),
+                                "order_date", "10 minutes", ["order_id"])
+    streams.start_appending(once, path=f"{base}/orders", checkpoint=f"{base}/checkpoint",
+                            available_now=True).awaitTermination()
+    return streams.read_sink(spark, f"{base}/orders", once.schema).drop(
+        "processed_at", "writer", "batch_id")
+
+
 # Sources, sinks, tables -------------------------------------------------------------------------
 
 def csv_roundtrip(spark, folder):
@@ -253,12 +266,10 @@ def catalog_tables(spark, folder):
 
 
 def landing_manifest(spark, folder):
+    """All six tables to CSV, landed as Parquet; the manifest per table."""
     source, zone = scratch.new_folder(spark, "csv"), scratch.new_folder(spark, "raw")
-    shop = {"clients": star.clients(spark, folder), "orders": star.orders(spark, folder)}
-    for name, df in shop.items():
-        csv_files.write_csv(df, f"{source}/{name}")
-        landing.land_csv(spark, name, f"{source}/{name}", zone)
-    return (landing.manifest(spark, zone, list(shop)).groupBy("table_name")
+    landing.write_folder(star.shop(spark, folder, region=False), source)
+    return (landing.land_folder(spark, source, zone).groupBy("table_name")
             .agg(F.sum("n_rows").alias("n_rows"),
                  F.count_if(F.col("source_bytes") <= 0).alias("empty_files")))
 
@@ -357,7 +368,7 @@ ALL: tuple[Query, ...] = (
     event_encode, clean_orders, rejected_orders, dimension_first, orders_join_clients,
     orders_join_products, enriched_union, enriched_joined, client_metrics_union, client_metrics,
     client_metrics_windowed,
-    stream_clean_orders, stream_client_metrics, stream_windowed_metrics,
+    stream_clean_orders, stream_client_metrics, stream_windowed_metrics, stream_dedup_orders,
     csv_roundtrip, positional_csv, partitioned_roundtrip, catalog_tables, landing_manifest,
     null_profile, duplicate_rows, dedup_rows, email_check, age_check, ref_integrity,
     order_total_check, date_order_check, segment_rule, region_lookup, resolution_rule,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise import schemas
-from tillwise.sources.csv_files import load_csv
+from tillwise.sources.csv_files import load_csv, write_csv
 
 
 def land_csv(spark: SparkSession, table: str, source: str, zone: str) -> None:
@@ -18,6 +19,21 @@ def land_csv(spark: SparkSession, table: str, source: str, zone: str) -> None:
      .write.mode("overwrite").parquet(f"{zone}/{table}"))
 
 
+def write_folder(tables: dict[str, DataFrame], folder: str) -> None:
+    """Every table as ``<table>.csv`` in one folder."""
+    for name, df in tables.items():
+        write_csv(df, f"{folder}/{name}.csv")
+
+
+def land_folder(spark: SparkSession, folder: str, zone: str,
+                tables: Iterable[str] = tuple(schemas.TABLES)) -> DataFrame:
+    """Land every ``<table>.csv`` (a file, or a folder of part files) and return the manifest."""
+    tables = list(tables)
+    for name in tables:
+        land_csv(spark, name, f"{folder}/{name}.csv", zone)
+    return manifest(spark, zone, tables)
+
+
 def manifest(spark: SparkSession, zone: str, tables: list[str]) -> DataFrame:
     """Landed files with their size and number of rows."""
     return reduce(DataFrame.unionByName, (

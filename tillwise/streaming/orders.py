@@ -61,6 +61,16 @@ def start_cleaning(messages: DataFrame, clients: DataFrame, products: DataFrame,
     return _started(messages.writeStream.foreachBatch(write), checkpoint, available_now, every)
 
 
+def start_appending(rows: DataFrame, *, path: str, checkpoint: str, mode: str = "append",
+                    available_now: bool = False, every: str | None = None) -> StreamingQuery:
+    """Append what a stream puts out to a table."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _append(batch, path, checkpoint, batch_id)
+
+    return _started(rows.writeStream.outputMode(mode).foreachBatch(write), checkpoint,
+                    available_now, every)
+
+
 def start_metrics(messages: DataFrame, clients: DataFrame, products: DataFrame, *,
                   metrics_path: str, checkpoint: str, form: str = "joined",
                   available_now: bool = False, every: str | None = None) -> StreamingQuery:
@@ -81,9 +91,5 @@ def start_windowed_metrics(messages: DataFrame, *, metrics_path: str, checkpoint
                            every: str | None = None) -> StreamingQuery:
     """Append each client's totals per window once the watermark has passed its end."""
     windows = client_metrics_windowed(accepted(assess(messages)), width, lateness)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        _append(batch, metrics_path, checkpoint, batch_id)
-
-    return _started(windows.writeStream.outputMode("append").foreachBatch(write), checkpoint,
-                    available_now, every)
+    return start_appending(windows, path=metrics_path, checkpoint=checkpoint,
+                           available_now=available_now, every=every)
