@@ -173,6 +173,7 @@ def test_report_figures(spark):
     assert by(reports.row_counts({"clients": clients, "orders": orders}), "table_name")[
         "clients"]["n_rows"] == 3
     assert reports.delivered_by_region(orders).collect()[0].orders == 1
+    assert tuple(reports.delivery_rate(table(spark, "orders")).collect()[0]) == (0, 0, None)
 
 
 def test_top_products_by_name(spark):

@@ -34,8 +34,9 @@ def mean(x: Column | str, weight: Column | None = None, scale: int = 4) -> Colum
 
 
 def share(condition: Column) -> Column:
-    """Part of the group's rows for which the condition is true (NULL counts as not true)."""
-    return F.count_if(condition) / F.count("*")
+    """Part of the group's rows for which the condition is true (NULL counts as not true);
+    NULL without rows."""
+    return F.try_divide(F.count_if(condition), F.count("*"))
 
 
 def round_to(x: Column | str, places: int) -> Column:
