@@ -38,37 +38,39 @@ def _lacks_field(text: Column, message: Column) -> Column:
     return some_null & (F.size(F.array_except(F.array(*map(F.lit, REQUIRED)), given)) > 0)
 
 
-def assess(messages: DataFrame, reject_nan: bool = False) -> DataFrame:
-    """Every message with its cleaned fields and, if it is not usable, the reason.
-
-    ``messages`` has a text or binary column ``value``. The parsed object is generated from its
-    array rather than projected: Spark would push a filter below a projection and parse the text
-    once for the filter and once for the fields. A message must hold exactly one object.
-    """
-    text = F.col("value").cast("string")
-    m = F.col("message")
-    status = F.lower(strip(m["status"]))
-    one = F.when(F.size("objects") == 1, F.col("objects"))
-    cleaned = (
-        messages.select("value", _parse(text).alias("objects"))
-        .select("value", F.explode_outer(one).alias("message"))
-        .select(
-            "value", "message",
-            *(strip(m[f]).alias(f) for f in IDS),
-            to_number(m["total_amount"]).alias("total_amount"),
-            F.when(status.isin(*STREAM_STATUSES), status).otherwise(UNKNOWN_STATUS)
-            .alias("status"),
-            *(F.try_to_timestamp(m[f]).alias(f) for f in OPTIONAL)))
-    amount = F.col("total_amount")
+def _fields(text: Column, message: Column, amount: Column, reject_nan: bool) -> Column:
+    """The cleaned fields of a parsed message, and why it is not usable (else NULL)."""
+    status = F.lower(strip(message["status"]))
     reason = (
-        F.when(m.isNull(), "bad_json")
-        .when(_lacks_field(text, m), "missing_field")
-        .when(_any_null(m, IDS), "null_key")
+        F.when(message.isNull(), "bad_json")
+        .when(_lacks_field(text, message), "missing_field")
+        .when(_any_null(message, IDS), "null_key")
         .when(amount.isNull(), "bad_amount")
         .when(amount < 0, "negative_amount"))
     if reject_nan:
         reason = reason.when(F.isnan(amount), "nan_amount")
-    return cleaned.withColumn("reason", reason).drop("message")
+    return F.struct(
+        *(strip(message[f]).alias(f) for f in IDS),
+        amount.alias("total_amount"),
+        F.when(status.isin(*STREAM_STATUSES), status).otherwise(UNKNOWN_STATUS).alias("status"),
+        *(F.try_to_timestamp(message[f]).alias(f) for f in OPTIONAL),
+        reason.alias("reason"))
+
+
+def assess(messages: DataFrame, reject_nan: bool = False) -> DataFrame:
+    """Every message with its cleaned fields and, if it is not usable, the reason.
+
+    ``messages`` has a text or binary column ``value``. The cleaned message is unfolded from an
+    array of one, not projected: Spark would push a filter below a projection, and parse and clean
+    the text once for the filter and once for the fields. A message must hold exactly one object.
+    """
+    text, objects = F.col("value").cast("string"), F.col("objects")
+    message = F.when(F.size(objects) == 1, F.get(objects, F.lit(0)))
+    fields = _fields(text, F.col("message"), F.col("amount"), reject_nan)
+    return (messages.select("value", _parse(text).alias("objects"))
+            .select("value", message.alias("message"))
+            .select("value", "message", to_number(F.col("message.total_amount")).alias("amount"))
+            .select("value", F.inline(F.array(fields))))
 
 
 def accepted(assessed: DataFrame) -> DataFrame:
