@@ -262,7 +262,8 @@ def _bodies() -> dict[str, str]:
                      AS engagement_score
             FROM page_views GROUP BY page""",
         "weekly_kpis": f"""
-            SELECT "week", nb_orders, revenue, active_clients, before AS prev_week_revenue,
+            SELECT CAST("week" AS VARCHAR) AS "week", nb_orders, revenue, active_clients,
+                   before AS prev_week_revenue,
                    {_round('((revenue - before) / nullif(before, 0) * 100)', 2)} AS growth_pct
             FROM (SELECT *, lag(revenue) OVER (ORDER BY "week") AS before FROM (
                 SELECT CAST(date_trunc('week', order_date) AS DATE) AS "week",
@@ -340,7 +341,7 @@ def _bodies() -> dict[str, str]:
         "csv_roundtrip": "SELECT * FROM clients",
         "positional_csv": "SELECT client_id, last_name AS name, first_name AS email FROM clients",
         "partitioned_roundtrip": """
-            SELECT *, CAST(event_datetime AS DATE) AS day FROM page_views""",
+            SELECT *, CAST(CAST(event_datetime AS DATE) AS VARCHAR) AS day FROM page_views""",
         "catalog_tables": """
             SELECT country, count(*) AS nb_views,
                    count(DISTINCT CAST(event_datetime AS DATE)) AS nb_days

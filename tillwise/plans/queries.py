@@ -53,8 +53,13 @@ def navigation_funnel(spark, folder):
     return views.navigation_funnel(star.page_views(spark, folder))
 
 
+def _as_text(df, column):
+    """Dates as text: clients hand out dates in different types."""
+    return df.withColumn(column, F.col(column).cast("string"))
+
+
 def weekly_kpis(spark, folder):
-    return views.weekly_kpis(star.orders(spark, folder))
+    return _as_text(views.weekly_kpis(star.orders(spark, folder)), "week")
 
 
 def client_360(spark, folder):
@@ -247,7 +252,7 @@ def positional_csv(spark, folder):
 def partitioned_roundtrip(spark, folder):
     path = scratch.new_folder(spark, "page_views")
     tables.write_table(star.page_views(spark, folder), "page_views", path)
-    return tables.read_table(spark, "page_views", path)
+    return _as_text(tables.read_table(spark, "page_views", path), "day")
 
 
 def catalog_tables(spark, folder):
