@@ -136,33 +136,28 @@ _INACTIVE = f"""
         FROM shop_orders WHERE status <> 'Cancelled' GROUP BY client_id) l USING (client_id)
     WHERE date_sub('day', last_order_date, {AS_OF}) > 60"""
 
-_CLIENT_360 = """
-    SELECT c.client_id, first_name, last_name, country, segment, registration_date,
-           coalesce(o.nb_orders, 0) AS nb_orders, coalesce(o.total_revenue, 0.0) AS total_revenue,
-           coalesce(o.avg_basket, 0.0) AS avg_basket, o.last_order_date,
-           coalesce(i.nb_incidents, 0) AS nb_incidents, coalesce(n.nb_pageviews, 0) AS nb_pageviews,
-           {score} AS value_score,
-           CASE WHEN coalesce(o.total_revenue, 0) * 0.5 + coalesce(o.nb_orders, 0) * 2 > 200
-                THEN 'VIP'
-                WHEN coalesce(o.total_revenue, 0) * 0.5 + coalesce(o.nb_orders, 0) * 2 > 50
-                THEN 'Regular' ELSE 'At risk' END AS client_segment
-    FROM clients c
-    LEFT JOIN (SELECT client_id, count(DISTINCT order_id) AS nb_orders, {total} AS total_revenue,
-                      {avg} AS avg_basket, max(order_date) AS last_order_date
-               FROM shop_orders WHERE status <> 'Cancelled' GROUP BY client_id) o
-           ON c.client_id = o.client_id
-    LEFT JOIN (SELECT client_id, count(*) AS nb_incidents FROM incidents {incidents}
-               GROUP BY client_id) i ON c.client_id = i.client_id
-    LEFT JOIN (SELECT client_id, count(*) AS nb_pageviews FROM page_views
-               WHERE client_id IS NOT NULL GROUP BY client_id) n ON c.client_id = n.client_id"""
-
-
 def _client_360(incidents: str) -> str:
-    score = """(coalesce(o.total_revenue, 0.0) * 0.5
-                + (CAST(1 AS DOUBLE) / nullif(coalesce(i.nb_incidents, 0), 0)) * 20
-                + coalesce(o.nb_orders, 0) * 2)"""
-    return _CLIENT_360.format(score=_round(score, 2), total=_round(_total("total_amount"), 2),
-                              avg=_round(_avg("total_amount"), 2), incidents=incidents)
+    worth = "total_revenue * 0.5 + nb_orders * 2"
+    score = f"({worth} + 20 / CAST(nullif(nb_incidents, 0) AS DOUBLE))"
+    return f"""
+        SELECT *, {_round(score, 2)} AS value_score,
+               CASE WHEN {worth} > 200 THEN 'VIP' WHEN {worth} > 50 THEN 'Regular'
+                    ELSE 'At risk' END AS client_segment
+        FROM (
+            SELECT client_id, first_name, last_name, country, segment, registration_date,
+                   last_order_date, ifnull(n_orders, 0) AS nb_orders,
+                   ifnull(revenue, 0.0) AS total_revenue, ifnull(basket, 0.0) AS avg_basket,
+                   (SELECT count(*) FROM incidents i
+                    WHERE i.client_id = c.client_id {incidents}) AS nb_incidents,
+                   (SELECT count(*) FROM page_views v
+                    WHERE v.client_id = c.client_id) AS nb_pageviews
+            FROM clients c LEFT JOIN (
+                SELECT client_id, count(DISTINCT order_id) AS n_orders,
+                       {_round(_total("total_amount"), 2)} AS revenue,
+                       {_round(_avg("total_amount"), 2)} AS basket,
+                       max(order_date) AS last_order_date
+                FROM shop_orders WHERE status <> 'Cancelled' GROUP BY client_id) o
+            USING (client_id))"""
 
 
 def _null_profile() -> str:
@@ -270,7 +265,7 @@ def _bodies() -> dict[str, str]:
                        count(DISTINCT order_id) AS nb_orders, {_round(total, 2)} AS revenue,
                        count(DISTINCT client_id) AS active_clients
                 FROM shop_orders WHERE status <> 'Cancelled' GROUP BY 1))""",
-        "client_360": _client_360("WHERE category = 'error'"),
+        "client_360": _client_360("AND category = 'error'"),
         "sql_over_views": f"""
             SELECT s.client_segment, s.segment, count(*) AS nb_clients,
                    count(i.client_id) AS nb_inactive, max(s.nb_orders) AS most_orders

@@ -20,12 +20,12 @@ LAYOUT: dict[str, tuple[str | None, tuple[str, ...]]] = {
 
 # Description, domain label and whether the table holds personal data.
 LABELS = {
-    "clients": ("Client master data with demographics", "customer", True),
-    "products": ("Product catalog with pricing", "product", False),
-    "orders": ("Order transactions with amounts and status", "order", False),
-    "order_items": ("Line items for orders", "order", False),
-    "incidents": ("Customer support incidents", "support", False),
-    "page_views": ("Website page view events", "web_analytics", False),
+    "clients": ("One row per client: name, contact, place, registration, segment", "customer", True),
+    "products": ("What the shop sells, at which price, and how many are in stock", "product", False),
+    "orders": ("Orders placed, their state, payment and total", "order", False),
+    "order_items": ("Products in an order, with quantity and price paid", "order", False),
+    "incidents": ("Complaints to customer support and how they ended", "support", False),
+    "page_views": ("Pages seen in the web shop, by whom and on which device", "web_analytics", False),
 }
 
 
