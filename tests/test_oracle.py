@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the small tables."""
 
+import re
+
 import __spark_entry__ as contract
 import pytest
 from compare import difference
@@ -15,7 +17,9 @@ def test_query_equals_sql(spark, name):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"seeded_sample"}
+    without = {name for name in set(QUERIES) - set(SQL)
+               if name != "pipeline" and not re.match(r"op\d+_", name)}
+    assert without == {"seeded_sample"}
 
 
 def test_entry_has_rows(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tillwise.operators.ranking import rank_within
-from tillwise.operators.skew import MAX_HOT_KEYS, hot_keys, join_per_key
+from tillwise.operators.skew import join_per_key
 
 
 @pytest.fixture
@@ -28,29 +28,20 @@ def values(rows):
     return rows.filter("k is null or k <> '5'").groupBy("k").agg(F.max("row").alias("top"))
 
 
-def test_hot_key_is_found_with_its_share(rows):
-    assert hot_keys(rows, "k") == {"h": 6}  # two thirds of eight shuffle partitions, rounded up
+def test_many_hot_keys_are_all_spread(no_broadcast):
+    """500 equally hot keys, each dealt over every slice; nothing runs while the plan is built."""
+    df = no_broadcast.range(0, 50_000).select((F.col("id") % 500).alias("k"), "id")
+    found = join_per_key(df, df.groupBy("k").agg(F.max("id").alias("top")), "k", slices=4)
+    parts = (df.withColumn("part", F.pmod(F.xxhash64("k", "id"), F.lit(4)))
+             .groupBy("k").agg(F.countDistinct("part").alias("n")).agg(F.min("n")).first()[0])
+    assert parts == 4 and found.count() == 50_000
 
 
-def test_hot_null_is_found(rows):
-    assert hot_keys(rows.select(F.when(F.col("k") != "h", F.col("k")).alias("k")), "k") == {None: 6}
-
-
-def test_even_keys_are_not_hot(spark):
-    df = spark.range(0, 50_000).select(F.col("id").cast("string").alias("k"))
-    assert hot_keys(df, "k") == {}
-    plan = join_per_key(df, df.distinct(), "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "slice" not in plan
-
-
-def test_nothing_is_not_hot(spark):
-    assert hot_keys(spark.createDataFrame([], "k string"), "k") == {}
-
-
-def test_many_equal_shares_stay_bounded(spark):
-    df = spark.range(0, 50_000).select((F.col("id") % 2).alias("k"))
-    assert hot_keys(df, "k") == {0: 4, 1: 4}
-    assert len(hot_keys(df.select((F.col("k") % 500).alias("k")), "k")) <= MAX_HOT_KEYS
+def test_building_the_join_runs_no_job(spark, rows, values):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    join_per_key(rows, values, "k")
+    assert set(tracker.getJobIdsForGroup(None)) == before
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])

@@ -4,42 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillwise.functions.domains import lookup
+SLICES = 8
+# Rows with a NULL key match nothing, so a left join may spread them as widely as it likes.
+_NULL_SLICES = 1 << 16
 
-MAX_HOT_KEYS = 64
 
-
-def hot_keys(df: DataFrame, key: str) -> dict:
-    """Keys that fill more than one fair shuffle partition, with the number they fill.
-
-    One pass over one column, no row shuffled: each task keeps a frequent-item sketch, and the
-    merged sketch returns at most MAX_HOT_KEYS keys. Only these reach the driver. NULL is counted
-    on its own.
-    """
-    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {MAX_HOT_KEYS * 64})")
-    counted = df.agg(top.alias("top"), F.count("*").alias("total"),
-                     F.count_if(F.col(key).isNull()).alias("none")).first()
-    counts = {None: counted.none, **{r.item: r["count"] for r in counted.top or [] if r.item is not None}}
-    return {k: -(-n * slots // counted.total) for k, n in counts.items()
-            if n * slots > counted.total}
-
-
-def join_per_key(rows: DataFrame, values: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def join_per_key(rows: DataFrame, values: DataFrame, key: str | list[str], how: str = "inner",
+                 slices: int = SLICES, deal_by: list[str] | None = None) -> DataFrame:
     """Join ``rows`` to ``values``, which has one row per key and is the result of an aggregation.
 
     Adaptive execution splits a hot key only where both join inputs come straight from a shuffle,
-    and aggregated ``values`` do not. So the rows of a hot key are dealt out over several slices
-    and its one value row is repeated for each slice. The keys are looked up while the plan is
-    built, so both sides use the same list; any list, also an outdated one, gives the same result.
-    ``rows`` should be a scan with narrow steps on top, so that a retried task deals as before.
+    and aggregated ``values`` do not. So every key's rows are dealt evenly over ``slices`` parts by
+    a hash of ``deal_by`` (all columns unless given), and each value row is repeated for each part.
+    No key is looked up beforehand, and a retried task deals as before. A hot key fills ``slices``
+    tasks; 1 makes it a plain join. Keep ``values`` narrow, as it is repeated ``slices`` times.
+    ``how`` is inner or left.
     """
-    hot = hot_keys(rows, key)
-    if not hot:
-        return rows.join(values, key, how)
-    known = F.coalesce(lookup(F.col(key), {k: n for k, n in hot.items() if k is not None}), F.lit(1))
-    # A NULL key matches nothing, so its rows may go anywhere.
-    slices = F.when(F.col(key).isNull(), hot.get(None, 1)).otherwise(known)
-    dealt = rows.withColumn("slice", (F.monotonically_increasing_id() % slices).cast("int"))
-    repeated = values.withColumn("slice", F.explode(F.sequence(F.lit(0), known - 1)))
-    return dealt.join(repeated, [key, "slice"], how).drop("slice")
+    keys = [key] if isinstance(key, str) else list(key)
+    if how == "inner":
+        rows = rows.dropna(subset=keys)
+    if slices <= 1:
+        return rows.join(values, keys, how)
+    part = F.xxhash64(*(deal_by or rows.columns))
+    empty = F.greatest(*(F.col(k).isNull() for k in keys)) if len(keys) > 1 else F.col(keys[0]).isNull()
+    dealt = rows.withColumn("_slice", F.when(empty, F.pmod(part, F.lit(_NULL_SLICES)))
+                            .otherwise(F.pmod(part, F.lit(slices))).cast("int"))
+    repeated = values.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    return dealt.join(repeated, [*keys, "_slice"], how).drop("_slice")
