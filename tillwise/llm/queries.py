@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwise import scratch
-from tillwise.llm import common, minhash, secrets
+from tillwise.llm import common, minhash, mixing, packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,19 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                                scratch.new_folder(spark, "ledger"))
 
 
-ALL: tuple[Query, ...] = (op4_minhash, op6_secret_ledger)
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of each document for the mix of all sources."""
+    return mixing.mix(common.table(common.prepare(spark), sf_dir, "documents")).drop("key")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenised and packed."""
+    import public_tokenizers
+
+    return packing.pack(common.table(common.prepare(spark), sf_dir, "documents"),
+                        public_tokenizers.path("word_bpe_49k.json"))
+
+
+ALL: tuple[Query, ...] = (op4_minhash, op6_secret_ledger, op9_mixing, op10_packing)
 # SQL for those that SQL can express.
 SQL: dict[str, str] = {}
