@@ -7,11 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwise import scratch
-from tillwise.llm import common, minhash, mixing, packing, secrets
+from tillwise.llm import common, minhash, mixing, neighbours, packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by their labelled neighbours' votes."""
+    spark = common.prepare(spark)
+    return neighbours.quality(common.table(spark, sf_dir, "documents"),
+                              common.table(spark, sf_dir, "labels"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(common.table(common.prepare(spark), sf_dir, "documents"))
@@ -37,6 +44,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("word_bpe_49k.json"))
 
 
-ALL: tuple[Query, ...] = (op4_minhash, op6_secret_ledger, op9_mixing, op10_packing)
+ALL: tuple[Query, ...] = (
+    op3_neighbour_quality, op4_minhash, op6_secret_ledger, op9_mixing, op10_packing)
 # SQL for those that SQL can express.
 SQL: dict[str, str] = {}
