@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwise import scratch
-from tillwise.llm import common, minhash, mixing, neighbours, packing, secrets
+from tillwise.llm import common, decisions, minhash, mixing, neighbours, packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,13 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(common.table(common.prepare(spark), sf_dir, "documents"))
 
 
+def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of all documents and the learnt rules' verdict."""
+    spark = common.prepare(spark)
+    return decisions.judge(common.table(spark, sf_dir, "documents"),
+                           common.table(spark, sf_dir, "labels"))
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents, scanned through a ledger that begins empty."""
     spark = common.prepare(spark)
@@ -45,6 +52,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL: tuple[Query, ...] = (
-    op3_neighbour_quality, op4_minhash, op6_secret_ledger, op9_mixing, op10_packing)
+    op3_neighbour_quality, op4_minhash, op5_decision_list, op6_secret_ledger, op9_mixing, op10_packing)
 # SQL for those that SQL can express.
 SQL: dict[str, str] = {}
