@@ -52,11 +52,12 @@ def clear_labels(labels: DataFrame, name: str) -> DataFrame:
             .where("label = _most AND label IN (0, 1)").drop("_most"))
 
 
-def bounded_sample(labels: DataFrame, per_label: int, seed: int) -> DataFrame:
+def bounded_sample(labels: DataFrame, per_label: int | dict[int, int], seed: int) -> DataFrame:
     """At most ``per_label`` ids of each label, by a seeded hash: the same on every run, and the
     result is bounded, so it may be broadcast and its rows may go to the driver."""
+    most = per_label if isinstance(per_label, dict) else {0: per_label, 1: per_label}
     draw = F.xxhash64(F.lit(seed), "doc_id")
-    parts = [labels.where(F.col("label") == value).orderBy(draw, "doc_id").limit(per_label)
+    parts = [labels.where(F.col("label") == value).orderBy(draw, "doc_id").limit(most[value])
              for value in (0, 1)]
     return parts[0].unionByName(parts[1])
 
@@ -119,10 +120,12 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word ([^\\x20\\x09-\\x0D]+) of one part, and of which row it is."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, letter: np.ndarray = ~_SPACE
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word ([^\\x20\\x09-\\x0D]+, or a run of ``letter`` bytes) of one part,
+    and of which row it is."""
     n = len(data)
-    solid = ~_SPACE[data]
+    solid = letter[data]
     border = np.zeros(n + 1, bool)
     inside = offsets[(offsets >= 0) & (offsets <= n)]
     border[inside] = True
@@ -170,3 +173,27 @@ def windows(h: np.ndarray, width: int) -> np.ndarray:
     for i in range(width):
         total += h[i:i + n] * _K[i]
     return mix(total)
+
+
+def letter_marks(data: np.ndarray, offsets: np.ndarray, letter: np.ndarray, prefixes: tuple[int, ...],
+                 salt: np.uint64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Part by part: hashes (one row per prefix length in bytes, the last for the whole word) of
+    every run of ``letter`` bytes, A-Z lowered, and the row each stands in. A word shorter than a
+    prefix repeats its whole hash there."""
+    if not _cached:
+        _cached.append(_powers(_SLICE + 1))
+    for a, b in _pieces(data, offsets):
+        part = data[a:b]
+        up, down = _cached[0] if b - a <= _SLICE else _powers(b - a + 1)
+        starts, ends, row = word_spans(part, offsets - a, letter)
+        if not len(starts):
+            continue
+        values = _LOWER[part].astype(np.uint64)
+        values += np.uint64(1)
+        values *= up[:b - a]
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values)))
+        whole = mix((total[ends] - total[starts]) * down[starts] ^ salt)
+        out = [np.where(ends - starts >= k,
+                        mix((total[np.minimum(starts + k, ends)] - total[starts]) * down[starts]), whole)
+               for k in prefixes]
+        yield np.stack([*out, whole]), row

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwise import scratch
-from tillwise.llm import common, decisions, minhash, mixing, neighbours, packing, secrets
+from tillwise.llm import common, decisions, minhash, mixing, neighbours, packing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,13 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                                scratch.new_folder(spark, "ledger"))
 
 
+def op8_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from voters."""
+    spark = common.prepare(spark)
+    return toxicity.toxicity(common.table(spark, sf_dir, "documents"),
+                             common.table(spark, sf_dir, "labels"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of each document for the mix of all sources."""
     return mixing.mix(common.table(common.prepare(spark), sf_dir, "documents")).drop("key")
@@ -52,6 +59,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL: tuple[Query, ...] = (
-    op3_neighbour_quality, op4_minhash, op5_decision_list, op6_secret_ledger, op9_mixing, op10_packing)
+    op3_neighbour_quality, op4_minhash, op5_decision_list, op6_secret_ledger,
+    op8_weak_toxicity, op9_mixing, op10_packing)
 # SQL for those that SQL can express.
 SQL: dict[str, str] = {}
