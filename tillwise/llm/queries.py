@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise import scratch
-from tillwise.llm import common, decisions, minhash, mixing, neighbours, packing, secrets, toxicity
+from tillwise.llm import common, decisions, minhash, mixing, neighbours, packing, rotated_codes, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,12 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                                scratch.new_folder(spark, "ledger"))
 
 
+def op7_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest neighbours of every vector whose id is divisible by 100, among all vectors."""
+    return rotated_codes.search(common.table(common.prepare(spark), sf_dir, "embeddings"),
+                                F.col("vec_id") % 100 == 0)
+
+
 def op8_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learnt from voters."""
     spark = common.prepare(spark)
@@ -59,7 +65,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL: tuple[Query, ...] = (
-    op3_neighbour_quality, op4_minhash, op5_decision_list, op6_secret_ledger,
+    op3_neighbour_quality, op4_minhash, op5_decision_list, op6_secret_ledger, op7_rotated_codes,
     op8_weak_toxicity, op9_mixing, op10_packing)
 # SQL for those that SQL can express.
 SQL: dict[str, str] = {}
