@@ -7,11 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise import scratch
-from tillwise.llm import common, decisions, minhash, mixing, neighbours, packing, rotated_codes, secrets, toxicity
+from tillwise.llm import common, decisions, minhash, mixing, neighbours, packing, quotes, rotated_codes, secrets, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reply structure of all conversations, mailed with quotes of the turns before."""
+    mail = quotes.mailbox(common.table(common.prepare(spark), sf_dir, "conversations"))
+    return quotes.messages(mail, "conv_id", "turn", "role", "text")
+
+
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of all pages."""
+    return warc.derivatives(warc.responses(common.table(common.prepare(spark), sf_dir, "pages")))
+
+
 def op3_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents by their labelled neighbours' votes."""
     spark = common.prepare(spark)
@@ -65,7 +76,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL: tuple[Query, ...] = (
-    op3_neighbour_quality, op4_minhash, op5_decision_list, op6_secret_ledger, op7_rotated_codes,
+    op1_quotes, op2_warc_derivatives, op3_neighbour_quality, op4_minhash, op5_decision_list, op6_secret_ledger, op7_rotated_codes,
     op8_weak_toxicity, op9_mixing, op10_packing)
 # SQL for those that SQL can express.
 SQL: dict[str, str] = {}
