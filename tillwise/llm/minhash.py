@@ -5,14 +5,15 @@ runs of ``WIDTH`` words, or its whole word sequence if that is shorter. Two docu
 100 * intersection >= 80 * union. The result is exact up to the chance that a pair at the threshold
 shares no band, (1 - 0.8^ROWS)^BANDS, about 1e-7, and less for closer pairs.
 
-1. One pass over the texts gives each document its set's size, a 128-bit key, minima of universal
-   hash functions (one byte of each is kept) and band keys. Documents of one key hold one set, so
-   only the first of them goes on: thousands of copies are one node.
+1. One pass over the texts gives each document its set's size, a 128-bit key and band keys from the
+   minima of universal hash functions. Documents of one key hold one set, so only the first of them
+   goes on: thousands of copies are one node.
 2. Each bucket of a band proposes its first member to the others; every document takes the smallest
    proposal, and the pair is checked on the whole sets. This joins the bulk of any large group.
-3. Buckets that still hold several components compare all pairs that cross components, block by
-   block on the minima, and emit only pairs that may reach the threshold; these are checked too.
-   Pairs inside one component could change nothing, so no link is lost and no group is squared.
+3. Buckets that still hold several components compare the rows outside their largest component with
+   all rows, block by block: first the signatures, then, for pairs that may reach the threshold, the
+   whole sets. A block returns a link per document and component at most. Pairs inside one
+   component could change nothing, so no link is lost, and no group is written out as pairs.
 4. Components of all checked links by large-star and small-star.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; a row without
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tillwise.llm import common
@@ -35,16 +37,19 @@ from tillwise.operators.skew import join_per_key
 WIDTH = 4
 BANDS, ROWS = 40, 5
 MINIMA = BANDS * ROWS
-# Agreement of the kept bytes that a pair of similarity 0.8 misses with a chance below 1e-8.
+# Agreement of signature bytes that a pair of similarity 0.8 misses with a chance below 1e-7.
 LEAST_AGREEMENT = 0.64
-LEFT_BLOCK, RIGHT_BLOCK = 1000, 4000
+# Rows of a block; whole sets travel in it, so it is kept small.
+LEFT_BLOCK, RIGHT_BLOCK = 256, 1024
+# Shingles of one side that are compared at once.
+AT_ONCE = 200_000
 
 _draw = np.random.default_rng(20240611)
 _A = (_draw.integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1))[:, None]
 _B = _draw.integers(0, 1 << 32, MINIMA, np.uint32)[:, None]
 _BAND = (_draw.integers(0, 1 << 63, (BANDS, ROWS + 1), np.uint64) << np.uint64(1)) | np.uint64(1)
 
-SKETCH = ("doc_id long, n_shingles long, k1 long, k2 long, minima binary, bands array<long>")
+SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
@@ -74,35 +79,35 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()),
-                        ("k2", pa.int64()), ("minima", pa.binary()),
-                        ("bands", pa.list_(pa.int64()))])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
     for batch in batches:
-        sizes, k1, k2, kept, bands = [], [], [], [], []
+        sizes, k1, k2, bands = [], [], [], []
         for s in shingle_sets(batch.column(1)):
             sizes.append(len(s))
             if not len(s):
-                for column in (k1, k2, kept, bands):
+                for column in (k1, k2, bands):
                     column.append(None)
                 continue
-            least = minima(s)
-            rows = least.reshape(BANDS, ROWS).astype(np.uint64)
+            rows = minima(s).reshape(BANDS, ROWS).astype(np.uint64)
             key = common.mix((rows * _BAND[:, :ROWS]).sum(axis=1) + _BAND[:, ROWS])
             k1.append(int(common.mix(s).sum().view(np.int64)))
             k2.append(int(np.bitwise_xor.reduce(common.mix(s + np.uint64(77))).view(np.int64)))
-            kept.append((least >> np.uint32(24) ^ least & np.uint32(255)).astype(np.uint8).tobytes())
             bands.append(key.view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(c, f.type) for c, f in
-                                zip((sizes, k1, k2, kept, bands), list(schema)[1:]))],
-            schema=schema)
+            [batch.column(0), *(pa.array(c, k) for c, k in zip((sizes, k1, k2, bands), kinds))],
+            names=["doc_id", "n_shingles", "k1", "k2", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        packed = [s.tobytes() for s in shingle_sets(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())],
-                                         names=["doc_id", "shingles"])
+        sets = [s if len(s) else None for s in shingle_sets(batch.column(1))]
+        least = [s if s is None else minima(s) for s in sets]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0),
+             pa.array([s if s is None else s.tobytes() for s in sets], pa.binary()),
+             pa.array([x if x is None else (x >> np.uint32(24) ^ x & np.uint32(255))
+                       .astype(np.uint8).tobytes() for x in least], pa.binary())],
+            names=["id", "shingles", "minima"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,40 +116,85 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = []
         for x, y in zip(batch.column(2), batch.column(3)):
             left, right = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            if 100 * min(len(left), len(right)) < 80 * max(len(left), len(right)):
-                hit.append(False)
-                continue
             at = np.searchsorted(left, right)
             at[at == len(left)] = 0
-            both = int((left[at] == right).sum()) if len(left) else 0
-            hit.append(both > 0 and 100 * both >= 80 * (len(left) + len(right) - both))
+            both = int((left[at] == right).sum())
+            hit.append(100 * both >= 80 * (len(left) + len(right) - both))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)],
                                          names=["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
 
-def _agreeing(left: tuple, right: tuple) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for at in range(0, len(left[0]), 64):
-        ids, groups, bytes_ = (x[at:at + 64] for x in left)
-        same = (bytes_[:, None, :] == right[2][None, :, :]).sum(axis=2, dtype=np.uint16)
-        i, j = np.nonzero((same >= LEAST_AGREEMENT * MINIMA) & (groups[:, None] != right[1][None, :]))
-        yield ids[i], right[0][j]
-
-
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (block, side, node, component, minima): pairs of a left and a right row of one
-    block that differ in component and agree in enough minima."""
+class _Side:
+    """One side of a block: ids, components, signatures and whole sets."""
+
+    def __init__(self, rows: pa.Table):
+        self.node, self.group = rows["node"].to_numpy(), rows["component"].to_numpy()
+        self.bytes = np.frombuffer(b"".join(rows["minima"].to_pylist()), np.uint8).reshape(-1, MINIMA)
+        self.sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"].to_pylist()]
+        self.sizes = np.array([len(x) for x in self.sets], np.int64)
+
+    def parts(self, most: int) -> Iterator[np.ndarray]:
+        """Row numbers, in parts of bounded length and bounded number of shingles."""
+        start = held = 0
+        for i, n in enumerate(self.sizes):
+            if i > start and (i - start == most or held + n > AT_ONCE):
+                yield np.arange(start, i)
+                start, held = i, 0
+            held += n
+        yield np.arange(start, len(self.sizes))
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of every left with every right set: incidence on the shingles that
+    occur on both sides, multiplied."""
+    x, y = np.concatenate(left), np.concatenate(right)
+    shared = np.intersect1d(x, y)
+    total = np.zeros((len(left), len(right)), np.float32)
+    if not len(shared):
+        return total
+
+    def incidence(sets: list[np.ndarray], values: np.ndarray, some: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(some, values), len(some) - 1)
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        out = np.zeros((len(sets), len(some)), np.float32)
+        hit = some[at] == values
+        out[row[hit], at[hit]] = 1
+        return out
+
+    for k in range(0, len(shared), 8192):
+        some = shared[k:k + 8192]
+        total += incidence(left, x, some) @ incidence(right, y, some).T
+    return total
+
+
+def _links(left: _Side, right: _Side) -> Iterator[pa.RecordBatch]:
+    for i in left.parts(64):
+        for j in right.parts(512):
+            agree = (left.bytes[i][:, None, :] == right.bytes[j][None, :, :]).sum(axis=2, dtype=np.uint16)
+            may = (agree >= LEAST_AGREEMENT * MINIMA) & (left.group[i][:, None] != right.group[j][None, :])
+            if not may.any():
+                continue
+            li, rj = i[may.any(axis=1)], j[may.any(axis=0)]
+            both = _common([left.sets[k] for k in li], [right.sets[k] for k in rj]).astype(np.int64)
+            size = left.sizes[li][:, None] + right.sizes[rj][None, :]
+            hit = (100 * both >= 80 * (size - both)) & (left.group[li][:, None] != right.group[rj][None, :])
+            a, b = np.nonzero(hit)
+            if len(a):
+                # One link to each component is enough.
+                _, once = np.unique(np.stack([li[a], right.group[rj[b]]]), axis=1, return_index=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(left.node[li[a[once]]]), pa.array(right.node[rj[b[once]]])], names=["a", "b"])
+
+
+def _cross_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows (bucket, l, r, side, node, component, shingles, minima) to the links between the
+    left and the right rows of each block that differ in component."""
 
     def compared(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(parts).combine_chunks()
-        side = rows["side"].to_numpy()
-        node, group = rows["node"].to_numpy(), rows["component"].to_numpy()
-        held = np.frombuffer(b"".join(rows["minima"].to_pylist()), np.uint8).reshape(-1, MINIMA)
-        left, right = ((node[side == s], group[side == s], held[side == s]) for s in (0, 1))
-        for at in range(0, len(right[0]), 512):
-            for a, b in _agreeing(left, tuple(x[at:at + 512] for x in right)):
-                if len(a):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        left, right = (rows.filter(pc.equal(rows["side"], s)) for s in (0, 1))
+        if len(left) and len(right):
+            yield from _links(_Side(left), _Side(right))
 
     open_, key = [], None
     for batch in batches:
@@ -158,7 +208,7 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from compared(open_)
                 open_ = []
             key = this
-            open_.append(batch.slice(a, b - a).select(["side", "node", "component", "minima"]))
+            open_.append(batch.slice(a, b - a))
     if open_:
         yield from compared(open_)
 
@@ -168,33 +218,41 @@ def sketch(documents: DataFrame) -> DataFrame:
         _sketches, SKETCH)
 
 
-def _checked(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+def _sets_of(ids: DataFrame, documents: DataFrame) -> DataFrame:
+    """Whole sets and signatures of some documents, made anew from their texts."""
+    # A merge join whatever the sizes: the ids grow with the corpus.
+    return (documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            .join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+            .mapInArrow(_sets, "id long, shingles binary, minima binary").where("minima IS NOT NULL"))
+
+
+def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose whole sets reach the threshold."""
-    pairs = common.stored(pairs.distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = common.stored(
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles binary"), "sets")
-    of = {side: sets.select(F.col("doc_id").alias(side), F.col("shingles").alias(f"_{side}"))
+    of = {side: sets.select(F.col("id").alias(side), F.col("shingles").alias(f"_{side}"))
           for side in ("a", "b")}
-    return (pairs.join(of["a"], "a").join(of["b"], "b").select("a", "b", "_a", "_b")
-            .mapInArrow(_similar, "a long, b long"))
+    return (pairs.join(of["a"].hint("merge"), "a").join(of["b"].hint("merge"), "b")
+            .select("a", "b", "_a", "_b").mapInArrow(_similar, "a long, b long"))
 
 
-def _unsettled(members: DataFrame, groups: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs that share a bucket but no component and agree in enough minima."""
+def _unsettled(members: DataFrame, groups: DataFrame, sets: DataFrame, done: DataFrame) -> DataFrame:
+    """Links across components among the members of buckets; ``done`` pairs were checked before."""
     grouped = common.stored(
-        join_per_key(members, groups.withColumnRenamed("node", "id"), "id", "left")
+        join_per_key(members.select("bucket", "id"), groups.withColumnRenamed("node", "id"), "id", "left")
         .select("bucket", "id", F.coalesce("component", "id").alias("component")), "grouped")
-    by_group = grouped.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = by_group.groupBy("bucket").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"),
-        F.sum("n").alias("all"), F.max("n").alias("most"), F.count("*").alias("groups")
-    ).where("groups > 1").select(
-        "bucket", "main", F.ceil((F.col("all") - F.col("most")) / LEFT_BLOCK).alias("lefts"),
-        F.ceil(F.col("all") / RIGHT_BLOCK).alias("rights"))
-    rows = join_per_key(grouped, mixed, "bucket")
-    rows = join_per_key(rows, nodes.select(F.col("doc_id").alias("id"), "minima"), "id", slices=1)
+    per_group = grouped.groupBy("bucket", "component").agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("mark"),
+        F.min("id").alias("a"), F.max("id").alias("b"))
+    mixed = per_group.groupBy("bucket").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"),
+        F.max("n").alias("most"), F.count("*").alias("groups"), F.sum("mark").alias("mark"),
+        F.min("a").alias("a"), F.max("b").alias("b")).where("groups > 1")
+    # Buckets of the same members are one, and a bucket of a pair that was checked is settled.
+    mixed = (mixed.groupBy("all", "mark", "a", "b").agg(F.min(F.struct("bucket", "main", "most")).alias("x"))
+             .join(done.withColumn("all", F.lit(2).cast("long")), ["all", "a", "b"], "left_anti")
+             .select("x.bucket", "x.main",
+                     F.ceil((F.col("all") - F.col("x.most")) / LEFT_BLOCK).alias("lefts"),
+                     F.ceil(F.col("all") / RIGHT_BLOCK).alias("rights")))
+    rows = join_per_key(grouped, common.stored(mixed, "mixed"), "bucket").join(sets.hint("merge"), "id")
     slot = F.xxhash64("id")
 
     def one(side: int, own: str, other: str, chosen: DataFrame) -> DataFrame:
@@ -202,12 +260,13 @@ def _unsettled(members: DataFrame, groups: DataFrame, nodes: DataFrame) -> DataF
             "their", F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
         pair = ("mine", "their") if side == 0 else ("their", "mine")
         return x.select("bucket", F.col(pair[0]).alias("l"), F.col(pair[1]).alias("r"),
-                        F.lit(side).alias("side"), F.col("id").alias("node"), "component", "minima")
+                        F.lit(side).alias("side"), F.col("id").alias("node"), "component",
+                        "shingles", "minima")
 
     both = one(0, "lefts", "rights", rows.where("component <> main")).unionByName(
         one(1, "rights", "lefts", rows))
     return (both.repartition("bucket", "l", "r").sortWithinPartitions("bucket", "l", "r")
-            .mapInArrow(_cross_pairs, "a long, b long"))
+            .mapInArrow(_cross_links, "a long, b long"))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -224,7 +283,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     nodes = common.stored(
         join_per_key(full, several, sets, "left", deal_by=["doc_id"])
         .where("rep IS NULL OR rep = doc_id").dropDuplicates(["doc_id", *sets])
-        .select("doc_id", "minima", "bands"), "nodes")
+        .select("doc_id", "bands"), "nodes")
     # Several texts under one id make one document.
     split = placed.where("n_shingles > 0").groupBy("doc_id").agg(
         F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
@@ -234,11 +293,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     heads = entries.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("last"))
     members = common.stored(
         join_per_key(entries, heads.where("head < last").drop("last"), "bucket"), "members")
-    first = _checked(members.where("head < id").groupBy("id").agg(F.min("head").alias("a"))
-                     .select("a", F.col("id").alias("b")), documents)
-    known = common.stored(first.unionByName(same_id), "links")
-    rest = _checked(_unsettled(members.select("bucket", "id").distinct(),
-                               components(known, "a", "b"), nodes), documents)
+    sets = common.stored(_sets_of(members.select(F.col("id").alias("doc_id")).distinct(), documents), "sets")
+    proposed = common.stored(members.where("head < id").groupBy("id").agg(F.min("head").alias("a"))
+                             .select("a", F.col("id").alias("b")), "proposed")
+    known = common.stored(_checked(proposed, sets).unionByName(same_id), "links")
+    rest = _unsettled(members, components(known, "a", "b"), sets, proposed)
     found = common.stored(known.unionByName(rest), "links")
     groups = components(found, "a", "b").withColumnRenamed("node", "rep")
     component = F.coalesce("component", "rep")
