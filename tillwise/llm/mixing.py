@@ -16,8 +16,6 @@ target 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -33,13 +31,18 @@ PARTS = 256
 REMAINDER = 16_384
 
 
+def key(source: str) -> Column:
+    """A source's key, never null."""
+    return F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n"))
+
+
 def sized(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source"
           ) -> DataFrame:
     """doc_id, source, its key (never null) and size in words."""
     words = F.regexp_count(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(WORD))
     return documents.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-        F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n")).alias("key"),
+        key(source).alias("key"),
         words.cast("long").alias("size"))
 
 

@@ -29,6 +29,7 @@ PER_LABEL = 1500
 # Weights are similarities raised to this power, so that near ones count for more.
 SHARPNESS = 8
 SEED, BLOCK = 31, 1024
+FOLDS, HELD, KEEP = 4, 2, 0.7
 _PAIRS = 1792  # buckets of byte pairs; the others hold repetition
 
 
@@ -128,7 +129,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Space:
     """``labels`` holds doc_id and label of the documents that may be learnt from."""
     sample = common.bounded_sample(labels, per_label, SEED)
-    rows = (documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
             .dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
             .mapInArrow(_counted, "doc_id long, label int, counts binary")
             .orderBy("doc_id").toArrow())
@@ -136,24 +137,30 @@ def learn(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -
     return fit(counts, rows["label"].to_numpy())
 
 
-def _scored(space: Space):
+def with_score(space: Space, keep_text: bool = True):
+    """For mapInArrow: the rows as they are (without the text, unless it is kept), and their score."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = space.scores(term_counts(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(score)],
-                                             names=["doc_id", *batch.schema.names[2:], "score"])
+            score = pa.array(space.scores(term_counts(batch.column("text"))))
+            names = [n for n in batch.schema.names if keep_text or n != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), score], names=[*names, "score"])
     return run
 
 
 def score(documents: DataFrame, space: Space) -> DataFrame:
     """doc_id and score of every row."""
-    return documents.select("doc_id", "text").mapInArrow(_scored(space), "doc_id long, score double")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        with_score(space, keep_text=False), "doc_id long, score double")
 
 
-def quality(documents: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
-    """doc_id, held_out, score, predicted; learns from the ids outside the held-out fold."""
-    known = common.clear_labels(labels, "quality").where(common.crc_mod(folds) != held)
-    scored = score(documents, learn(documents, known))
+def training_labels(labels: DataFrame, folds: int = FOLDS, held: int = HELD) -> DataFrame:
+    """The labels that may be learnt from: those outside the held-out fold."""
+    return common.clear_labels(labels, "quality").where(common.crc_mod(folds) != held)
+
+
+def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted."""
+    scored = score(documents, learn(documents, training_labels(labels)))
     return scored.select(
-        "doc_id", F.coalesce(common.crc_mod(folds) == held, F.lit(False)).alias("held_out"), "score",
-        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(common.crc_mod(FOLDS) == HELD, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= KEEP).cast("int").alias("predicted"))

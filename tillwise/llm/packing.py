@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwise.llm import common
 
+TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 4096
 END = 1
 # Pieces of one length are cut into so many parts by a hash, so none is one task.

@@ -72,7 +72,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(common.table(common.prepare(spark), sf_dir, "documents"),
-                        public_tokenizers.path("word_bpe_49k.json"))
+                        public_tokenizers.path(packing.TOKENIZER))
 
 
 ALL: tuple[Query, ...] = (

@@ -8,15 +8,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise import scratch
-from tillwise.llm import common, minhash, secrets as secret
+from tillwise.llm import common, minhash, mixing as mixes, neighbours, packing as packs, secrets as secret
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _ddl(docs: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+
 def _columns(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose neighbours' vote is below ``neighbours.KEEP`` go; decided in the scoring pass
+    itself, so texts are not shuffled."""
+    common.prepare(spark)
+    docs = _columns(docs)
+    space = neighbours.learn(docs, neighbours.training_labels(common.table(spark, sf_dir, "labels")))
+    scored = docs.mapInArrow(neighbours.with_score(space), f"{_ddl(docs)}, score double")
+    return _columns(scored.where(F.col("score") >= neighbours.KEEP))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, and one row of each document; rows
     without an id stay."""
@@ -42,3 +56,23 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bad = secret.read_ledger(spark, ledger).where(F.size("spans") > 0).select(
         F.col("blob").alias("_blob")).distinct()
     return _columns(docs.join(bad, "_blob", "left_anti"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it; one that it does not take goes. Rows that share
+    id and source are taken alike."""
+    common.prepare(spark)
+    docs = _columns(docs)
+    takes = (mixes.mix(docs).where("taken > 0")
+             .groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+             .agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("_times")))
+    chosen = docs.join(takes.hint("merge"), docs.doc_id.eqNullSafe(F.col("_id")) & (mixes.key("source") == F.col("_key")))
+    return _columns(chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    import public_tokenizers
+
+    common.prepare(spark)
+    return packs.pack(docs, public_tokenizers.path(packs.TOKENIZER))
