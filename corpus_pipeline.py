@@ -15,8 +15,11 @@ from tillwise.llm import common, stages
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", stages.quality),
     ("near_duplicates", stages.near_duplicates),
     ("secrets", stages.secrets),
+    ("mixing", stages.mixing),
+    ("packing", stages.packing),
 ]
 
 # A nearest-neighbour classifier, MinHash and a packing have no SQL; brute-force tests stand in.
