@@ -279,7 +279,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     placed = common.stored(
         join_per_key(sketches.select("doc_id", "n_shingles", *sets), several, sets, "left",
                      deal_by=["doc_id"])
-        .select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "placed")
+        .select("doc_id", "n_shingles",
+                F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")), "placed")
     nodes = common.stored(
         join_per_key(full, several, sets, "left", deal_by=["doc_id"])
         .where("rep IS NULL OR rep = doc_id").dropDuplicates(["doc_id", *sets])
