@@ -34,7 +34,7 @@ CAPACITY = 4096
 END = 1
 # Pieces of one length are cut into so many parts by a hash, so none is one task.
 PARTS = 256
-ROUNDS, RATE = 400, 0.5
+ROUNDS, RATE = 400, 4.0
 # Words whose tokens a worker keeps; any others are tokenised each time.
 KEPT_WORDS, KEPT_LENGTH = 600_000, 48
 
@@ -157,40 +157,50 @@ def _dearest(prices: np.ndarray, capacity: int) -> dict[int, int]:
     return found
 
 
-def configurations(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
-                   ) -> list[tuple[dict[int, int], int]]:
-    """Configurations (length to number) and how often each is used; together they hold exactly
-    ``counts``."""
-    left = np.zeros(capacity + 1, np.int64)
-    for length, n in counts.items():
-        left[length] = n
-    need, covered = left.astype(float), np.zeros(capacity + 1)
+def fractional(need: np.ndarray, capacity: int, rounds: int) -> dict[tuple, float]:
+    """Configurations and how often each is used in a fractional cover of the histogram ``need``.
+
+    Multiplicative weights: the price of a length is its weight over its count, and each use lowers
+    the weights of what it covers. A use covers a part of the scarcest length of the dearest
+    configuration; with more lengths than rounds, all of it.
+    """
     there = need > 0
-    use: dict[tuple, float] = {}
-    # A length's price is its weight over its count, and the weight falls with each cover.
-    for _ in range(rounds if there.any() else 0):
-        weight = np.exp(-RATE * covered[there] / need[there] * 8)
-        if (covered[there] >= need[there]).all():
+    covered, use = np.zeros(capacity + 1), {}
+    part = min(1.0, max(1 / 32, there.sum() / rounds)) if rounds else 1.0
+    for _ in range(rounds):
+        if (covered[there] >= need[there] * (1 - 1e-9)).all():
             break
         prices = np.full(capacity + 1, -1.0)
-        prices[there] = weight / need[there]
-        found = {k: min(n, int(left[k])) for k, n in _dearest(prices, capacity).items()}
-        times = min(need[k] / n for k, n in found.items())
+        prices[there] = np.exp(-RATE * covered[there] / need[there]) / need[there]
+        found = {k: min(n, int(need[k])) for k, n in _dearest(prices, capacity).items()}
+        times = part * min(need[k] / n for k, n in found.items())
         for k, n in found.items():
             covered[k] += n * times
         key = tuple(sorted(found.items()))
         use[key] = use.get(key, 0.0) + times
+    return use
+
+
+def configurations(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
+                   ) -> list[tuple[dict[int, int], int]]:
+    """Configurations (length to number) and how often each is used; together they hold exactly
+    ``counts``. Full configurations of the fractional cover are rounded down, best fit packs what is
+    left; where that takes more sequences than best fit alone, best fit alone stands."""
+    left = np.zeros(capacity + 1, np.int64)
+    for length, n in counts.items():
+        left[length] = n
+    plain = _best_fit(left.copy(), capacity)
+    use = fractional(left.astype(float), capacity, rounds)
     out = []
-    # Full configurations are rounded down to what is left; best fit makes more of the rest.
     full = [c for c in use if sum(k * n for k, n in c) == capacity]
     for config in sorted(full, key=lambda c: (-use[c], c)):
-        most = min(int(left[k]) // n for k, n in config)
-        times = min(most, int(use[config]))
+        times = min(int(use[config] + 1e-9), *(int(left[k]) // n for k, n in config))
         if times:
             for k, n in config:
                 left[k] -= n * times
             out.append((dict(config), times))
-    return out + _best_fit(left, capacity)
+    out += _best_fit(left, capacity)
+    return min(out, plain, key=lambda used: sum(times for _, times in used))
 
 
 def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:

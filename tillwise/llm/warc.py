@@ -38,6 +38,7 @@ _DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\
 _BREAK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|"
                     r"h[1-6]|header|hr|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^<>]*>", re.I)
 _TAG = re.compile(r"<[A-Za-z/!?][^<>]*>")
+_SPACE = re.compile(r"\s+")
 _BLANK = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
 _TITLE = re.compile(r"<title\b[^<>]*>(.*?)</title", re.I | re.S)
@@ -48,7 +49,8 @@ _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
 def plain_text(page: str) -> str:
     """The words of a page, one line per block."""
-    text = html.unescape(_TAG.sub("", _BREAK.sub("\n", _DROPPED.sub(" ", page))))
+    flat = _SPACE.sub(" ", _DROPPED.sub(" ", page))
+    text = html.unescape(_TAG.sub("", _BREAK.sub("\n", flat)))
     return _LINES.sub("\n", _BLANK.sub(" ", text)).strip()
 
 
