@@ -50,14 +50,14 @@ def test_counts_and_base_rules(spark):
 
 
 def test_learnt_rules_read_as_conditions_and_hold_on_held_out_rows(spark):
-    docs, labels = (common.table(common.prepare(spark), FOLDER, t) for t in ("documents", "labels"))
+    docs, labels = (common.table(common.prepare(spark), "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
     counted = decisions.statistics(docs).cache()
     train = labels.where(common.crc_mod(4) != 2)
     rules = decisions.rules_from(counted, train)
     assert rules and all(str(t).count("=") == 1 for rule in rules for t in rule)
     judged = counted.select("doc_id", decisions.verdict(rules).alias("good"))
     held = judged.join(labels.where(common.crc_mod(4) == 2), "doc_id").where("doc_id is not null").collect()
-    assert np.mean([r.good == bool(r.quality) for r in held]) > 0.93
+    assert np.mean([r.good == bool(r.quality) for r in held]) > 0.98
 
 
 def test_learning_finds_a_planted_rule():
@@ -122,7 +122,7 @@ def test_toxicity_on_held_out_rows(spark):
     rows = scored.where("held_out").join(labels, "doc_id").collect()
     toxic = [r.predicted for r in rows if r.toxic]
     clean = [r.predicted for r in rows if not r.toxic]
-    assert np.mean(toxic) > 0.8 and np.mean(clean) < 0.01
+    assert np.mean(toxic) > 0.8 and np.mean(clean) < 0.015
 
 
 def test_toxicity_of_odd_texts_without_labels(spark):

@@ -24,7 +24,7 @@ from tillwise.llm import common
 
 LEAST_WORDS, MOST_REPEAT = 50, 50
 PER_LABEL, SEED = 3000, 17
-MOST_RULES, MOST_TERMS, LEAST_PRECISION = 12, 4, 0.9
+MOST_RULES, MOST_TERMS, MOST_TRIES, LEAST_PRECISION = 12, 4, 8, 0.9
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct",
           "n_doubled", "n_upper", "n_lines", "n_bytes")
@@ -143,8 +143,8 @@ def _take(x: dict[str, np.ndarray], mask: np.ndarray) -> dict[str, np.ndarray]:
 
 def learn(x: dict[str, np.ndarray], bad: np.ndarray, seed: int = SEED) -> list[Rule]:
     """An ordered list of rules, each of which a text of poor quality meets."""
-    draw, rules = np.random.default_rng(seed), []
-    while bad.sum() >= 10 and len(rules) < MOST_RULES:
+    draw, rules, failed = np.random.default_rng(seed), [], 0
+    while bad.sum() >= 10 and len(rules) < MOST_RULES and failed < MOST_TRIES:
         grow = draw.random(len(bad)) < 2 / 3
         gx, gb, px, pb = _take(x, grow), bad[grow], _take(x, ~grow), bad[~grow]
         rule: Rule = ()
@@ -164,7 +164,9 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, seed: int = SEED) -> list[R
         while len(rule) > 1 and worth(rule[:-1]) >= worth(rule):
             rule = rule[:-1]
         if not rule or worth(rule) < 2 * LEAST_PRECISION - 1:
-            break
+            failed += 1  # another draw of the rows may do better
+            continue
+        failed = 0
         rules.append(rule)
         rest = ~_covered(rule, x, len(bad))
         x, bad = _take(x, rest), bad[rest]

@@ -31,6 +31,7 @@ MOST_VOTERS, LEAST_SUPPORT, LEAST_PRECISION = 160, 6, 0.95
 HASHED = 512
 # Voters that fire together this often, given the class, share one voice.
 SAME_VOICE = 0.7
+START_ALONE, QUIET = 0.3, 2.0
 EM_STEPS, TRAIN_STEPS, RATE, PENALTY = 50, 400, 0.5, 1e-3
 
 # English insults that any list of abusive words holds.
@@ -79,17 +80,21 @@ def _insults() -> np.ndarray:
 
 @dataclass
 class LabelModel:
-    """Bernoulli voters given the class, with weights for voters that fire together."""
+    """Voters that fire or abstain given the class, with weights for voters that fire together.
+
+    Voters of one language abstain on all texts of another, whatever the class, so abstentions
+    together say no more than ``QUIET``.
+    """
     prior: float
     rates: np.ndarray  # class by voter
     weights: np.ndarray
     correlations: np.ndarray
 
     def log_odds(self, votes: np.ndarray) -> np.ndarray:
-        on = np.log(self.rates[1]) - np.log(self.rates[0])
-        off = np.log1p(-self.rates[1]) - np.log1p(-self.rates[0])
-        return (np.log(self.prior) - np.log1p(-self.prior)
-                + votes @ (self.weights * (on - off)) + (self.weights * off).sum())
+        on = self.weights * (np.log(self.rates[1]) - np.log(self.rates[0]))
+        off = self.weights * (np.log1p(-self.rates[1]) - np.log1p(-self.rates[0]))
+        abstained = np.maximum(off.sum() - votes @ off, -QUIET)
+        return np.log(self.prior) - np.log1p(-self.prior) + votes @ on + abstained
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         return _sigmoid(self.log_odds(votes))
@@ -106,18 +111,20 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def label_model(votes: np.ndarray, steps: int = EM_STEPS) -> LabelModel:
-    """Fit to votes alone. The start calls a text toxic if any lexicon voter fires."""
+    """Fit to votes alone. The start believes texts on which voters agree, and half believes one
+    voter."""
     n, m = votes.shape
-    q = np.where(votes.any(axis=1), 0.9, 0.1)
-    weights, together = np.ones(m), np.zeros((m, m))
-    model = LabelModel(0.5, np.full((2, m), 0.5), weights, together)
+    fired = votes.sum(axis=1)
+    q = np.select([fired == 0, fired == 1], [0.01, START_ALONE], 0.95)
+    model = LabelModel(0.5, np.full((2, m), 0.5), np.ones(m), np.zeros((m, m)))
     for _ in range(steps if n else 0):
-        prior = float(np.clip(q.mean(), 0.01, 0.99))
+        prior = float(np.clip(q.mean(), 0.005, 0.99))
         rates = np.stack([((w @ votes) + 0.05) / (w.sum() + 1) for w in (1 - q, q)])
-        rates[0] = np.minimum(rates[0], rates[1])  # a voter speaks for toxic or not at all
         rates = np.clip(rates, 1e-4, 1 - 1e-4)
+        rates[0] = np.minimum(rates[0], rates[1])  # a voter speaks for toxic or not at all
         # Correlation of voters within the toxic class; together they count as one voice.
-        centred = (votes - rates[1]) * np.sqrt(q)[:, None]
+        hit = votes[q > 0.5]
+        centred = hit - hit.mean(axis=0) if len(hit) else hit
         scale = np.sqrt((centred ** 2).sum(axis=0)) + 1e-9
         together = (centred.T @ centred) / np.outer(scale, scale)
         weights = 1 / np.clip(np.where(together > SAME_VOICE, together, 0).sum(axis=0), 1, None)
