@@ -46,8 +46,25 @@ def test_exact_sum_shows_what_has_no_units(spark):
     assert math.isnan(one(doubles(spark, 1.0, math.nan).agg(exact_sum("x"))))
     assert one(doubles(spark, 1.0, math.inf).agg(exact_sum("x"))) == math.inf
     assert one(doubles(spark, 1.0, 1e18).agg(exact_sum("x"))) == 1.0 + 1e18
-    # each value has units, their sum has none
+    # each value has units, their sum has more than 64 bits
     assert one(doubles(spark, *[9e14] * 4).agg(exact_sum("x"))) == 3.6e15
+    assert one(doubles(spark, -2.5, 1e300, -0.25).agg(exact_sum("x"))) == 1e300
+
+
+def test_exact_sum_loses_no_fine_value(spark):
+    fine = spark.range(100_000).select(F.lit(0.00003).alias("x"))
+    thirds = spark.range(3_000).select((F.lit(1.0) / 3).alias("x"))
+    assert one(fine.agg(exact_sum("x"))) == pytest.approx(3.0, abs=1e-9)
+    assert one(fine.agg(mean("x"))) == pytest.approx(0.00003, abs=1e-15)
+    assert one(thirds.agg(exact_sum("x"))) == pytest.approx(1000.0, abs=1e-9)
+    weighted = thirds.withColumn("w", F.lit(7).cast("long"))
+    assert one(weighted.agg(exact_sum("x", F.col("w")))) == pytest.approx(7000.0, abs=1e-8)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False, min_value=-1e12, max_value=1e12), min_size=1, max_size=30))
+def test_exact_sum_is_near_fsum(spark, values):
+    assert one(doubles(spark, *values).agg(exact_sum("x"))) == pytest.approx(math.fsum(values), rel=1e-9, abs=1e-3)
 
 
 def test_sums_and_means_of_nothing_are_null(spark):

@@ -111,3 +111,13 @@ def test_copies_do_not_multiply_in_the_join(spark):
     assert (row.nb_orders, row.revenue) == (1, 20_000.0 ** 2)
     [top] = reports.top_customers(clients, orders).collect()
     assert (top.num_orders, top.total_spent) == (20_000 ** 2, 20_000.0 ** 2)
+
+
+def test_registering_views_runs_no_job(spark):
+    from tillwise.plans import catalog
+    from tillwise.sources import star_schema
+
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    catalog.register(star_schema.shop(spark, "/root/testdata/sf0.001"), star_schema.AS_OF)
+    assert set(tracker.getJobIdsForGroup(None)) == before

@@ -62,8 +62,17 @@ def test_order_totals(spark):
                    order("2", "a", 5.0), order("3", "a", 1.0), order("4", "a", None))
     items = table(spark, "order_items", item("1", "p", 2, 10.0), item("2", "p", 1, 4.0),
                   item("2", "q", 1, 1.0), item("4", "p", 1, 1.0))
-    [row] = quality.order_total_check(orders, items).collect()
-    assert tuple(row) == ("1", 20.01, 20.0, 0.01, 2)
+    found = sorted(tuple(r) for r in quality.order_total_check(orders, items).collect())
+    assert found == [("1", 20.01, 20.0, 0.01, 2, True), ("3", 1.0, 0.0, 1.0, 1, False)]
+
+
+@pytest.mark.parametrize("rows, size", [(0, 0), (1, 1), (7, 1), (250, 25)])
+def test_sample_has_its_exact_size_in_any_layout(spark, rows, size):
+    df = spark.range(rows).selectExpr("cast(id % 40 as string) as k", "id % 3 as v")
+    draws = [sorted(map(tuple, quality.seeded_sample(d, ["k"], 0.1, seed).collect()))
+             for d, seed in ((df, 1), (df.repartition(7, "v"), 1), (df, 2))]
+    assert draws[0] == draws[1] and len(draws[0]) == len(draws[2]) == size
+    assert rows < 250 or draws[0] != draws[2]
 
 
 def test_dates_before_registration(spark):

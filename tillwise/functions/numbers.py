@@ -10,20 +10,22 @@ def _col(x: Column | str) -> Column:
 
 
 def exact_sum(x: Column | str, weight: Column | None = None, scale: int = 4) -> Column:
-    """Sum of a double column that does not depend on the order in which rows are added.
+    """Sum of a double column; for amounts of up to ``scale`` decimals it does not depend on the
+    order in which rows are added.
 
-    Values are added up as whole units of the last decimal place, in 64-bit integers. ``weight``
-    counts each row that many times. Where a group holds a value without such units (NaN,
-    infinity) or its sum outgrows them (9e14 at four places), the plain double sum stands.
+    Each value is its whole units of the last decimal place and a rest. Units are added up as two
+    32-bit halves in 64-bit integers, so they do not overflow; the rest, which is zero for such
+    amounts, is added as doubles, so finer values, NaN, infinity and values too large for units
+    lose nothing. ``weight`` counts each row that many times.
     """
     x = _col(x)
-    power = float(10 ** scale)
-    units = F.rint(x * power).try_cast("bigint")
-    plain = F.sum(x)
+    power, half = float(10 ** scale), 1 << 32
+    units = F.coalesce(F.rint(x * power).try_cast("bigint"), F.lit(0).cast("bigint"))
+    high, low, rest = F.shiftright(units, 32), units.bitwiseAND(F.lit(half - 1)), x - units / power
     if weight is not None:
-        units, plain = F.try_multiply(units, weight), F.sum(x * weight)
-    exact = F.try_sum(units).cast("double") / power
-    return F.coalesce(F.when(F.count(x) == F.count(units), exact), plain)
+        high, low, rest = high * weight, low * weight, rest * weight
+    whole = F.sum(high).cast("decimal(20,0)") * F.lit(half).cast("decimal(10,0)") + F.sum(low)
+    return F.when(F.count(x) > 0, whole.cast("double") / power + F.sum(rest))
 
 
 def mean(x: Column | str, weight: Column | None = None, scale: int = 4) -> Column:

@@ -18,7 +18,10 @@ def client_metrics(orders: DataFrame) -> DataFrame:
 
 def client_metrics_windowed(orders: DataFrame, width: str = "60 seconds",
                             lateness: str = "10 minutes") -> DataFrame:
-    """Tumbling windows on order_date; ``lateness`` bounds the state of a stream."""
+    """Tumbling windows on order_date of enriched orders; ``lateness`` bounds the state of a stream.
+
+    Orders without a date belong to no window; ``undated`` gives them with a reason.
+    """
     if orders.isStreaming:
         orders = orders.withWatermark("order_date", lateness)
     return (orders.filter(F.col("order_date").isNotNull())
@@ -27,6 +30,11 @@ def client_metrics_windowed(orders: DataFrame, width: str = "60 seconds",
                     "client_id", "order_count", "total_revenue"))
 
 
+def undated(orders: DataFrame) -> DataFrame:
+    """Orders that no window can count, with the reason."""
+    return orders.filter(F.col("order_date").isNull()).withColumn("reason", F.lit("no_date"))
+
+
 def stamped(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("load_timestamp", F.current_timestamp())
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.domains import (
     ACCEPTED, CATEGORY_PRICE_BAND, PAGE_DURATION_BAND, inside, region_of,
@@ -41,11 +41,15 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def dedup_stream(df: DataFrame, event_time: str, lateness: str,
-                 columns: list[str] | None = None) -> DataFrame:
-    """One of each row within the lateness bound; state older than it is dropped."""
-    return df.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(
-        columns or df.columns)
+def dedup_stream(df: DataFrame, columns: list[str], within: str = "1 hour",
+                 arrival: str = "arrived_at") -> DataFrame:
+    """One of the rows that agree in ``columns`` and arrive within a bound of each other.
+
+    The bound is on arrival, stamped here, not on a date in the row: rows may come in any order of
+    their dates and none is too late. State older than the bound is dropped.
+    """
+    return (df.withColumn(arrival, F.current_timestamp()).withWatermark(arrival, within)
+            .dropDuplicatesWithinWatermark(columns).drop(arrival))
 
 
 def email_check(clients: DataFrame) -> DataFrame:
@@ -92,7 +96,8 @@ def ref_integrity(relations: dict[str, tuple[DataFrame, DataFrame, str]]) -> Dat
 
 
 def order_total_check(orders: DataFrame, items: DataFrame, tolerance: float = 0.005) -> DataFrame:
-    """Orders whose total differs from the sum of their rounded item totals.
+    """Orders whose total differs from the sum of their rounded item totals; an order without items
+    has an items total of 0, and ``has_items`` tells.
 
     Equal order rows come out once with their number in ``copies``: both sides of the join are
     aggregated, so neither a repeated order nor an order with very many items is a hot key.
@@ -101,10 +106,12 @@ def order_total_check(orders: DataFrame, items: DataFrame, tolerance: float = 0.
     per_order = items.groupBy("order_id").agg(exact_sum(line, scale=2).alias("items_total"))
     stated = orders.groupBy("order_id", "total_amount").agg(F.count("*").alias("copies"))
     difference = F.col("total_amount") - F.col("items_total")
-    return (stated.join(per_order, "order_id")
-            .filter(F.abs(difference) > tolerance)
+    joined = stated.join(per_order.withColumn("has_items", F.lit(True)), "order_id", "left").withColumns({
+        "items_total": F.coalesce("items_total", F.lit(0.0)),
+        "has_items": F.coalesce("has_items", F.lit(False))})
+    return (joined.filter(F.abs(difference) > tolerance)
             .select("order_id", "total_amount", "items_total",
-                    round_to(difference, 2).alias("difference"), "copies"))
+                    round_to(difference, 2).alias("difference"), "copies", "has_items"))
 
 
 def date_order_check(events: DataFrame, clients: DataFrame, id_column: str,
@@ -188,6 +195,27 @@ def accepted_values(df: DataFrame, table: str,
             .select(F.lit(table).alias("table_name"), "column_name", "value", "n_rows"))
 
 
-def seeded_sample(df: DataFrame, fraction: float = 0.01, seed: int = 42) -> DataFrame:
-    """Random rows with replacement, the same ones for the same seed and layout."""
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+def seeded_sample(df: DataFrame, keys: list[str], fraction: float = 0.01, seed: int = 42,
+                  most: int = 3) -> DataFrame:
+    """A sample with replacement of exactly ``max(1, floor(fraction * rows))`` rows (none of an
+    empty table), the same for a seed in any layout.
+
+    Every row may come up to ``most`` times. Each of these chances has a number: the MD5 of seed,
+    keys, place among rows of equal keys, and chance. The smallest numbers win. They are counted
+    by their first four digits, so only the rows of one such group are ranked.
+    """
+    others = [c for c in df.columns if c not in keys]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*(others or keys)))
+    drawn = (df.withColumn("_place", place)
+             .withColumn("_chance", F.explode(F.sequence(F.lit(1), F.lit(most))))
+             .withColumn("_number", F.md5(F.concat_ws("|", F.lit(seed), *(F.coalesce(F.col(k).cast("string"), F.lit(""))
+                                                                         for k in keys), "_place", "_chance")))
+             .withColumn("_group", F.left("_number", F.lit(4))))
+    in_order = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = drawn.groupBy("_group").agg(F.count("*").alias("n"))  # at most 65,536 rows
+    size = F.greatest(F.lit(1), F.floor(F.sum("n").over(Window.partitionBy()) / most * fraction))
+    quota = groups.select("_group", (size - F.coalesce(F.sum("n").over(in_order), F.lit(0))).alias("_quota")
+                          ).where("_quota > 0")
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy("_number"))
+    return (drawn.join(quota, "_group").withColumn("_rank", rank).where("_rank <= _quota")
+            .select(*df.columns))

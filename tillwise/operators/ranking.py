@@ -13,8 +13,8 @@ def rank_within(df: DataFrame, group: str, value: str, rank: str) -> DataFrame:
 
     Values are cut into narrow bands that keep their order. Rows are ranked inside their band, and
     the rows in the bands above are added from a table of one count per group and band. So the
-    largest window partition is one band of one group, not the group. ``df`` is read twice: give a
-    table, not a long computation.
+    largest window partition is one band of one group, not the group. ``df`` is used twice; shuffles
+    below it are read again, not made again.
     """
     v = F.col(value)
     doublings = F.log2(F.abs(v) + 1) * BANDS_PER_DOUBLING

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -10,15 +9,14 @@ from pyspark.sql import DataFrame
 from tillwise.plans import views
 
 
-def all_views(tables: dict[str, DataFrame], as_of: datetime | str | None = None,
-              store: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """The views by their SQL names; ``store`` as in views.top_products."""
+def all_views(tables: dict[str, DataFrame], as_of: datetime | str | None = None
+              ) -> dict[str, DataFrame]:
+    """The views by their SQL names; no job runs until one is read."""
     t = tables
     return {
         "v_revenue_by_region": views.revenue_by_region(t["orders"], t["clients"]),
         "v_inactive_clients": views.inactive_clients(t["orders"], t["clients"], as_of),
-        "v_top_products": views.top_products(t["order_items"], t["products"], t["orders"],
-                                             store),
+        "v_top_products": views.top_products(t["order_items"], t["products"], t["orders"]),
         "v_recurring_incidents": views.recurring_incidents(t["incidents"]),
         "v_navigation_funnel": views.navigation_funnel(t["page_views"]),
         "v_weekly_kpis": views.weekly_kpis(t["orders"]),
@@ -27,8 +25,7 @@ def all_views(tables: dict[str, DataFrame], as_of: datetime | str | None = None,
     }
 
 
-def register(tables: dict[str, DataFrame], as_of: datetime | str | None = None,
-             store: Callable[[DataFrame], DataFrame] | None = None) -> None:
+def register(tables: dict[str, DataFrame], as_of: datetime | str | None = None) -> None:
     """Create or replace a temporary view for every table and every standing view."""
-    for name, df in {**tables, **all_views(tables, as_of, store)}.items():
+    for name, df in {**tables, **all_views(tables, as_of)}.items():
         df.createOrReplaceTempView(name)

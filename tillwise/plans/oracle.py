@@ -9,7 +9,8 @@ AS_OF = "TIMESTAMP '2001-08-02 00:00:00'"
 
 
 def _total(x: str) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18,4))) AS DOUBLE)"
+    # Six places: finer than the amounts, and not the places the engine counts in.
+    return f"CAST(sum(CAST({x} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 def _avg(x: str) -> str:
@@ -59,7 +60,7 @@ _SHOP = {
     "order_items": """
         SELECT l_orderkey || '-' || l_linenumber AS item_id,
                CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS product_id,
-               l_quantity AS quantity, l_extendedprice AS unit_price
+               l_quantity AS quantity, l_extendedprice / l_quantity AS unit_price
         FROM lineitem""",
     "dialled": """
         SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events""",
@@ -82,19 +83,25 @@ _SHOP = {
                  AS browser,
                CASE WHEN k % 2 = 0 THEN 'Google' ELSE 'Direct' END AS traffic_source
         FROM dialled""",
+    "plain_messages": """
+        SELECT o.*, p.product_id FROM shop_orders o LEFT JOIN (
+            SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
+                   CAST(min(l_partkey) AS VARCHAR) AS product_id
+            FROM lineitem GROUP BY l_orderkey) p USING (order_id)""",
     # One row per order message, with what the cleaning should make of it.
     "messages": """
-        SELECT o.*, p.product_id,
+        SELECT order_id, status, total_amount, o_orderkey,
+               CASE WHEN o_orderkey % 97 = 13 THEN 'nobody' ELSE client_id END AS client_id,
+               CASE WHEN o_orderkey % 89 = 21 AND product_id IS NOT NULL THEN 'nothing'
+                    ELSE product_id END AS product_id,
+               CASE WHEN o_orderkey % 113 <> 17 THEN order_date END AS order_date,
                CASE WHEN o_orderkey % 101 = 5 THEN -total_amount ELSE total_amount END AS amount,
                CASE WHEN o_orderkey % 103 = 7 THEN 'bad_json'
                     WHEN o_orderkey % 109 = 11 THEN 'missing_field'
-                    WHEN p.product_id IS NULL THEN 'null_key'
+                    WHEN product_id IS NULL THEN 'null_key'
                     WHEN total_amount IS NULL THEN 'bad_amount'
                     WHEN o_orderkey % 101 = 5 THEN 'negative_amount' END AS reason
-        FROM shop_orders o LEFT JOIN (
-            SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
-                   CAST(min(l_partkey) AS VARCHAR) AS product_id
-            FROM lineitem GROUP BY l_orderkey) p USING (order_id)""",
+        FROM plain_messages""",
     "cleaned": """
         SELECT order_id, client_id, product_id, total_amount,
                CASE WHEN lower(status) IN ('pending', 'confirmed', 'shipped', 'delivered',
@@ -124,7 +131,7 @@ _WINDOWED = f"""
     SELECT time_bucket(INTERVAL 60 SECONDS, order_date) AS window_start,
            time_bucket(INTERVAL 60 SECONDS, order_date) + INTERVAL 60 SECONDS AS window_end,
            client_id, count(*) AS order_count, {_total('total_amount')} AS total_revenue
-    FROM cleaned GROUP BY ALL"""
+    FROM joined WHERE order_date IS NOT NULL GROUP BY ALL"""
 
 _INACTIVE = f"""
     SELECT c.client_id, first_name, last_name, email, country, segment, last_order_date,
@@ -169,23 +176,50 @@ def _null_profile() -> str:
         "incidents": "report_date category status priority resolution_time_h",
         "page_views": "page event_datetime duration_seconds device browser traffic_source",
     }
-    # The registered query leaves the region of orders empty.
     rows = []
     for table, names in columns.items():
         source = "shop_orders" if table == "orders" else table
         for name in names.split():
-            value = "NULL" if (table, name) == ("orders", "region") else name
-            missing = f"count(*) FILTER (WHERE {value} IS NULL)"
+            missing = f"count(*) FILTER (WHERE {name} IS NULL)"
             rows.append(
                 f"SELECT '{table}' AS table_name, '{name}' AS column_name, count(*) AS n_rows, "
-                f"{missing} AS n_nulls, {_share(f'{value} IS NULL')} AS null_rate FROM {source}")
+                f"{missing} AS n_nulls, {_share(f'{name} IS NULL')} AS null_rate FROM {source}")
     return " UNION ALL ".join(rows)
 
 
+# What each column may hold.
+_ACCEPTED = {
+    "clients": {
+        "gender": ("M", "F", "Non-binary"),
+        "country": ("France", "Belgium", "Switzerland", "Canada", "Morocco", "Tunisia", "Senegal"),
+        "segment": ("new", "regular"),
+    },
+    "products": {
+        "category": ("Electronics", "Audio", "Office Furniture", "Accessories", "Storage"),
+    },
+    "orders": {
+        "status": ("Delivered", "Pending", "Cancelled", "Refunded"),
+        "payment_method": ("Credit card", "PayPal", "Bank transfer", "Cheque"),
+    },
+    "incidents": {
+        "category": ("Payment", "Delivery", "Defective product", "Login", "Customer service"),
+        "status": ("Resolved", "In progress", "Escalated", "Closed"),
+        "priority": ("Low", "Medium", "High", "Critical"),
+    },
+    "page_views": {
+        "page": (
+            "/home", "/products", "/cart", "/checkout", "/profile", "/support",
+            "/deals", "/category/electronics", "/category/audio"),
+        "device": ("Mobile", "Desktop", "Tablet"),
+        "browser": ("Chrome", "Safari", "Firefox", "Edge"),
+        "traffic_source": ("Direct", "Google", "Instagram", "Email", "Referral"),
+    },
+}
+
+
 def _accepted_values() -> str:
-    from tillwise.functions.domains import ACCEPTED
     rows = []
-    for table, lists in ACCEPTED.items():
+    for table, lists in _ACCEPTED.items():
         source = "shop_orders" if table == "orders" else table
         for column, values in lists.items():
             good = ", ".join(f"'{v}'" for v in values)
@@ -214,14 +248,20 @@ def _bodies() -> dict[str, str]:
     encoded = """'{"order_id":"' || order_id || '","client_id":"' || client_id || '","product_id":'
         || coalesce('"' || product_id || '"', 'null') || ',"total_amount":'
         || coalesce(CAST(total_amount AS VARCHAR), 'null') || ',"status":'
-        || coalesce('"' || status || '"', 'null') || ',"order_date":"'
-        || strftime(order_date, '%Y-%m-%d %H:%M:%S')
-        || '","sent_at":"2001-08-02T00:00:00.000000"}'"""
+        || coalesce('"' || status || '"', 'null') || ',"order_date":'
+        || coalesce('"' || strftime(order_date, '%Y-%m-%d %H:%M:%S') || '"', 'null')
+        || ',"sent_at":"2001-08-02T00:00:00.000000"}'"""
     sent = encoded.replace("coalesce(CAST(total_amount AS VARCHAR)",
                            "coalesce(CAST(amount AS VARCHAR)").replace(
         """coalesce('"' || status || '"', 'null')""",
         """coalesce('"' || CASE WHEN o_orderkey % 107 = 9 THEN ' \\t' || upper(status) || '\\n'
                                ELSE status END || '"', 'null')""")
+    rejected = f"""
+        SELECT CASE WHEN o_orderkey % 103 = 7 THEN left(value, length(value) - 3)
+                    WHEN o_orderkey % 109 = 11
+                    THEN replace(value, '"product_id"', '"product"') ELSE value END AS value,
+               reason
+        FROM (SELECT o_orderkey, reason, {sent} AS value FROM messages) WHERE reason IS NOT NULL"""
     return {
         "revenue_by_region": f"""
             SELECT country, o.region, date_trunc('month', order_date) AS month,
@@ -265,7 +305,7 @@ def _bodies() -> dict[str, str]:
                        count(DISTINCT order_id) AS nb_orders, {_round(total, 2)} AS revenue,
                        count(DISTINCT client_id) AS active_clients
                 FROM shop_orders WHERE status <> 'Cancelled' GROUP BY 1))""",
-        "client_360": _client_360("AND category = 'error'"),
+        "client_360": _client_360(""),
         "sql_over_views": f"""
             SELECT s.client_segment, s.segment, count(*) AS nb_clients,
                    count(i.client_id) AS nb_inactive, max(s.nb_orders) AS most_orders
@@ -301,15 +341,9 @@ def _bodies() -> dict[str, str]:
             FROM order_items i LEFT JOIN products p ON i.product_id = p.product_id
             WHERE product_name IS NOT NULL
             GROUP BY product_name ORDER BY revenue DESC, product_name LIMIT 5""",
-        "event_encode": f"SELECT order_id AS key, {encoded} AS value FROM messages",
+        "event_encode": f"SELECT order_id AS key, {encoded} AS value FROM plain_messages",
         "clean_orders": "SELECT * FROM cleaned",
-        "rejected_orders": f"""
-            SELECT CASE WHEN o_orderkey % 103 = 7 THEN left(value, length(value) - 3)
-                        WHEN o_orderkey % 109 = 11
-                        THEN replace(value, '"product_id"', '"product"') ELSE value END AS value,
-                   reason
-            FROM (SELECT o_orderkey, reason, {sent} AS value FROM messages)
-            WHERE reason IS NOT NULL""",
+        "rejected_orders": rejected,
         "dimension_first": """
             SELECT item_id, order_id, product_id, quantity, unit_price FROM (
                 SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY
@@ -325,30 +359,43 @@ def _bodies() -> dict[str, str]:
         "client_metrics_union": _METRICS.format("enriched"),
         "client_metrics": _METRICS.format("joined"),
         "client_metrics_windowed": _WINDOWED,
-        "stream_clean_orders": "SELECT * FROM enriched",
+        "stream_clean_orders": f"""
+            SELECT *, CAST(NULL AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS reason FROM enriched
+            UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, value, reason
+            FROM ({rejected})""",
+        "undated_orders": """
+            SELECT order_id, client_id, 'no_date' AS reason FROM joined WHERE order_date IS NULL""",
         "stream_dedup_orders": "SELECT * FROM cleaned",
         "stream_client_metrics": _METRICS.format("joined"),
         # A stream holds back the windows its watermark has not passed: ten minutes before the
         # last order.
         "stream_windowed_metrics": f"""
             SELECT * FROM ({_WINDOWED}) WHERE window_end <=
-                (SELECT max(order_date) - INTERVAL 10 MINUTES FROM cleaned)""",
+                (SELECT max(order_date) - INTERVAL 10 MINUTES FROM joined)""",
         "csv_roundtrip": "SELECT * FROM clients",
         "positional_csv": "SELECT client_id, last_name AS name, first_name AS email FROM clients",
         "partitioned_roundtrip": """
             SELECT *, CAST(CAST(event_datetime AS DATE) AS VARCHAR) AS day FROM page_views""",
         "catalog_tables": """
-            SELECT country, count(*) AS nb_views,
-                   count(DISTINCT CAST(event_datetime AS DATE)) AS nb_days
-            FROM page_views JOIN clients USING (client_id) GROUP BY country""",
+            SELECT country, count(*) AS nb_orders,
+                   CAST(sum((SELECT nullif(count(*), 0) FROM order_items i WHERE i.order_id = o.order_id)) AS BIGINT)
+                     AS nb_items,
+                   CAST(sum((SELECT CASE WHEN count(*) > 0 THEN count(p.product_id) END FROM order_items i
+                        LEFT JOIN products p ON i.product_id = p.product_id WHERE i.order_id = o.order_id)) AS BIGINT)
+                     AS nb_products,
+                   max((SELECT nullif(count(*), 0) FROM incidents n WHERE n.client_id = o.client_id)) AS most_incidents,
+                   max((SELECT CASE WHEN count(*) > 0 THEN count(DISTINCT CAST(event_datetime AS DATE)) END
+                        FROM page_views v WHERE v.client_id = o.client_id)) AS most_days
+            FROM shop_orders o JOIN clients USING (client_id) GROUP BY country""",
         "landing_manifest": " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, count(*) AS n_rows, 0 AS empty_files FROM {source}"
             for name, source in _TABLES.items()),
         "null_profile": _null_profile(),
         "duplicate_rows": """
-            SELECT item_id, count(*) AS copies FROM order_items GROUP BY item_id
-            HAVING count(*) > 1""",
-        "dedup_rows": "SELECT DISTINCT order_id, quantity FROM order_items",
+            SELECT *, count(*) AS copies FROM (
+                SELECT * FROM order_items UNION ALL
+                SELECT * FROM order_items WHERE order_id LIKE '%7') GROUP BY ALL HAVING count(*) > 1""",
+        "dedup_rows": "SELECT DISTINCT * FROM order_items",
         "email_check": """
             SELECT client_id, email, replace(email, 'at', '@') AS repaired_email
             FROM clients WHERE email NOT LIKE '%@%'""",
@@ -356,13 +403,27 @@ def _bodies() -> dict[str, str]:
         "ref_integrity": _ref_integrity(),
         "order_total_check": f"""
             SELECT o.order_id, total_amount, items_total,
-                   {_round('(total_amount - items_total)', 2)} AS difference, count(*) AS copies
-            FROM shop_orders o JOIN (
-                SELECT order_id, CAST(sum(CAST({_round('(unit_price * quantity)', 2)}
-                                          AS DECIMAL(18,2))) AS DOUBLE) AS items_total
-                FROM order_items GROUP BY order_id) i ON o.order_id = i.order_id
+                   {_round('(total_amount - items_total)', 2)} AS difference, count(*) AS copies, has_items
+            FROM (SELECT o.order_id, total_amount, coalesce(t, 0.0) AS items_total, t IS NOT NULL AS has_items
+                  FROM shop_orders o LEFT JOIN (
+                      SELECT order_id, CAST(sum(CAST({_round('(unit_price * quantity)', 2)}
+                                                AS DECIMAL(38,6))) AS DOUBLE) AS t
+                      FROM order_items GROUP BY order_id) i ON o.order_id = i.order_id) o
             WHERE abs(total_amount - items_total) > 0.005
-            GROUP BY o.order_id, total_amount, items_total""",
+            GROUP BY o.order_id, total_amount, items_total, has_items""",
+        "incident_date_check": """
+            SELECT i.client_id, incident_id, report_date, registration_date
+            FROM incidents i JOIN clients c ON i.client_id = c.client_id
+            WHERE report_date < registration_date""",
+        "mend_ages": "SELECT client_id, CASE WHEN age >= 10 AND age <= 100 THEN age END AS age FROM clients",
+        "seeded_sample": """
+            SELECT item_id, order_id, product_id, quantity, unit_price FROM (
+                SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42', item_id, order_id, product_id,
+                              CAST(place AS VARCHAR), CAST(chance AS VARCHAR)))) AS rank
+                FROM (SELECT *, row_number() OVER (PARTITION BY item_id, order_id, product_id
+                                                   ORDER BY quantity, unit_price) AS place FROM order_items),
+                     (SELECT unnest([1, 2, 3]) AS chance))
+            WHERE rank <= greatest(1, floor((SELECT count(*) FROM order_items) * 0.01))""",
         "date_order_check": """
             SELECT o.client_id, order_id, order_date, registration_date
             FROM shop_orders o JOIN clients c ON o.client_id = c.client_id

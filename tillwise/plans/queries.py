@@ -41,8 +41,7 @@ def inactive_clients(spark, folder):
 
 def top_products(spark, folder):
     return views.top_products(star.order_items(spark, folder), star.products(spark, folder),
-                              star.orders(spark, folder),
-                              store=lambda figures: scratch.stored(spark, figures, "products"))
+                              star.orders(spark, folder))
 
 
 def recurring_incidents(spark, folder):
@@ -64,7 +63,7 @@ def weekly_kpis(spark, folder):
 
 def client_360(spark, folder):
     return views.client_360(star.clients(spark, folder), star.orders(spark, folder),
-                            star.incidents(spark, folder, errors_only=True),
+                            star.incidents(spark, folder),
                             star.page_views(spark, folder))
 
 
@@ -173,38 +172,50 @@ def client_metrics_union(spark, folder):
 
 
 def client_metrics(spark, folder):
-    return metrics.client_metrics(enrich.joined_form(_cleaned(spark, folder),
-                                                     *_dimensions(spark, folder)))
+    return metrics.client_metrics(_joined(spark, folder))
+
+
+def _joined(spark, folder):
+    return enrich.joined_form(_cleaned(spark, folder), *_dimensions(spark, folder))
 
 
 def client_metrics_windowed(spark, folder):
-    return metrics.client_metrics_windowed(_cleaned(spark, folder))
+    return metrics.client_metrics_windowed(_joined(spark, folder))
+
+
+def undated_orders(spark, folder):
+    return metrics.undated(_joined(spark, folder)).select("order_id", "client_id", "reason")
 
 
-# The same as streams ----------------------------------------------------------------------------
+# The same as streams, one file at a time --------------------------------------------------------
+
+def _clean_stream(spark, folder, base, form):
+    path = f"{base}/messages"
+    star.write_by_year(spark, folder, path)
+    streams.start_cleaning(
+        messages.stream_messages(spark, path, max_files=1), *_dimensions(spark, folder),
+        orders_path=f"{base}/orders", rejects_path=f"{base}/rejects", checkpoint=f"{base}/cleaning",
+        form=form, available_now=True).awaitTermination()
+
 
-def _message_files(spark, folder) -> str:
-    path = scratch.new_folder(spark, "messages")
-    messages.write_messages(star.order_messages(spark, folder), path)
-    return path
+def _enriched_stream(spark, folder, base):
+    _clean_stream(spark, folder, base, "joined")
+    return streams.stream_sink(spark, f"{base}/orders", schemas.ENRICHED_ORDERS, max_files=1)
 
 
 def stream_clean_orders(spark, folder):
+    """Enriched orders and, with their reason, the messages set aside."""
     base = scratch.new_folder(spark, "clean")
-    stream = messages.stream_messages(spark, _message_files(spark, folder))
-    streams.start_cleaning(
-        stream, *_dimensions(spark, folder), orders_path=f"{base}/orders",
-        rejects_path=f"{base}/rejects", checkpoint=f"{base}/checkpoint",
-        available_now=True).awaitTermination()
-    return streams.read_sink(spark, f"{base}/orders",
-                             schemas.CLEANED_ORDERS).select(UNION_COLUMNS)
+    _clean_stream(spark, folder, base, "union")
+    orders = streams.read_sink(spark, f"{base}/orders", schemas.CLEANED_ORDERS)
+    rejects = streams.read_sink(spark, f"{base}/rejects", schemas.REJECTS)
+    return orders.select(UNION_COLUMNS).unionByName(rejects.select("value", "reason"), allowMissingColumns=True)
 
 
 def stream_client_metrics(spark, folder):
     base = scratch.new_folder(spark, "metrics")
-    stream = messages.stream_messages(spark, _message_files(spark, folder))
     streams.start_metrics(
-        stream, *_dimensions(spark, folder), metrics_path=f"{base}/metrics",
+        _enriched_stream(spark, folder, base), metrics_path=f"{base}/metrics",
         checkpoint=f"{base}/checkpoint", available_now=True).awaitTermination()
     versions = streams.read_sink(spark, f"{base}/metrics", schemas.CLIENT_METRICS)
     return metrics.latest_metrics(versions).select(METRIC_COLUMNS)
@@ -212,21 +223,24 @@ def stream_client_metrics(spark, folder):
 
 def stream_windowed_metrics(spark, folder):
     base = scratch.new_folder(spark, "windows")
-    stream = messages.stream_messages(spark, _message_files(spark, folder))
-    streams.start_windowed_metrics(
-        stream, metrics_path=f"{base}/metrics", checkpoint=f"{base}/checkpoint",
-        available_now=True).awaitTermination()
+    query = streams.start_windowed_metrics(
+        _enriched_stream(spark, folder, base), metrics_path=f"{base}/metrics",
+        checkpoint=f"{base}/checkpoint", available_now=True)
+    query.awaitTermination()
+    if late := streams.late_rows(query):
+        raise RuntimeError(f"{late} orders came behind the watermark")
     return streams.read_sink(spark, f"{base}/metrics", schemas.WINDOWED_METRICS).drop(
         "writer", "batch_id")
 
 
 def stream_dedup_orders(spark, folder):
     """Every message sent twice; one of each order gets through."""
-    base, path = scratch.new_folder(spark, "dedup"), scratch.new_folder(spark, "messages")
+    base = scratch.new_folder(spark, "dedup")
+    path = f"{base}/messages"
     for _ in range(2):
-        messages.write_messages(star.order_messages(spark, folder), path)
-    once = quality.dedup_stream(clean.clean_orders(messages.stream_messages(spark, path)),
-                                "order_date", "10 minutes", ["order_id"])
+        messages.write_messages(star.order_messages(spark, folder).coalesce(2), path)
+    once = quality.dedup_stream(
+        clean.clean_orders(messages.stream_messages(spark, path, max_files=1)), ["order_id"])
     streams.start_appending(once, path=f"{base}/orders", checkpoint=f"{base}/checkpoint",
                             available_now=True).awaitTermination()
     return streams.read_sink(spark, f"{base}/orders", once.schema).drop(
@@ -256,24 +270,35 @@ def partitioned_roundtrip(spark, folder):
 
 
 def catalog_tables(spark, folder):
-    """Create the six tables, load three of them and read them by name."""
+    """Create and load the six tables, read all of them by name, and drop the database."""
     base = scratch.new_folder(spark, "shop")
     database = "shop_" + base.rsplit("-", 1)[1]
     tables.create_tables(spark, database, base)
-    loads = {"clients": star.clients(spark, folder), "products": star.products(spark, folder),
-             "page_views": star.page_views(spark, folder)}
-    for name, df in loads.items():
-        tables.load_table(spark, database, name, df)
-    return spark.sql(f"""
-        SELECT c.country, count(*) AS nb_views, count(DISTINCT v.day) AS nb_days
-        FROM {database}.page_views v JOIN {database}.clients c ON v.client_id = c.client_id
-        GROUP BY c.country""")
+    try:
+        for name, df in star.shop(spark, folder).items():
+            tables.load_table(spark, database, name, df)
+        found = spark.sql(f"""
+            SELECT c.country, count(*) AS nb_orders, sum(i.n_items) AS nb_items,
+                   sum(i.n_products) AS nb_products, max(n.nb_incidents) AS most_incidents,
+                   max(v.nb_days) AS most_days
+            FROM {database}.orders o JOIN {database}.clients c ON o.client_id = c.client_id
+            LEFT JOIN (SELECT order_id, count(*) AS n_items, count(p.product_id) AS n_products
+                       FROM {database}.order_items t LEFT JOIN {database}.products p
+                       ON t.product_id = p.product_id GROUP BY order_id) i ON o.order_id = i.order_id
+            LEFT JOIN (SELECT client_id, count(*) AS nb_incidents FROM {database}.incidents
+                       GROUP BY client_id) n ON o.client_id = n.client_id
+            LEFT JOIN (SELECT client_id, count(DISTINCT day) AS nb_days FROM {database}.page_views
+                       GROUP BY client_id) v ON o.client_id = v.client_id
+            GROUP BY c.country""")
+        return scratch.stored(spark, found, "by_country")
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
 
 def landing_manifest(spark, folder):
     """All six tables to CSV, landed as Parquet; the manifest per table."""
     source, zone = scratch.new_folder(spark, "csv"), scratch.new_folder(spark, "raw")
-    landing.write_folder(star.shop(spark, folder, region=False), source)
+    landing.write_folder(star.shop(spark, folder), source)
     return (landing.land_folder(spark, source, zone).groupBy("table_name")
             .agg(F.sum("n_rows").alias("n_rows"),
                  F.count_if(F.col("source_bytes") <= 0).alias("empty_files")))
@@ -282,7 +307,7 @@ def landing_manifest(spark, folder):
 # Data quality -----------------------------------------------------------------------------------
 
 def null_profile(spark, folder):
-    shop = star.shop(spark, folder, region=False)
+    shop = star.shop(spark, folder)
     profiles = [quality.null_profile(df, name) for name, df in shop.items()]
     result = profiles[0]
     for profile in profiles[1:]:
@@ -291,11 +316,11 @@ def null_profile(spark, folder):
 
 
 def duplicate_rows(spark, folder):
-    return quality.duplicate_rows(star.order_items(spark, folder), ["item_id"])
+    return quality.duplicate_rows(star.repeated_items(spark, folder))
 
 
 def dedup_rows(spark, folder):
-    return quality.dedup_rows(star.order_items(spark, folder).select("order_id", "quantity"))
+    return quality.dedup_rows(star.repeated_items(spark, folder))
 
 
 def email_check(spark, folder):
@@ -326,6 +351,15 @@ def date_order_check(spark, folder):
                                     "order_id", "order_date")
 
 
+def incident_date_check(spark, folder):
+    return quality.date_order_check(star.incidents(spark, folder), star.clients(spark, folder),
+                                    "incident_id", "report_date")
+
+
+def mend_ages(spark, folder):
+    return quality.mend_ages(star.clients(spark, folder)).select("client_id", "age")
+
+
 def segment_rule(spark, folder):
     return quality.segment_rule(star.clients(spark, folder), star.AS_OF)
 
@@ -362,7 +396,7 @@ def accepted_values(spark, folder):
 
 
 def seeded_sample(spark, folder):
-    return quality.seeded_sample(star.order_items(spark, folder))
+    return quality.seeded_sample(star.order_items(spark, folder), ["item_id", "order_id", "product_id"])
 
 
 ALL: tuple[Query, ...] = (
@@ -372,10 +406,10 @@ ALL: tuple[Query, ...] = (
     delivery_rate, resolution_rate, top5_products,
     event_encode, clean_orders, rejected_orders, dimension_first, orders_join_clients,
     orders_join_products, enriched_union, enriched_joined, client_metrics_union, client_metrics,
-    client_metrics_windowed,
+    client_metrics_windowed, undated_orders,
     stream_clean_orders, stream_client_metrics, stream_windowed_metrics, stream_dedup_orders,
     csv_roundtrip, positional_csv, partitioned_roundtrip, catalog_tables, landing_manifest,
     null_profile, duplicate_rows, dedup_rows, email_check, age_check, ref_integrity,
-    order_total_check, date_order_check, segment_rule, region_lookup, resolution_rule,
+    order_total_check, date_order_check, incident_date_check, mend_ages, segment_rule, region_lookup, resolution_rule,
     price_band_check, catalogue_band_check, duration_band_check, accepted_values, seeded_sample,
 )

@@ -8,7 +8,6 @@ ever building the pairs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -61,15 +60,15 @@ def inactive_clients(orders: DataFrame, clients: DataFrame,
             .orderBy(F.desc("historical_revenue")))
 
 
-def top_products(order_items: DataFrame, products: DataFrame, orders: DataFrame,
-                 store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def top_products(order_items: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
     """Sales, cancellation rate and rank within the category, per product.
 
-    A plain window ranks each category in one task. For a catalogue too large for that give
-    ``store``, which writes the figures per product to a table and reads them back; they are then
-    ranked in bands.
+    Products are ranked in narrow bands of revenue, so no category is one task; the second use of
+    the figures reads the same shuffles again. Orders are grouped on the key of the join.
     """
-    statuses = orders.groupBy("order_id", "status").agg(F.count("*").alias("copies"))
+    statuses = orders.groupBy("order_id").agg(
+        F.count("*").alias("copies"),
+        F.count_if(F.col("status") == "Cancelled").alias("cancelled_copies"))
     quantity, price, copies = F.col("quantity"), F.col("unit_price"), F.col("copies")
     sales = (
         order_items.select("order_id", "product_id", "quantity", "unit_price")
@@ -78,8 +77,7 @@ def top_products(order_items: DataFrame, products: DataFrame, orders: DataFrame,
              exact_sum(quantity, copies).alias("quantity"),
              exact_sum(quantity * price, copies).alias("total"),
              mean(price, copies).alias("price"),
-             (F.sum(F.when(F.col("status") == "Cancelled", copies).otherwise(0))
-              / F.sum(copies)).alias("cancelled")))
+             (F.sum("cancelled_copies") / F.sum(copies)).alias("cancelled")))
     # Joined only now: one row per product instead of one per item.
     catalogue = (products.groupBy("product_id", "product_name", "category")
                  .agg(F.count("*").alias("listings")))
@@ -87,12 +85,7 @@ def top_products(order_items: DataFrame, products: DataFrame, orders: DataFrame,
         "product_id", "product_name", "category", "nb_orders",
         (F.col("quantity") * F.col("listings")).alias("qty_sold"),
         (F.col("total") * F.col("listings")).alias("total"), "price", "cancelled")
-    if store:
-        ranked = rank_within(store(figures), "category", "total", "place")
-    else:
-        by_revenue = Window.partitionBy("category").orderBy(F.desc("total"))
-        ranked = figures.withColumn("place", F.rank().over(by_revenue))
-    return ranked.select(
+    return rank_within(figures, "category", "total", "place").select(
         "product_id", "product_name", "category", "nb_orders", "qty_sold",
         round_to("total", 2).alias("revenue"),
         round_to("price", 2).alias("avg_price"),

@@ -7,27 +7,33 @@ from pyspark.sql.types import (
     DoubleType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
-_TYPES = {"S": StringType(), "F": DoubleType(), "I": LongType(), "T": TimestampType()}
+_TYPES = {"string": StringType(), "double": DoubleType(), "bigint": LongType(),
+          "timestamp": TimestampType()}
 
 
 def _schema(columns: str) -> StructType:
-    fields = (entry.split(":") for entry in columns.split())
-    return StructType([StructField(name, _TYPES[code]) for name, code in fields])
+    fields = (entry.split() for entry in columns.split(","))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
+# The names and types of the data model.
 CLIENTS = _schema(
-    "client_id:S last_name:S first_name:S email:S age:F gender:S country:S city:S phone:S "
-    "registration_date:T segment:S")
-PRODUCTS = _schema("product_id:S product_name:S category:S unit_price:F stock:I")
+    "client_id string, last_name string, first_name string, email string, age double, gender "
+    "string, country string, city string, phone string, registration_date timestamp, segment "
+    "string")
+PRODUCTS = _schema(
+    "product_id string, product_name string, category string, unit_price double, stock bigint")
 ORDERS = _schema(
-    "order_id:S client_id:S order_date:T status:S payment_method:S region:S total_amount:F")
-ORDER_ITEMS = _schema("item_id:S order_id:S product_id:S quantity:F unit_price:F")
+    "order_id string, client_id string, order_date timestamp, status string, payment_method "
+    "string, region string, total_amount double")
+ORDER_ITEMS = _schema(
+    "item_id string, order_id string, product_id string, quantity double, unit_price double")
 INCIDENTS = _schema(
-    "incident_id:S client_id:S report_date:T category:S order_id:S status:S priority:S "
-    "resolution_time_h:F")
+    "incident_id string, client_id string, report_date timestamp, category string, order_id "
+    "string, status string, priority string, resolution_time_h double")
 PAGE_VIEWS = _schema(
-    "session_id:S client_id:S page:S event_datetime:T duration_seconds:F device:S browser:S "
-    "traffic_source:S")
+    "session_id string, client_id string, page string, event_datetime timestamp, duration_seconds "
+    "double, device string, browser string, traffic_source string")
 
 TABLES = {
     "clients": CLIENTS,
@@ -39,13 +45,17 @@ TABLES = {
 }
 
 CLEANED_ORDERS = _schema(
-    "order_id:S client_id:S product_id:S total_amount:F status:S order_date:T sent_at:T "
-    "processed_at:T name:S email:S category:S")
+    "order_id string, client_id string, product_id string, total_amount double, status string, "
+    "order_date timestamp, sent_at timestamp, processed_at timestamp, name string, email string, "
+    "category string")
 ENRICHED_ORDERS = StructType(CLEANED_ORDERS.fields + [StructField("product_name", StringType())])
-CLIENT_METRICS = _schema("client_id:S order_count:I total_revenue:F load_timestamp:T")
+CLIENT_METRICS = _schema(
+    "client_id string, order_count bigint, total_revenue double, load_timestamp timestamp")
 
 WINDOWED_METRICS = _schema(
-    "window_start:T window_end:T client_id:S order_count:I total_revenue:F")
+    "window_start timestamp, window_end timestamp, client_id string, order_count bigint, "
+    "total_revenue double")
+REJECTS = _schema("value string, reason string")
 
 
 def with_columns(schema: StructType, **types: str) -> StructType:

@@ -48,3 +48,9 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, **options: str)
     """A Kafka topic as a stream of ``key`` and ``value``; needs the Kafka connector package."""
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic).options(**options).load().select("key", "value"))
+
+
+def write_topic(messages: DataFrame, servers: str, topic: str, **options: str) -> None:
+    """Send keyed messages to a Kafka topic; needs the Kafka connector package. Untested here."""
+    (messages.select("key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers)
+     .option("topic", topic).options(**options).save())

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwise import schemas
-from tillwise.sources.messages import encode_events
+from tillwise.sources.messages import encode_events, write_messages
 
 AS_OF = "2001-08-02 00:00:00"
 
@@ -67,43 +67,50 @@ def _status(k: Column) -> Column:
             .otherwise("Pending"))
 
 
+def _order_columns(region: Column | None = None) -> list[Column]:
+    k = F.col("o_orderkey")
+    made = {"order_id": k, "client_id": F.col("o_custkey"), "order_date": F.col("o_orderdate"),
+            "status": _status(k), "payment_method": F.col("o_orderpriority"), "region": F.lit(None) if region is None else region,
+            "total_amount": F.when(k % 50 != 24, F.col("o_totalprice"))}
+    return [made[f.name].cast(f.dataType).alias(f.name) for f in schemas.ORDERS.fields]
+
+
 def orders(spark: SparkSession, folder: str, region: bool = False) -> DataFrame:
     """Orders; the region costs three joins and is filled in only on request."""
-    k = F.col("o_orderkey")
     placed = read(spark, folder, "orders")
-    if region:
-        where = (read(spark, folder, "customer")
-                 .join(read(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-                 .join(read(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-                 .select("c_custkey", "r_name"))
-        placed = placed.join(where, F.col("o_custkey") == F.col("c_custkey"))
-    return schemas.conform(placed.select(
-        k.alias("order_id"), F.col("o_custkey").alias("client_id"),
-        F.col("o_orderdate").alias("order_date"), _status(k).alias("status"),
-        F.col("o_orderpriority").alias("payment_method"),
-        (F.col("r_name") if region else F.lit(None)).alias("region"),
-        F.when(k % 50 != 24, F.col("o_totalprice")).alias("total_amount")), schemas.ORDERS)
+    if not region:
+        return placed.select(*_order_columns())
+    where = (read(spark, folder, "customer")
+             .join(read(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+             .join(read(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+             .select("c_custkey", "r_name"))
+    return placed.join(where, F.col("o_custkey") == F.col("c_custkey")).select(*_order_columns(F.col("r_name")))
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
     return schemas.conform(read(spark, folder, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("item_id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("unit_price")),
+        F.col("l_quantity").alias("quantity"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price")),
         schemas.ORDER_ITEMS)
 
 
+def repeated_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Order items in which every item of an order number that ends in 7 comes twice."""
+    items = order_items(spark, folder)
+    return items.withColumn("_times", F.explode(F.sequence(
+        F.lit(1), F.when(F.endswith("order_id", F.lit("7")), 2).otherwise(1)))).drop("_times")
+
+
 def _dial() -> Column:
     """The number 0..99 in an event's props."""
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def incidents(spark: SparkSession, folder: str, errors_only: bool = False) -> DataFrame:
-    """Events as support incidents; ``errors_only`` keeps the error events alone."""
+def incidents(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as support incidents."""
     k, n = _dial(), F.col("event_id")
     events = read(spark, folder, "events")
-    if errors_only:
-        events = events.filter(F.col("event_type") == "error")
     return schemas.conform(events.select(
         n.alias("incident_id"), F.col("user_id").alias("client_id"),
         F.col("ts").alias("report_date"), F.col("event_type").alias("category"),
@@ -141,29 +148,48 @@ def shop(spark: SparkSession, folder: str, region: bool = True) -> dict[str, Dat
 
 
 def orders_with_product(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with the least part number of their items as product_id, NULL without items."""
-    bought = (read(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("order_key"))
+    """Orders with the least part number of their items as product_id, NULL without items.
+
+    Items are grouped and joined on the order number itself, so the grouping serves the join; ids
+    become text afterwards.
+    """
+    bought = (read(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
               .agg(F.min("l_partkey").cast("string").alias("product_id")))
-    # Both sides grow with the data, so neither is ever worth a broadcast.
-    return orders(spark, folder).join(
-        bought.select(F.col("order_key").cast("string").alias("order_id"), "product_id")
-        .hint("merge"), "order_id", "left")
+    placed = read(spark, folder, "orders").join(bought, "o_orderkey", "left")
+    return placed.select(*_order_columns(), "product_id")
 
 
-def order_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """The order stream as JSON text, with faults in fixed places: negative amounts, padded
-    upper-case statuses, cut-off texts and messages that lack the product."""
+def faulty_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as a shop might send them: some of unknown clients or products, some without a date,
+    with a negative amount or a padded upper-case status."""
     k = F.col("order_id").cast("bigint")
-    faulty = (
-        orders_with_product(spark, folder)
-        .withColumn("total_amount",
-                    F.when(k % 101 == 5, -F.col("total_amount")).otherwise(F.col("total_amount")))
-        .withColumn("status",
-                    F.when(k % 107 == 9, F.concat(F.lit(" \t"), F.upper("status"), F.lit("\n")))
-                    .otherwise(F.col("status"))))
+    return orders_with_product(spark, folder).withColumns({
+        "client_id": F.when(k % 97 == 13, "nobody").otherwise(F.col("client_id")),
+        "product_id": F.when((k % 89 == 21) & F.col("product_id").isNotNull(), "nothing")
+        .otherwise(F.col("product_id")),
+        "order_date": F.when(k % 113 != 17, F.col("order_date")),
+        "total_amount": F.when(k % 101 == 5, -F.col("total_amount")).otherwise(F.col("total_amount")),
+        "status": F.when(k % 107 == 9, F.concat(F.lit(" \t"), F.upper("status"), F.lit("\n")))
+        .otherwise(F.col("status"))})
+
+
+def order_messages(spark: SparkSession, folder: str, placed: DataFrame | None = None) -> DataFrame:
+    """The order stream as JSON text; some texts are cut off and some lack the product."""
     value, key = F.col("value"), F.col("key").cast("bigint")
-    return encode_events(faulty, sent_at=AS_OF).select(
+    sent = faulty_orders(spark, folder) if placed is None else placed
+    return encode_events(sent, sent_at=AS_OF).select(
         "key",
         F.when(key % 103 == 7, F.expr("left(value, length(value) - 3)"))
         .when(key % 109 == 11, F.replace(value, F.lit('"product_id"'), F.lit('"product"')))
         .otherwise(value).alias("value"))
+
+
+def write_by_year(spark: SparkSession, folder: str, path: str) -> None:
+    """The order stream as files in order of date, one write per year; orders without a date come
+    first. The years are those of the orders' first and last date."""
+    placed = faulty_orders(spark, folder)
+    ends = read(spark, folder, "orders").agg(
+        F.year(F.min("o_orderdate")).alias("first"), F.year(F.max("o_orderdate")).alias("last")).first()
+    year = F.year("order_date")
+    for part in [year.isNull(), *(year == y for y in range(ends["first"] or 0, (ends["last"] or -1) + 1))]:
+        write_messages(order_messages(spark, folder, placed.where(part)).coalesce(1), path)

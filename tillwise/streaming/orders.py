@@ -1,4 +1,6 @@
-"""The order stream: clean, enrich, append; running and windowed client metrics.
+"""The order stream: clean, enrich, append; running and windowed client metrics of what was appended.
+
+Metrics read the table of enriched orders as a stream, so their stateful plans hold no join.
 
 Each batch goes to a folder named after the query's checkpoint and the batch number. A batch that
 is repeated after a failure replaces its folder, so the sink holds it once; another query with a
@@ -16,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from tillwise.operators.clean import accepted, assess
 from tillwise.operators.clean import rejected as rejects_of
-from tillwise.operators.enrich import FORMS, enrich
+from tillwise.operators.enrich import enrich
 from tillwise.operators.metrics import client_metrics, client_metrics_windowed, stamped
 from tillwise.schemas import with_columns
 
@@ -32,6 +34,21 @@ def read_sink(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(full).parquet(path)
 
 
+def stream_sink(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None
+                ) -> DataFrame:
+    """What is appended to a table, as a stream."""
+    reader = spark.readStream.schema(with_columns(schema, writer="string", batch_id="long"))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path).drop("writer", "batch_id")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark and were not counted, in the batches Spark remembers."""
+    return sum(state.numRowsDroppedByWatermark for progress in query.recentProgress
+               for state in progress.stateOperators)
+
+
 def _started(writer: DataStreamWriter, checkpoint: str, available_now: bool,
              every: str | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
@@ -71,25 +88,23 @@ def start_appending(rows: DataFrame, *, path: str, checkpoint: str, mode: str =
                     available_now, every)
 
 
-def start_metrics(messages: DataFrame, clients: DataFrame, products: DataFrame, *,
-                  metrics_path: str, checkpoint: str, form: str = "joined",
+def start_metrics(orders: DataFrame, *, metrics_path: str, checkpoint: str,
                   available_now: bool = False, every: str | None = None) -> StreamingQuery:
-    """Append each client's running totals whenever they change."""
-    join, _ = FORMS[form]
-    totals = client_metrics(join(accepted(assess(messages)), clients, products))
-
+    """Append each client's running totals whenever they change. ``orders`` is a stream of enriched
+    orders (``stream_sink``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         _append(stamped(batch), metrics_path, checkpoint, batch_id)
 
-    return _started(totals.writeStream.outputMode("update").foreachBatch(write), checkpoint,
-                    available_now, every)
+    return _started(client_metrics(orders).writeStream.outputMode("update").foreachBatch(write),
+                    checkpoint, available_now, every)
 
 
-def start_windowed_metrics(messages: DataFrame, *, metrics_path: str, checkpoint: str,
+def start_windowed_metrics(orders: DataFrame, *, metrics_path: str, checkpoint: str,
                            width: str = "60 seconds", lateness: str = "10 minutes",
                            available_now: bool = False,
                            every: str | None = None) -> StreamingQuery:
-    """Append each client's totals per window once the watermark has passed its end."""
-    windows = client_metrics_windowed(accepted(assess(messages)), width, lateness)
-    return start_appending(windows, path=metrics_path, checkpoint=checkpoint,
-                           available_now=available_now, every=every)
+    """Append each client's totals per window once the watermark has passed its end. ``orders`` is
+    a stream of enriched orders in about their order of date; ``late_rows`` counts those that came
+    later than ``lateness`` allows."""
+    return start_appending(client_metrics_windowed(orders, width, lateness), path=metrics_path,
+                           checkpoint=checkpoint, available_now=available_now, every=every)
