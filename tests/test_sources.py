@@ -138,15 +138,24 @@ def test_catalog_tables(spark, folder):
         spark.sql("DROP DATABASE shop_test CASCADE")
 
 
-def test_landing(spark, folder):
+def test_landing(spark, tmp_path):
+    source, zone = tmp_path / "in", f"{tmp_path}/raw"
     landing.write_folder({"clients": table(spark, "clients", client("a"), client("b")).coalesce(1),
-                          "products": table(spark, "products", product("p"))}, f"{folder}/in")
-    rows = by(landing.land_folder(spark, f"{folder}/in", f"{folder}/raw", ["clients", "products"]),
-              "table_name")
-    assert rows["clients"]["n_rows"] == 2 and rows["products"]["n_rows"] == 1
+                          "products": table(spark, "products", product("p")).coalesce(1)}, str(source))
+    lines(source / "new.csv", "x,y", "1,2", '3,"a\nb"')
+    lines(source / "header_only.csv", "x,y")
+    lines(source / "notes.txt", "no table")
+    rows = by(landing.land_folder(spark, str(source), zone), "table_name")
+    assert {k: r["n_rows"] for k, r in rows.items()} == {"clients": 2, "products": 1, "new": 2, "header_only": 0}
     assert all(r["source_bytes"] > 0 and r["source_file"].endswith(".csv") for r in rows.values())
-    landed = spark.read.parquet(f"{folder}/raw/products").drop("source_file", "source_bytes")
+    landed = spark.read.parquet(f"{zone}/products").drop("source_file", "source_bytes")
     assert landed.schema == schemas.PRODUCTS and landed.count() == 1
+    assert [(r.x, r.y) for r in spark.read.parquet(f"{zone}/new").orderBy("x").collect()] == [("1", "2"), ("3", "a\nb")]
+
+
+def test_landing_of_an_empty_folder(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert landing.land_folder(spark, f"{tmp_path}/in", f"{tmp_path}/raw").collect() == []
 
 
 def test_scratch_follows_the_session(spark):

@@ -262,6 +262,9 @@ def _bodies() -> dict[str, str]:
                     THEN replace(value, '"product_id"', '"product"') ELSE value END AS value,
                reason
         FROM (SELECT o_orderkey, reason, {sent} AS value FROM messages) WHERE reason IS NOT NULL"""
+    unchanged = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed FROM {source}"
+        for name, source in _TABLES.items())
     return {
         "revenue_by_region": f"""
             SELECT country, o.region, date_trunc('month', order_date) AS month,
@@ -373,7 +376,14 @@ def _bodies() -> dict[str, str]:
             SELECT * FROM ({_WINDOWED}) WHERE window_end <=
                 (SELECT max(order_date) - INTERVAL 10 MINUTES FROM joined)""",
         "csv_roundtrip": "SELECT * FROM clients",
-        "positional_csv": "SELECT client_id, last_name AS name, first_name AS email FROM clients",
+        "csv_roundtrip_all": unchanged,
+        "csv_rejects": """
+            SELECT product_id || ',' || product_name || ',' || category || ',cheap,' || stock AS value,
+                   'bad_value' AS reason FROM products WHERE CAST(product_id AS BIGINT) % 20 = 3""",
+        "positional_csv": """
+            SELECT client_id AS key, last_name AS second, first_name AS third, 'clients' AS kind FROM clients
+            UNION ALL SELECT product_id, product_name, category, 'products' FROM products""",
+        "partitioned_roundtrip_all": unchanged,
         "partitioned_roundtrip": """
             SELECT *, CAST(CAST(event_datetime AS DATE) AS VARCHAR) AS day FROM page_views""",
         "catalog_tables": """
@@ -389,7 +399,7 @@ def _bodies() -> dict[str, str]:
             FROM shop_orders o JOIN clients USING (client_id) GROUP BY country""",
         "landing_manifest": " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, count(*) AS n_rows, 0 AS empty_files FROM {source}"
-            for name, source in _TABLES.items()),
+            for name, source in [*_TABLES.items(), ("regions", "region"), ("returns", "region WHERE false")]),
         "null_profile": _null_profile(),
         "duplicate_rows": """
             SELECT *, count(*) AS copies FROM (

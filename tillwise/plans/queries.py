@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -249,18 +250,52 @@ def stream_dedup_orders(spark, folder):
 
 # Sources, sinks, tables -------------------------------------------------------------------------
 
+def _changes(before, after, name):
+    """Rows of a table and rows that a round trip has lost, added or altered."""
+    columns = before.columns
+    both = before.withColumn("_sign", F.lit(1)).unionByName(after.select(columns).withColumn("_sign", F.lit(-1)))
+    per_row = both.groupBy(columns).agg(F.sum("_sign").alias("_left"), F.count_if(F.col("_sign") == 1).alias("_rows"))
+    return per_row.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n_rows"),
+                       F.coalesce(F.sum(F.abs("_left")), F.lit(0)).alias("n_changed")).select(
+        F.lit(name).alias("table_name"), "n_rows", "n_changed")
+
+
 def csv_roundtrip(spark, folder):
     path = scratch.new_folder(spark, "csv")
     csv_files.write_csv(star.clients(spark, folder), path)
     return csv_files.load_csv(spark, schemas.CLIENTS, path)
 
 
-def positional_csv(spark, folder):
+def csv_roundtrip_all(spark, folder):
+    """All six tables through CSV, compared row by row."""
+    base, shop = scratch.new_folder(spark, "csv"), star.shop(spark, folder)
+    landing.write_folder(shop, base)
+    return reduce(DataFrame.unionByName, (
+        _changes(df, csv_files.load_csv(spark, schemas.TABLES[name], f"{base}/{name}.csv"), name)
+        for name, df in shop.items()))
+
+
+def csv_rejects(spark, folder):
+    """Products of which some have a word for a price: what the typed load sets aside."""
     path = scratch.new_folder(spark, "csv")
-    csv_files.write_csv(star.clients(spark, folder), path)
-    rows, _ = csv_files.load_by_position(spark, path, ["client_id", "name", "email"],
-                                         width=len(schemas.CLIENTS))
-    return rows
+    price = F.when(F.col("product_id").cast("bigint") % 20 == 3, "cheap").otherwise(F.col("unit_price").cast("string"))
+    csv_files.write_csv(star.products(spark, folder).withColumn("unit_price", price), path)
+    _, rejects = csv_files.load_csv_with_rejects(spark, schemas.PRODUCTS, path)
+    return rejects
+
+
+def positional_csv(spark, folder):
+    """Clients and products by position, with the rejects of both."""
+    base, parts = scratch.new_folder(spark, "csv"), []
+    named = {"clients": ("client_id", "name", "email"), "products": ("product_id", "name", "category")}
+    for name, names in named.items():
+        csv_files.write_csv(star.shop(spark, folder)[name], f"{base}/{name}")
+        rows, rejects = csv_files.load_by_position(spark, f"{base}/{name}", list(names),
+                                                   width=len(schemas.TABLES[name]))
+        parts += [rows.toDF("key", "second", "third").withColumn("kind", F.lit(name)),
+                  rejects.select(F.lit(None).cast("string").alias("key"), F.col("value").alias("second"),
+                                 F.col("reason").alias("third"), F.lit("rejects").alias("kind"))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def partitioned_roundtrip(spark, folder):
@@ -269,6 +304,15 @@ def partitioned_roundtrip(spark, folder):
     return _as_text(tables.read_table(spark, "page_views", path), "day")
 
 
+def partitioned_roundtrip_all(spark, folder):
+    """Every table through its layout, compared row by row."""
+    base, parts = scratch.new_folder(spark, "lake"), []
+    for name, df in star.shop(spark, folder).items():
+        tables.write_table(df, name, f"{base}/{name}")
+        parts.append(_changes(df, tables.read_table(spark, name, f"{base}/{name}"), name))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def catalog_tables(spark, folder):
     """Create and load the six tables, read all of them by name, and drop the database."""
     base = scratch.new_folder(spark, "shop")
@@ -296,12 +340,14 @@ def catalog_tables(spark, folder):
 
 
 def landing_manifest(spark, folder):
-    """All six tables to CSV, landed as Parquet; the manifest per table."""
+    """All six tables, one that the data model does not know and one without rows to CSV, landed
+    as Parquet; the manifest per table."""
     source, zone = scratch.new_folder(spark, "csv"), scratch.new_folder(spark, "raw")
-    landing.write_folder(star.shop(spark, folder), source)
+    regions = star.read(spark, folder, "region")
+    landing.write_folder({**star.shop(spark, folder), "regions": regions,
+                          "returns": regions.where("false")}, source)
     return (landing.land_folder(spark, source, zone).groupBy("table_name")
-            .agg(F.sum("n_rows").alias("n_rows"),
-                 F.count_if(F.col("source_bytes") <= 0).alias("empty_files")))
+            .agg(F.sum("n_rows").alias("n_rows"), F.count_if(F.col("source_bytes") <= 0).alias("empty_files")))
 
 
 # Data quality -----------------------------------------------------------------------------------
@@ -408,7 +454,8 @@ ALL: tuple[Query, ...] = (
     orders_join_products, enriched_union, enriched_joined, client_metrics_union, client_metrics,
     client_metrics_windowed, undated_orders,
     stream_clean_orders, stream_client_metrics, stream_windowed_metrics, stream_dedup_orders,
-    csv_roundtrip, positional_csv, partitioned_roundtrip, catalog_tables, landing_manifest,
+    csv_roundtrip, csv_roundtrip_all, csv_rejects, positional_csv, partitioned_roundtrip,
+    partitioned_roundtrip_all, catalog_tables, landing_manifest,
     null_profile, duplicate_rows, dedup_rows, email_check, age_check, ref_integrity,
     order_total_check, date_order_check, incident_date_check, mend_ages, segment_rule, region_lookup, resolution_rule,
     price_band_check, catalogue_band_check, duration_band_check, accepted_values, seeded_sample,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
@@ -25,13 +27,17 @@ RUNTIME = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else has built."""
+    """Apply the runtime settings to a session somebody else has built. They change that session,
+    its time zone and ANSI mode included; what could not be set is told in a warning."""
+    left = []
     for key, value in RUNTIME.items():
         try:
             if spark.conf.get(key, None) != value:
                 spark.conf.set(key, value)
         except PySparkException:
-            continue  # a setting this Spark build does not know or does not let us change
+            left.append(key)  # a setting this Spark build does not know or does not let us change
+    if left:
+        warnings.warn(f"settings left as they are: {', '.join(left)}", stacklevel=2)
     return spark
 
 

@@ -12,8 +12,10 @@ _BAD = "_corrupt_record"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; quotes inside a cell are doubled, NULL is nothing, empty text is quoted."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV with a header; quotes inside a cell are doubled, NULL is nothing, empty text is quoted,
+    and times keep their microseconds."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(path))
 
 
 def _reader(spark: SparkSession, schema: StructType, quoted_newlines: bool):
@@ -38,6 +40,12 @@ def load_csv(spark: SparkSession, schema: StructType, path: str,
     return _reader(spark, schema, quoted_newlines).option("mode", "FAILFAST").csv(path)
 
 
+def load_text(spark: SparkSession, path: str, quoted_newlines: bool = True) -> DataFrame:
+    """Every cell as text, under the names in the header."""
+    return (spark.read.option("header", True).option("escape", '"').option("nullValue", "\0")
+            .option("multiLine", quoted_newlines).csv(path))
+
+
 def load_csv_with_rejects(spark: SparkSession, schema: StructType, path: str,
                           quoted_newlines: bool = True) -> tuple[DataFrame, DataFrame]:
     """Rows that fit the schema, and the text of those that do not.

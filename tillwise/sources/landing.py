@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise import schemas
-from tillwise.sources.csv_files import load_csv, write_csv
+from tillwise.sources.csv_files import load_csv, load_text, write_csv
+
+
+def listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every CSV file below a folder: table, file name and size. Contents are not read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.csv").load(folder))
+    return files.select(
+        F.regexp_extract("path", r"/([^/]+?)\.csv(?:/[^/]+)?$", 1).alias("table_name"),
+        F.element_at(F.split("path", "/"), -1).alias("source_file"), F.col("length").alias("source_bytes"))
 
 
 def land_csv(spark: SparkSession, table: str, source: str, zone: str) -> None:
-    """One table's CSV files to Parquet; every row keeps the name and size of its file."""
-    (load_csv(spark, schemas.TABLES[table], source)
-     .select("*", F.col("_metadata.file_name").alias("source_file"),
-             F.col("_metadata.file_size").alias("source_bytes"))
+    """One table's CSV files to Parquet; every row keeps the name and size of its file. A table the
+    data model does not know lands as text, under the names in its header."""
+    rows = (load_csv(spark, schemas.TABLES[table], source) if table in schemas.TABLES
+            else load_text(spark, source))
+    (rows.select("*", F.col("_metadata.file_name").alias("source_file"),
+                 F.col("_metadata.file_size").alias("source_bytes"))
      .write.mode("overwrite").parquet(f"{zone}/{table}"))
 
 
@@ -25,19 +35,18 @@ def write_folder(tables: dict[str, DataFrame], folder: str) -> None:
         write_csv(df, f"{folder}/{name}.csv")
 
 
-def land_folder(spark: SparkSession, folder: str, zone: str,
-                tables: Iterable[str] = tuple(schemas.TABLES)) -> DataFrame:
-    """Land every ``<table>.csv`` (a file, or a folder of part files) and return the manifest."""
-    tables = list(tables)
+def land_folder(spark: SparkSession, folder: str, zone: str) -> DataFrame:
+    """Land every ``<table>.csv`` of a folder (a file, or a folder of part files) and return the
+    manifest: each file with its size and number of rows, also those without rows."""
+    files = listing(spark, folder)
+    # One name per table reaches the driver.
+    tables = sorted(r.table_name for r in files.select("table_name").distinct().collect())
     for name in tables:
         land_csv(spark, name, f"{folder}/{name}.csv", zone)
-    return manifest(spark, zone, tables)
-
-
-def manifest(spark: SparkSession, zone: str, tables: list[str]) -> DataFrame:
-    """Landed files with their size and number of rows."""
-    return reduce(DataFrame.unionByName, (
-        spark.read.parquet(f"{zone}/{table}").groupBy("source_file", "source_bytes")
-        .agg(F.count("*").alias("n_rows"))
-        .select(F.lit(table).alias("table_name"), "source_file", "source_bytes", "n_rows")
-        for table in tables))
+    if not tables:
+        return files.withColumn("n_rows", F.lit(0).cast("bigint"))
+    counts = reduce(DataFrame.unionByName, (
+        spark.read.parquet(f"{zone}/{table}").groupBy("source_file").agg(F.count("*").alias("n_rows"))
+        .withColumn("table_name", F.lit(table)) for table in tables))
+    return files.join(counts, ["table_name", "source_file"], "left").select(
+        "table_name", "source_file", "source_bytes", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
