@@ -11,16 +11,16 @@ from tillwise.llm import minhash
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def shingles(text):
+def shingles(text, width=4):
     w = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
-    if len(w) < 4:
+    if len(w) < width:
         return {tuple(w)} if w else set()
-    return {tuple(w[i:i + 4]) for i in range(len(w) - 3)}
+    return {tuple(w[i:i + width]) for i in range(len(w) - width + 1)}
 
 
-def brute(rows):
+def brute(rows, width=4):
     """(n_shingles, component_id, kept) per row; rows of one id are one document."""
-    rows = [(i, shingles(t)) for i, t in rows]
+    rows = [(i, shingles(t, width)) for i, t in rows]
     parent = {i: i for i, _ in rows if i is not None}
 
     def top(x):

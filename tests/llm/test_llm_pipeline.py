@@ -44,7 +44,7 @@ def collected(df):
 def test_near_duplicates_keep_one_of_each_group(spark, rows):
     got = collected(stages.near_duplicates(spark, docs(spark, rows), "unused"))
     verdict = defaultdict(bool)
-    for i, _, _, kept in brute([r[:2] for r in rows]):
+    for i, _, _, kept in brute([r[:2] for r in rows], stages.WIDTH):
         verdict[i] |= kept
     assert Counter(r[0] for r in got if r[0] is not None) == Counter(i for i, kept in verdict.items() if kept and i is not None)
     assert sum(r[0] is None for r in got) == sum(r[0] is None for r in rows)

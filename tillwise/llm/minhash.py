@@ -1,7 +1,7 @@
 """Near-duplicate documents by MinHash bands, checked on whole shingle sets.
 
 Words are [^\\x20\\x09-\\x0D]+ of the text with A-Z lowered; a document's set holds its distinct
-runs of ``WIDTH`` words, or its whole word sequence if that is shorter. Two documents are linked if
+runs of ``WIDTH`` words (another number may be asked for), or its whole word sequence if that is shorter. Two documents are linked if
 100 * intersection >= 80 * union. The result is exact up to the chance that a pair at the threshold
 shares no band, (1 - 0.8^ROWS)^BANDS, about 1e-7, and less for closer pairs.
 
@@ -78,11 +78,11 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], width: int = WIDTH) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
     for batch in batches:
         sizes, k1, k2, bands = [], [], [], []
-        for s in shingle_sets(batch.column(1)):
+        for s in shingle_sets(batch.column(1), width):
             sizes.append(len(s))
             if not len(s):
                 for column in (k1, k2, bands):
@@ -98,9 +98,9 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "n_shingles", "k1", "k2", "bands"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int = WIDTH) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [s if len(s) else None for s in shingle_sets(batch.column(1))]
+        sets = [s if len(s) else None for s in shingle_sets(batch.column(1), width)]
         least = [s if s is None else minima(s) for s in sets]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0),
@@ -213,17 +213,17 @@ def _cross_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from compared(open_)
 
 
-def sketch(documents: DataFrame) -> DataFrame:
+def sketch(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _sketches, SKETCH)
+        lambda batches: _sketches(batches, width), SKETCH)
 
 
-def _sets_of(ids: DataFrame, documents: DataFrame) -> DataFrame:
+def _sets_of(ids: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     """Whole sets and signatures of some documents, made anew from their texts."""
     # A merge join whatever the sizes: the ids grow with the corpus.
     return (documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-            .mapInArrow(_sets, "id long, shingles binary, minima binary").where("minima IS NOT NULL"))
+            .mapInArrow(lambda batches: _sets(batches, width), "id long, shingles binary, minima binary").where("minima IS NOT NULL"))
 
 
 def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -269,9 +269,10 @@ def _unsettled(members: DataFrame, groups: DataFrame, sets: DataFrame, done: Dat
             .mapInArrow(_cross_links, "a long, b long"))
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``documents``."""
-    sketches = common.stored(sketch(documents), "sketches")
+def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``documents``; ``width`` is the
+    number of words of a shingle, up to 5."""
+    sketches = common.stored(sketch(documents, width), "sketches")
     sets = ["k1", "k2"]
     full = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = full.groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
@@ -294,7 +295,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     heads = entries.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("last"))
     members = common.stored(
         join_per_key(entries, heads.where("head < last").drop("last"), "bucket"), "members")
-    sets = common.stored(_sets_of(members.select(F.col("id").alias("doc_id")).distinct(), documents), "sets")
+    sets = common.stored(_sets_of(members.select(F.col("id").alias("doc_id")).distinct(), documents, width), "sets")
     proposed = common.stored(members.where("head < id").groupBy("id").agg(F.min("head").alias("a"))
                              .select("a", F.col("id").alias("b")), "proposed")
     known = common.stored(_checked(proposed, sets).unionByName(same_id), "links")

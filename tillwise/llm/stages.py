@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillwise import scratch
 from tillwise.llm import common, minhash, mixing as mixes, neighbours, packing as packs, secrets as secret
 
+# Words of a shingle in the near-duplicate stage.
+WIDTH = 5
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -36,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     without an id stay."""
     common.prepare(spark)
     docs = _columns(docs)
-    verdict = minhash.near_duplicates(docs).where("doc_id IS NOT NULL")
+    verdict = minhash.near_duplicates(docs, WIDTH).where("doc_id IS NOT NULL")
     kept = common.stored(verdict.groupBy("doc_id").agg(
         F.bool_or("kept").alias("kept"), F.count("*").alias("n")).where("kept").drop("kept"), "kept")
     once = docs.join(kept.where("n = 1").select("doc_id"), "doc_id", "left_semi")
