@@ -15,6 +15,7 @@ ids whose label rows disagree are not learnt from.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -126,15 +127,29 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "label", "counts"])
 
 
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows of the sample, in any order, to one pickled space."""
+    rows = pa.Table.from_batches([b for b in batches if len(b)] or [
+        pa.RecordBatch.from_pydict({"doc_id": pa.array([], pa.int64()), "label": pa.array([], pa.int32()),
+                                    "counts": pa.array([], pa.binary())})]).sort_by("doc_id")
+    counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), np.float32).reshape(-1, BUCKETS)
+    space = fit(counts, rows["label"].to_numpy())
+    yield pa.RecordBatch.from_pydict({"space": pa.array([pickle.dumps(space)], pa.binary())})
+
+
 def learn(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Space:
-    """``labels`` holds doc_id and label of the documents that may be learnt from."""
+    """``labels`` holds doc_id and label of the documents that may be learnt from.
+
+    The sample is of bounded size, so one task fits the space; only the space, about a megabyte,
+    comes to the driver."""
     sample = common.bounded_sample(labels, per_label, SEED)
     rows = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
             .dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
-            .mapInArrow(_counted, "doc_id long, label int, counts binary")
-            .orderBy("doc_id").toArrow())
-    counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), np.float32).reshape(-1, BUCKETS)
-    return fit(counts, rows["label"].to_numpy())
+            .mapInArrow(_counted, "doc_id long, label int, counts binary"))
+    fitted = rows.repartition(1).mapInArrow(_fitted, "space binary").first()
+    if fitted is None:  # no labelled document at all
+        return fit(np.zeros((0, BUCKETS), np.float32), np.zeros(0, np.int64))
+    return pickle.loads(fitted.space)
 
 
 def with_score(space: Space, keep_text: bool = True):
