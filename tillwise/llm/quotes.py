@@ -9,8 +9,8 @@ equals, names the message replied to. Roots and depths follow by pointer doublin
 replies takes log n rounds.
 
 The earliest message with a passage is one minimum per conversation and hash, combined before the
-shuffle, so a line that a third of all messages share is one row; the quotes' side is dealt over
-slices. No group is collected and no pairs are made.
+shuffle, so a line that a third of all messages share is one row, and adaptive execution splits the
+quotes of a hot line. No group is collected and no pairs are made.
 
 ``messages`` gives one row per distinct message row: conversation, position, role, body (without
 quotes), parent, root, depth, n_quotes, n_linked, and ``reply_order`` (root, depth, position), by
@@ -26,7 +26,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise import scratch
-from tillwise.operators.skew import join_per_key
 
 NODE = ["conversation", "position"]
 MOST_ROUNDS = 64
@@ -93,7 +92,9 @@ def links(parsed: DataFrame) -> DataFrame:
             F.length(_normal(s)).alias("size"), _normal(s).alias("u"))))["u"].alias("u"))
     )).alias("key")).select(*NODE, "n", "level", "key.kind", F.when(
         F.col("key.u") != "", F.xxhash64("key.u")).alias("hash"))
-    found = join_per_key(keyed, originals, ["conversation", "hash"], "left", deal_by=["position", "n"])
+    # From a written table, so both sides of the join are plain shuffles and a hot key is split.
+    originals = scratch.stored(parsed.sparkSession, originals, "originals")
+    found = keyed.join(originals, ["conversation", "hash"], "left")
     earlier = F.when(F.col("source") < F.col("position"), F.col("source"))
     return (found.groupBy(*NODE, "n", "level")
             .agg(F.min(F.when(earlier.isNotNull(), F.struct("kind", earlier.alias("source")))).alias("x"))
@@ -109,20 +110,21 @@ def replies(parsed: DataFrame) -> DataFrame:
     nodes = scratch.stored(spark, parsed.select(*NODE).dropna().distinct().join(linked, NODE, "left").select(
         *NODE, "parent", F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).alias("n_linked")), "replies")
-    # ``up`` is an ancestor ``steps`` above; at a root it stays where it is.
-    at = scratch.stored(spark, nodes.select(
-        *NODE, F.coalesce("parent", "position").alias("up"),
-        F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("steps")), "steps")
+    # ``up`` is an ancestor ``steps`` above; once it is a root the message is done and joins no more.
+    is_root = F.col("parent").isNull()
+    ups = nodes.select(*NODE, F.coalesce("parent", "position").alias("up"),
+                       F.when(is_root, 0).otherwise(1).cast("long").alias("steps"), is_root.alias("done"))
+    done, open_ = ups.where("done"), ups.where("NOT done")
     for _ in range(MOST_ROUNDS):
-        far = at.select("conversation", F.col("position").alias("up"), F.col("up").alias("_up"),
-                        F.col("steps").alias("_steps"))
-        after = scratch.stored(spark, join_per_key(at, far, ["conversation", "up"], deal_by=["position"]).select(
+        far = done.unionByName(open_).select("conversation", F.col("position").alias("up"), F.col("up").alias("_up"),
+                                             F.col("steps").alias("_steps"), F.col("done").alias("_done"))
+        after = scratch.stored(spark, open_.drop("done").join(far, ["conversation", "up"]).select(
             *NODE, F.col("_up").alias("up"), (F.col("steps") + F.col("_steps")).alias("steps"),
-            (F.col("_steps") > 0).alias("moved")), "steps")
-        at = after.drop("moved")
-        if after.where("moved").isEmpty():
+            F.col("_done").alias("done")), "steps")
+        done, open_ = done.unionByName(after.where("done")), after.where("NOT done")
+        if open_.isEmpty():
             break
-    return nodes.join(at.select(*NODE, F.col("up").alias("root"), F.col("steps").alias("depth")), NODE)
+    return nodes.join(done.select(*NODE, F.col("up").alias("root"), F.col("steps").alias("depth")), NODE)
 
 
 def messages(rows: DataFrame, conversation: str, position: str, role: str, text: str) -> DataFrame:
