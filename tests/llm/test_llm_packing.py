@@ -99,3 +99,28 @@ def test_fractional_cover_is_near_the_dual_bound():
     scale = (covered[some] / need[some]).min()
     volume = (np.arange(101) * need).sum() / 100
     assert scale > 0.9 and sum(use.values()) / scale < 1.35 * volume
+
+
+@pytest.mark.parametrize("most", [1, 60])
+def test_many_lengths_are_all_covered_close_to_the_bound(most):
+    """More lengths than rounds, scarce short ones among them."""
+    rng = np.random.default_rng(most)
+    need = np.zeros(2001)
+    need[rng.choice(np.arange(5, 1200), 700, replace=False)] = rng.integers(1, most + 1, 700)
+    need[5] = 1
+    use = packing.fractional(need, 2000, 400)
+    covered = np.zeros(2001)
+    for config, times in use.items():
+        assert sum(k * n for k, n in config) <= 2000
+        for k, n in config:
+            assert n <= need[k]
+            covered[k] += n * times
+    assert (covered == need).all()
+    assert sum(use.values()) <= 1.02 * (np.arange(2001) * need).sum() / 2000 + 1
+
+
+def test_bound_counts_what_volume_does_not():
+    need = np.zeros(101)
+    need[[51, 52, 10]] = 40, 60, 5
+    use, bound = packing.cover(need, 100, 400)
+    assert bound == pytest.approx(100) and sum(use.values()) == 100

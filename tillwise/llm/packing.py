@@ -2,11 +2,13 @@
 
 One pass tokenises, cuts documents longer than a sequence, and writes a narrow row per piece. Only
 the pieces' length histogram (at most ``CAPACITY`` rows) comes to the driver, where the
-configuration linear program over it is solved by multiplicative weights: a length's price falls as
-it gets covered, a knapsack program over the capacity finds the configuration of highest price, and
-it is used as often as its scarcest length allows. The fractional solution is rounded down, and
-best-fit decreasing over the histogram, again by whole configurations, packs what is left. So the
-driver's work depends on the number of distinct lengths, not on the number of documents.
+configuration program over it is solved by multiplicative weights: a length's price falls as it gets
+covered, a knapsack bounded by the pieces left finds the configuration of highest price, and it is
+used for a part of its scarcest length. A pass ends when every length is covered, and the cover is
+held against a dual bound. Steps are whole sequences, so nothing is lost by rounding; only where it
+saves sequences, best-fit decreasing over the histogram packs what the cover's last or unfilled
+configurations hold. So the driver's work depends on the number of distinct lengths, not on the
+number of documents.
 
 A configuration used k times is k sequences in a row, and for each of its places a run of k
 consecutive pieces of one length. Pieces are ranked within their length and looked up in these runs.
@@ -34,7 +36,14 @@ CAPACITY = 4096
 END = 1
 # Pieces of one length are cut into so many parts by a hash, so none is one task.
 PARTS = 256
-ROUNDS, RATE = 400, 4.0
+# With no rounds there is no cover; their number bounds nothing.
+ROUNDS = 400
+# Of each pass: the part of the scarcest length that a step covers, and how fast prices fall.
+PASSES = ((1 / 8, 0.05), (1 / 16, 1.0), (1 / 32, 4.0))
+# When a cover is close to its bound, how often a pass takes the bound, lengths of a group.
+GAP, BOUNDS, GROUP, SEED = 0.001, 8, 48, 59
+# Shares of a cover's last sequences that best fit may pack anew.
+TAILS = (0, 1 / 256, 1 / 64, 1 / 16, 1 / 4)
 # Words whose tokens a worker keeps; any others are tokenised each time.
 KEPT_WORDS, KEPT_LENGTH = 600_000, 48
 
@@ -136,71 +145,141 @@ def pieces(documents: DataFrame, path: str) -> DataFrame:
         _cut(path), PIECES)
 
 
-def _dearest(prices: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of highest price: an unbounded knapsack over the capacity."""
-    best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    for w in range(1, capacity + 1):
-        worth = best[w - 1::-1] + prices[1:w + 1] if w > 1 else best[:1] + prices[1:2]
-        k = int(worth.argmax())
-        if worth[k] > best[w - 1]:
-            best[w], pick[w] = worth[k], k + 1
-        else:
-            best[w] = best[w - 1]
+def _items(lengths: np.ndarray, copies: np.ndarray, capacity: int) -> Iterator[tuple[int, int]]:
+    """(length, number): each length in bundles of 1, 2, 4, ... that give any number up to its copies."""
+    for length, n in zip(lengths.tolist(), np.minimum(copies, capacity // lengths).tolist()):
+        bundle = 1
+        while n > 0:
+            yield length, min(bundle, n)
+            n -= bundle
+            bundle *= 2
+
+
+def _highest(prices: np.ndarray, copies: np.ndarray, capacity: int) -> float:
+    """The price of the dearest configuration, with at most ``copies`` of each length."""
+    best, lengths = np.zeros(capacity + 1), np.flatnonzero((copies > 0) & (prices > 0))
+    for length, n in _items(lengths, copies[lengths], capacity):
+        size = length * n
+        np.maximum(best[size:], best[:capacity + 1 - size] + prices[length] * n, out=best[size:])
+    return float(best[-1])
+
+
+def _dearest(lengths: np.ndarray, prices: np.ndarray, copies: np.ndarray, capacity: int) -> dict[int, int]:
+    """The configuration of highest price of these lengths: a knapsack bounded by ``copies``."""
+    best, took = np.zeros(capacity + 1), []
+    for length, n in _items(lengths, copies[lengths], capacity):
+        size = length * n
+        worth = best[:capacity + 1 - size] + prices[length] * n
+        took.append((length, n, size, worth > best[size:]))
+        np.maximum(best[size:], worth, out=best[size:])
     found: dict[int, int] = {}
-    w = capacity
-    while w > 0:
-        if pick[w]:
-            found[int(pick[w])] = found.get(int(pick[w]), 0) + 1
-            w -= int(pick[w])
-        else:
-            w -= 1
+    room = capacity
+    for length, n, size, better in reversed(took):
+        if size <= room and better[room - size]:
+            found[length] = found.get(length, 0) + n
+            room -= size
     return found
 
 
-def fractional(need: np.ndarray, capacity: int, rounds: int) -> dict[tuple, float]:
-    """Configurations and how often each is used in a fractional cover of the histogram ``need``.
-
-    Multiplicative weights: the price of a length is its weight over its count, and each use lowers
-    the weights of what it covers. A use covers a part of the scarcest length of the dearest
-    configuration; with more lengths than rounds, all of it.
+def _pass(need: np.ndarray, capacity: int, part: float, rate: float, rng: np.random.Generator
+          ) -> tuple[dict[tuple, float], float]:
+    """One cover of all of ``need`` and the best dual bound on its way."""
+    lengths = np.flatnonzero(need)
+    left, use, bound, seen = need.copy(), {}, 0.0, 0
+    total = int((need * np.arange(capacity + 1)).sum())
+    while (active := np.flatnonzero(left)).size:
+        prices = np.zeros(capacity + 1)
+        prices[active] = active * np.exp(-rate * (1 - left[active] / need[active]))
+        gone = 1 - (left[active] * active).sum() / total
+        if gone * BOUNDS >= seen:
+            bound = max(bound, float((prices * need).sum()) / _highest(prices, need, capacity))
+            seen = int(gone * BOUNDS) + 1
+        # Lengths are dealt to groups, short and long ones to each, so a sweep finds many configurations.
+        groups = max(1, active.size // GROUP)
+        order = np.argsort(np.arange(active.size) // groups + rng.random(active.size), kind="stable")
+        for g in range(groups):
+            group = active[order[g::groups]]
+            found = _dearest(group, prices, left, capacity)
+            times = min(min(int(left[k]) // n, max(1, int(part * need[k]) // n)) for k, n in found.items())
+            for k, n in found.items():
+                left[k] -= n * times
+            key = tuple(sorted(found.items()))
+            use[key] = use.get(key, 0.0) + times
+    return use, bound
+
+
+def _plain_bound(need: np.ndarray, capacity: int) -> float:
+    """The best of the volume and of prices that count a length in fractions of a sequence, which no
+    configuration exceeds (Fekete and Schepers)."""
+    size = np.arange(capacity + 1)
+    bounds = [float((size * need).sum()) / capacity]
+    for m in range(1, 41):
+        exact = (m + 1) * size % capacity == 0
+        bounds.append(float((np.where(exact, size / capacity, (m + 1) * size // capacity / m) * need).sum()))
+    return max(bounds)
+
+
+def cover(need: np.ndarray, capacity: int, rounds: int) -> tuple[dict[tuple, float], float]:
+    """Configurations in the order found, how often each is used in a cover of all of ``need``, and a
+    lower bound of every cover.
+
+    Multiplicative weights: a length's price is its size times a weight that falls as it gets
+    covered. A step uses the dearest configuration of a group of lengths for a part of its scarcest
+    one, in whole sequences. Prices over the highest price of a configuration bound every cover from
+    below. Finer passes follow until the cover is close to the bound; the best one stands.
     """
-    there = need > 0
-    covered, use = np.zeros(capacity + 1), {}
-    part = min(1.0, max(1 / 32, there.sum() / rounds)) if rounds else 1.0
-    for _ in range(rounds):
-        if (covered[there] >= need[there] * (1 - 1e-9)).all():
+    need = need.astype(np.int64)
+    if not rounds or not need.any():
+        return {}, 0.0
+    best, bound, rng = {}, _plain_bound(need, capacity), np.random.default_rng(SEED)
+    for part, rate in PASSES:
+        use, found = _pass(need, capacity, part, rate, rng)
+        bound = max(bound, found)
+        if not best or sum(use.values()) < sum(best.values()):
+            best = use
+        if sum(best.values()) <= max(np.ceil(bound - 1e-6), (1 + GAP) * bound):
             break
-        prices = np.full(capacity + 1, -1.0)
-        prices[there] = np.exp(-RATE * covered[there] / need[there]) / need[there]
-        found = {k: min(n, int(need[k])) for k, n in _dearest(prices, capacity).items()}
-        times = part * min(need[k] / n for k, n in found.items())
-        for k, n in found.items():
-            covered[k] += n * times
-        key = tuple(sorted(found.items()))
-        use[key] = use.get(key, 0.0) + times
-    return use
+    return best, bound
+
+
+def fractional(need: np.ndarray, capacity: int, rounds: int) -> dict[tuple, float]:
+    """Configurations and how often each is used in a cover of the histogram ``need``."""
+    return cover(need, capacity, rounds)[0]
+
+
+def _kept(use: dict[tuple, float], tail: float, least: int) -> list[tuple[dict[int, int], int]]:
+    """What is used before the last ``tail`` of the sequences and holds ``least`` tokens."""
+    room, out = int(sum(use.values()) * (1 - tail)), []
+    for config, n in use.items():
+        times = min(int(n), room)
+        room -= times
+        if times and sum(k * m for k, m in config) >= least:
+            out.append((dict(config), times))
+    return out
 
 
 def configurations(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
                    ) -> list[tuple[dict[int, int], int]]:
     """Configurations (length to number) and how often each is used; together they hold exactly
-    ``counts``. Full configurations of the fractional cover are rounded down, best fit packs what is
-    left; where that takes more sequences than best fit alone, best fit alone stands."""
-    left = np.zeros(capacity + 1, np.int64)
+    ``counts``. The whole cover stands unless fewer sequences come of packing its last or unfilled
+    ones anew by best fit, or all."""
+    need = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
-        left[length] = n
-    plain = _best_fit(left.copy(), capacity)
-    use = fractional(left.astype(float), capacity, rounds)
-    out = []
-    full = [c for c in use if sum(k * n for k, n in c) == capacity]
-    for config in sorted(full, key=lambda c: (-use[c], c)):
-        times = min(int(use[config] + 1e-9), *(int(left[k]) // n for k, n in config))
-        if times:
-            for k, n in config:
+        need[length] = n
+    use, bound = cover(need, capacity, rounds)
+    best, fewest = [], None
+    for tail, least in [*((t, 0) for t in TAILS), *((t, capacity) for t in (0, *TAILS[-2:])), (1, 0)]:
+        out, left = _kept(use, tail, least), need.copy()
+        for config, times in out:
+            for k, n in config.items():
                 left[k] -= n * times
-            out.append((dict(config), times))
-    out += _best_fit(left, capacity)
-    return min(out, plain, key=lambda used: sum(times for _, times in used))
+        out += _best_fit(left, capacity)
+        total = sum(times for _, times in out)
+        if fewest is None or total < fewest:
+            best, fewest = out, total
+        if fewest <= np.ceil(bound - 1e-6):
+            break
+    return best
 
 
 def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
