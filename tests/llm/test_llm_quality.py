@@ -146,3 +146,26 @@ def test_label_model_learns_accuracies_from_votes_alone():
     assert model.accuracies[:3].min() > 0.8 > model.accuracies[3]
     assert model.correlations[0, 4] > 0.95 and model.weights[0] == pytest.approx(0.5, abs=0.05)
     assert ((model.posterior(votes) > 0.5) == y).mean() > 0.9
+
+
+def test_patterns_stay_within_their_text():
+    got = toxicity.patterns(pa.array(["so!", "?what", "WHY ME", "Nooo", "ooo no", "Sooooo", "a f*ck", "f**k", "*a* 2*3", None, ""]))
+    names = [[n for n, x in zip(toxicity.PATTERNS, row) if x] for row in got]
+    assert names == [["exclamation"], [], ["shouting"], [], [], ["letters drawn out"], ["masked word"], ["masked word"], [], [], []]
+    assert toxicity.patterns(pa.array(["Go!? now and then and then and then and then and then and then"]))[0].tolist() == [False, False, True, False, False]
+    assert toxicity.patterns(pa.array([], pa.string())).shape == (0, len(toxicity.PATTERNS))
+
+
+def test_patterns_vote(spark):
+    """The model reports accuracy and correlations of each pattern, and a text that only patterns mark is no clean one."""
+    texts = (["plain words about the sea and the sky"] * 60 + ["you stupid worthless idiot, moron!!!! gooo awaaaay"] * 20
+             + ["YOU STUPID IDIOT!!!!"] * 20 + ["LEAVE NOW AND NEVER COME BACK!!!!"] * 3)
+    none = spark.createDataFrame([], "doc_id long, label int")
+    classifier, model = toxicity.learn(frame(spark, texts), none)
+    m = len(classifier.voters) + len(toxicity.PATTERNS)
+    assert len(model.accuracies) == m and model.correlations.shape == (m, m)
+    own = dict(zip(toxicity.PATTERNS, model.accuracies[-len(toxicity.PATTERNS):]))
+    assert own["shouting"] > 0.8 and own["exclamation"] > 0.8 and own["letters drawn out"] > 0.8
+    only = toxicity.all_votes(toxicity.word_marks(pa.array(texts[-1:])), toxicity.patterns(pa.array(texts[-1:])), classifier.voters)
+    quiet = np.zeros_like(only)
+    assert model.posterior(only)[0] > 0.5 > model.posterior(quiet)[0]

@@ -1,8 +1,8 @@
 """Toxicity by weak supervision: many noisy voters, a label model, and a linear classifier.
 
 Voters are small lexicons of one entry each (a word or a word's beginning; fixed insults, and those
-that a bounded labelled sample finds telling) and patterns (shouting, exclamation). The label model
-is generative and sees only votes: it estimates by expectation maximisation how often each voter
+that a bounded labelled sample finds telling) and ``PATTERNS``. Both vote. The label model is
+generative and sees only votes: it estimates by expectation maximisation how often each voter
 fires on toxic and on clean texts, and how far voters fire together beyond what the class explains;
 voters that repeat each other share one voice. Its posterior labels, not the given ones, train a
 logistic classifier over the voters, their number, and hashed word beginnings.
@@ -29,6 +29,7 @@ from tillwise.llm import common
 TOXIC, CLEAN, UNLABELLED, SEED = 1500, 6000, 1000, 53
 MOST_VOTERS, LEAST_SUPPORT, LEAST_PRECISION = 160, 6, 0.95
 HASHED = 512
+PATTERNS = ("shouting", "exclamation", "marks in a row", "letters drawn out", "masked word")
 # Voters that fire together this often, given the class, share one voice.
 SAME_VOICE = 0.7
 START_ALONE, QUIET = 0.3, 2.0
@@ -60,16 +61,29 @@ def word_marks(texts: pa.Array) -> list[np.ndarray]:
 
 
 def patterns(texts: pa.Array) -> np.ndarray:
-    """One row per text: mostly upper case, many exclamation marks."""
+    """One row per text, a column for each of ``PATTERNS``: mostly upper case; many exclamation marks;
+    two of ! and ? in a row; a letter four times in a row; stars inside a word."""
     data, offsets = common.text_bytes(texts)
 
-    def count(flags: np.ndarray) -> np.ndarray:
-        total = np.concatenate(([0], np.cumsum(flags)))
-        return total[offsets[1:]] - total[offsets[:-1]]
+    def count(flags: np.ndarray, width: int = 1) -> np.ndarray:
+        """How many flags each text has; a flag is at the first of ``width`` bytes of one text."""
+        total = np.concatenate(([0], np.cumsum(flags), np.full(width - 1, flags.sum())))
+        return total[np.maximum(offsets[1:] - width + 1, offsets[:-1])] - total[offsets[:-1]]
 
-    upper, marks = count((data >= 65) & (data <= 90)), count(data == 33)
-    small, size = count((data >= 97) & (data <= 122)), np.maximum(offsets[1:] - offsets[:-1], 1)
-    return np.stack([upper > 2 * small, 50 * marks > size], axis=1)
+    def runs(*flags: np.ndarray) -> np.ndarray:
+        """At least once these flags at bytes in a row."""
+        n = max(len(data) - len(flags) + 1, 0)
+        return count(np.logical_and.reduce([f[i:i + n] for i, f in enumerate(flags)]), len(flags)) > 0
+
+    capital, low, loud = (data >= 65) & (data <= 90), (data >= 97) & (data <= 122), data == 33
+    upper, marks, small = count(capital), count(loud), count(low)
+    size = np.maximum(offsets[1:] - offsets[:-1], 1)
+    letter, star, mark = capital | low, data == 42, loud | (data == 63)
+    lowered = data | np.where(capital, 32, 0).astype(data.dtype)
+    again = np.zeros(len(data), bool)
+    again[1:] = lowered[1:] == lowered[:-1]
+    return np.stack([upper > 2 * small, 50 * marks > size, runs(mark, mark), runs(letter, again, again, again),
+                     runs(letter, star, letter) | runs(letter, star, star, letter)], axis=1)
 
 
 def _insults() -> np.ndarray:
@@ -110,11 +124,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def label_model(votes: np.ndarray, steps: int = EM_STEPS) -> LabelModel:
+def label_model(votes: np.ndarray, steps: int = EM_STEPS, shapes: int = 0) -> LabelModel:
     """Fit to votes alone. The start believes texts on which voters agree, and half believes one
-    voter."""
+    voter; the last ``shapes`` voters, which go by a text's look, are one voter there."""
     n, m = votes.shape
-    fired = votes.sum(axis=1)
+    fired = votes[:, :m - shapes].sum(axis=1) + votes[:, m - shapes:].any(axis=1)
     q = np.select([fired == 0, fired == 1], [0.01, START_ALONE], 0.95)
     model = LabelModel(0.5, np.full((2, m), 0.5), np.ones(m), np.zeros((m, m)))
     for _ in range(steps if n else 0):
@@ -155,7 +169,12 @@ def votes_of(marks: list[np.ndarray], voters: np.ndarray) -> np.ndarray:
     return out
 
 
-def features(marks: list[np.ndarray], shouting: np.ndarray, voters: np.ndarray) -> np.ndarray:
+def all_votes(marks: list[np.ndarray], shapes: np.ndarray, voters: np.ndarray) -> np.ndarray:
+    """The votes of the lexicon and, after them, of the patterns."""
+    return np.hstack([votes_of(marks, voters), shapes.astype(np.float64)])
+
+
+def features(marks: list[np.ndarray], shapes: np.ndarray, voters: np.ndarray) -> np.ndarray:
     """Votes, patterns, how many lexicon voters fire, and hashed marks in unit length."""
     votes = votes_of(marks, voters)
     hashed = np.zeros((len(marks), HASHED))
@@ -164,7 +183,7 @@ def features(marks: list[np.ndarray], shouting: np.ndarray, voters: np.ndarray)
             hashed[i] = np.bincount((m % np.uint64(HASHED)).astype(np.int64), minlength=HASHED)
     norm = np.linalg.norm(hashed, axis=1, keepdims=True)
     hashed = np.divide(hashed, norm, out=np.zeros_like(hashed), where=norm > 0)
-    return np.hstack([votes, shouting, np.minimum(votes.sum(axis=1, keepdims=True), 3), hashed])
+    return np.hstack([votes, shapes, np.minimum(votes.sum(axis=1, keepdims=True), 3), hashed])
 
 
 def choose_voters(marks: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
@@ -225,11 +244,11 @@ def learn(documents: DataFrame, labels: DataFrame) -> tuple[Classifier, LabelMod
             .orderBy("doc_id").toArrow())
     marks = [np.frombuffer(x, np.uint64) for x in rows["marks"].to_pylist()]
     given = rows["label"].to_numpy()
-    shouting = np.array([np.frombuffer(x, bool) for x in rows["patterns"].to_pylist()]).reshape(-1, 2)
+    shapes = np.array([np.frombuffer(x, bool) for x in rows["patterns"].to_pylist()]).reshape(-1, len(PATTERNS))
     voters = choose_voters(marks, given)
-    model = label_model(votes_of(marks, voters))
-    posterior = model.posterior(votes_of(marks, voters))
-    beta, bias = train(features(marks, shouting, voters), posterior)
+    votes = all_votes(marks, shapes, voters)
+    model = label_model(votes, shapes=len(PATTERNS))
+    beta, bias = train(features(marks, shapes, voters), model.posterior(votes))
     return Classifier(voters, beta, bias), model
 
 
