@@ -179,3 +179,21 @@ def test_repeated_messages_can_be_dropped(spark, tmp_path, max_files):
                             available_now=True).awaitTermination()
     found = streams.read_sink(spark, f"{tmp_path}/once", once.schema).collect()
     assert sorted(r.order_id for r in found) == [f"o{i}" for i in range(6)]
+
+
+def test_windows_of_years_that_are_many_files(spark):
+    """Splits so small that every year is read, and so written, in several tasks."""
+    from tillwise.plans import queries
+
+    small = {"spark.sql.files.maxPartitionBytes": "8k", "spark.sql.files.openCostInBytes": "1"}
+    whole = sorted(map(str, queries.client_metrics_windowed(spark, "/root/testdata/sf0.001").collect()))
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        got = queries.stream_windowed_metrics(spark, "/root/testdata/sf0.001").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # The last windows stay open.
+    assert len(got) > 0.9 * len(whole) and set(map(str, got)) <= set(whole)

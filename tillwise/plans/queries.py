@@ -223,12 +223,22 @@ def stream_client_metrics(spark, folder):
 
 
 def stream_windowed_metrics(spark, folder):
-    base = scratch.new_folder(spark, "windows")
-    query = streams.start_windowed_metrics(
-        _enriched_stream(spark, folder, base), metrics_path=f"{base}/metrics",
-        checkpoint=f"{base}/checkpoint", available_now=True)
-    query.awaitTermination()
-    if late := streams.late_rows(query):
+    """A year's messages are sent, cleaned and counted before the next year's: each of both streams
+    takes all files of the year in one batch, however many there are."""
+    base, late = scratch.new_folder(spark, "windows"), 0
+    dimensions = _dimensions(spark, folder)
+    for sent in star.messages_by_year(spark, folder):
+        messages.write_messages(sent, f"{base}/messages")
+        streams.start_cleaning(
+            messages.stream_messages(spark, f"{base}/messages"), *dimensions, orders_path=f"{base}/orders",
+            rejects_path=f"{base}/rejects", checkpoint=f"{base}/cleaning", form="joined",
+            available_now=True).awaitTermination()
+        query = streams.start_windowed_metrics(
+            streams.stream_sink(spark, f"{base}/orders", schemas.ENRICHED_ORDERS), metrics_path=f"{base}/metrics",
+            checkpoint=f"{base}/checkpoint", available_now=True)
+        query.awaitTermination()
+        late += streams.late_rows(query)  # a run has few batches, so Spark remembers them all
+    if late:
         raise RuntimeError(f"{late} orders came behind the watermark")
     return streams.read_sink(spark, f"{base}/metrics", schemas.WINDOWED_METRICS).drop(
         "writer", "batch_id")

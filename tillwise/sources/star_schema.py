@@ -6,6 +6,8 @@ are derived from the keys by fixed formulas over every row; FIXTURES.md lists th
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwise import schemas
@@ -184,12 +186,18 @@ def order_messages(spark: SparkSession, folder: str, placed: DataFrame | None =
         .otherwise(value).alias("value"))
 
 
-def write_by_year(spark: SparkSession, folder: str, path: str) -> None:
-    """The order stream as files in order of date, one write per year; orders without a date come
-    first. The years are those of the orders' first and last date."""
+def messages_by_year(spark: SparkSession, folder: str) -> Iterator[DataFrame]:
+    """The order stream in order of date, one table per year; orders without a date come first. The
+    years are those of the orders' first and last date."""
     placed = faulty_orders(spark, folder)
     ends = read(spark, folder, "orders").agg(
         F.year(F.min("o_orderdate")).alias("first"), F.year(F.max("o_orderdate")).alias("last")).first()
     year = F.year("order_date")
     for part in [year.isNull(), *(year == y for y in range(ends["first"] or 0, (ends["last"] or -1) + 1))]:
-        write_messages(order_messages(spark, folder, placed.where(part)).coalesce(1), path)
+        yield order_messages(spark, folder, placed.where(part))
+
+
+def write_by_year(spark: SparkSession, folder: str, path: str) -> None:
+    """The order stream as files in order of date, one write per year."""
+    for sent in messages_by_year(spark, folder):
+        write_messages(sent.coalesce(1), path)
