@@ -79,3 +79,12 @@ def test_whole_pages_table(spark):
     assert all(r.source_digests_hold for r in rows)
     assert all(r.source_payload_digest == "sha1:" + hashlib.sha1(html[r.target_uri].encode()).hexdigest() for r in rows)
     assert all("<" not in r.block.replace("<urn", "") or "&lt;" in html[r.target_uri] for r in rows if r.warc_type == "conversion")
+
+
+def test_text_after_tags_without_an_end_stays():
+    for page in ("a <svg width=1/> b", "a <svg/> b", "a <svg-icon></svg-icon> b", "a <template-card>x</template-card> b".replace("x", ""),
+                 "a <style-guide> b", "a <svg><path/></svg> b", "a <SVG\nclass='x'><g>no</g></svg > b", "a <template>no</template> b",
+                 "a <svg d='1'/> <svg>no</svg> b", "a <svg> b", "a <noscript>no</noscript><script>if (1 < 2) {}</script> b"):
+        assert warc.plain_text(page).split() == ["a", "b"], page
+    for page in ("a <script>no", "a <style >no", "a <!-- no", "a <script/src=x>no</script>"):
+        assert warc.plain_text(page) == "a", page

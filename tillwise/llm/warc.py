@@ -34,7 +34,9 @@ _NAMES = [x.split()[0] for x in RECORD.split(", ")]
 _KINDS = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}
 _SCHEMA = pa.schema([(n, _KINDS[k]) for n, k in (x.split() for x in RECORD.split(", "))])
 
-_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
+# Only comments, scripts and styles without an end run to the end of the page; a self-closed svg is gone alone.
+_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1\s*>|\Z)|<svg(?:\s[^<>]*)?/>|"
+                      r"<(noscript|template|svg)(?=[\s/>])[^<>]*>.*?</\2\s*>", re.I | re.S)
 _BREAK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|"
                     r"h[1-6]|header|hr|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^<>]*>", re.I)
 _TAG = re.compile(r"<[A-Za-z/!?][^<>]*>")
