@@ -1,7 +1,9 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
 Terms of a text are hashed into ``BUCKETS``: pairs of neighbouring bytes, and how often a word or
-line has been seen before (which tells repeated text from prose of the same letters). A bounded
+a pair of words has been seen before (which tells repeated text from prose of the same letters). So
+the space is one of byte pairs: no word is a term of its own, texts of unlike words but like letters
+are near each other, and repeated lines show only through their words. A bounded
 sample of labelled documents (``PER_LABEL`` of each label) fixes the terms' inverse document
 frequencies and a singular value decomposition of ``RANK`` dimensions; both are small and of fixed
 size, whatever the corpus. The sample's vectors and labels go to every task, where each document's
