@@ -1,0 +1,146 @@
+"""Windows by best fit: tokens, places and padding."""
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tillwise.llm import windows
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH = public_tokenizers.path(windows.TOKENIZER)
+
+ODD = [None, "", "  ", "Ça l'été!! I'LL x é 日本語 123 4a5 ΣΑΣ ﬁ ª \x1cq a\u0085b ... ß x’s\n\tq", "a<|endoftext|>b <|endoftext|>",
+       "<|endoftext|", "q" * 5000, " " * 3000, "\n \n" * 900, "ab cd " * 3000]
+
+
+def plain_ids():
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(PATH)
+    return lambda text: whole.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+def test_tokens_are_those_of_the_vocabulary_file(monkeypatch):
+    ids, tokens, rng = plain_ids(), windows.Tokens(PATH), random.Random(4)
+    made = ["".join(rng.choice("aBé .,'!\n0#Σ日́<|> s't") for _ in range(80)) for _ in range(200)]
+    for part in (windows.PART, 40):
+        monkeypatch.setattr(windows, "PART", part)
+        for text in ODD + made + [" ".join(made)]:
+            assert tokens.ids(text or "").tolist() == ids(text), text
+
+
+def plain_best_fit(counts, capacity):
+    """Room left in each window when pieces are placed one after another."""
+    rooms = []
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            room = min((r for r in rooms if r >= length), default=None)
+            if room is None:
+                rooms.append(capacity - length)
+            else:
+                rooms.remove(room)
+                rooms.append(room - length)
+    return Counter(rooms)
+
+
+def test_plan_places_as_best_fit_decreasing_does(monkeypatch):
+    monkeypatch.setattr(windows.Plan, "_fill", lambda self: None)
+    rng = random.Random(6)
+    for _ in range(200):
+        capacity = rng.choice((16, 50, 64, 1024))
+        counts = {rng.randint(1, capacity): rng.randint(1, 30) for _ in range(rng.randint(0, 12))}
+        plan = windows.Plan(counts, capacity)
+        rooms = Counter()
+        for room, ranges in enumerate(plan.open.ranges):
+            rooms[room] += sum(n for _, n in ranges)
+        assert +rooms == plain_best_fit(counts, capacity), (capacity, counts)
+        placed = Counter()
+        for length, first, n, each, _, _ in plan.runs:
+            placed[length] += n * each
+        assert placed == counts
+
+
+def test_tree_finds_the_tightest():
+    rng, tree, rooms = random.Random(2), windows.OpenWindows(100), Counter()
+    for i in range(2000):
+        room = rng.randint(0, 100)
+        if rng.random() < 0.5:
+            tree.put(room, i, 1)
+            rooms[room] += 1
+        elif rooms[room]:
+            tree.take(room)
+            rooms[room] -= 1
+        least = rng.randint(0, 100)
+        assert tree.tightest(least) == min((r for r, n in rooms.items() if n and r >= least), default=None)
+
+
+def test_plan_of_many_lengths_and_pieces_is_quick():
+    rng = random.Random(3)
+    counts = {n: rng.randint(1, 10 ** 9) for n in range(1, 1025)}
+    plan = windows.Plan(counts)
+    assert len(plan.runs) < 4 * 1024
+    assert plan.sequences() <= sum(k * n for k, n in counts.items()) // 1024 + 11 + sum(
+        n for room, found in enumerate(plan.open.ranges) for _, n in found if room and not (1024 - room) & (1023 - room))
+
+
+def check(spark, rows, padded=0):
+    """Every id in one piece, no overlap, no gap, no padding; the least number of windows but for
+    those of a power of two."""
+    ids = plain_ids()
+    df = spark.createDataFrame([(*r, 9, 8, 7) for r in rows], "doc_id long, text string, start int, ids int, place int")
+    got = windows.pack(df.repartition(3), PATH).collect()
+    left = Counter()
+    for i, text in rows:
+        left[i, tuple(ids(text))] += 1
+    by_id, sequences = defaultdict(list), defaultdict(list)
+    for r in got:
+        by_id[r.doc_id, r.doc_tokens].append(r)
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for (i, all_ids), n in left.items():
+        mine = [r for r in by_id[i, len(all_ids)]
+                if r.ids_crc32 == zlib.crc32(np.array(all_ids[r.start:r.start + r.length], "<u4").tobytes())]
+        covered = Counter()
+        for r in mine:
+            covered.update(range(r.start, r.start + r.length))
+        assert all(covered[k] >= n for k in range(len(all_ids)))
+    total = sum(len(t) * n for (_, t), n in left.items())
+    assert sum(r.length for r in got) == total and all(r.length > 0 for r in got)
+    padding = 0
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= 1024
+        padding += 0 if end & (end - 1) == 0 else 1024 - end
+    assert padding == padded
+    return got, sequences, total
+
+
+def test_odd_repeated_and_long_texts(spark):
+    rng = random.Random(3)
+    texts = ODD + [" ".join(rng.choice("abcdefgh") for _ in range(rng.choice((1, 30, 900, 5000)))) for _ in range(40)]
+    rows = [*enumerate(texts), (3, ODD[3]), (3, ODD[3]), (3, "another"), (None, "no id"), (None, None)]
+    _, sequences, total = check(spark, rows)
+    assert len(sequences) <= -(-total // 1024) + 10
+
+
+def test_pieces_that_never_fit_together_are_cut(spark):
+    # 40 documents of 600 tokens: two never share a window, so best fit alone would pad each.
+    got, sequences, total = check(spark, [(i, "a" + " b" * 598) for i in range(40)])
+    assert total == 24_000 and len(sequences) == 23 + 448 .bit_count()
+    assert sum(1 for r in got if r.length < 600) > 0
+
+
+def test_windows_of_a_power_of_two_are_left_alone(spark):
+    got, sequences, _ = check(spark, [(1, "a" + " b" * 510), (2, "a" + " b" * 1022)])
+    assert sorted(r.length for r in got) == [512, 1024]
+
+
+def test_empty_table(spark):
+    df = windows.pack(spark.createDataFrame([], "doc_id long, text string"), PATH)
+    assert df.collect() == []
+    assert df.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise import scratch
-from tillwise.llm import common, decisions, minhash, mixing, neighbours, packing, quotes, rotated_codes, secrets, toxicity, warc
+from tillwise.llm import (
+    common, decisions, divergence, minhash, mixing, neighbours, oracle, orchard, packing, quotes, rotated_codes, secrets, toxicity,
+    warc, windows)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,8 +77,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path(packing.TOKENIZER))
 
 
+def op11_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, their errors and the digest of the codebooks."""
+    return orchard.compress(common.table(common.prepare(spark), sf_dir, "embeddings"))
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenised and put into windows by best fit."""
+    import public_tokenizers
+
+    return windows.pack(common.table(common.prepare(spark), sf_dir, "documents"),
+                        public_tokenizers.path(windows.TOKENIZER))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ, and by which terms."""
+    return divergence.audit(common.table(common.prepare(spark), sf_dir, "documents"))
+
+
 ALL: tuple[Query, ...] = (
     op1_quotes, op2_warc_derivatives, op3_neighbour_quality, op4_minhash, op5_decision_list, op6_secret_ledger, op7_rotated_codes,
-    op8_weak_toxicity, op9_mixing, op10_packing)
+    op8_weak_toxicity, op9_mixing, op10_packing, op11_orchard_codes, op12_best_fit, op13_source_divergence)
 # SQL for those that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracle.STATEMENTS
