@@ -1,0 +1,259 @@
+"""Tables of finished batches, and the streams over them."""
+
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from rows import client, product, table
+from test_streaming import at, body
+
+from tillwise import schemas
+from tillwise.operators import clean, dimensions, enrich, metrics
+from tillwise.sources import batches
+from tillwise.streaming import finished, merged
+
+
+def texts(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def values(df):
+    return sorted(r.value for r in df.collect())
+
+
+# The list of finished batches -------------------------------------------------------------------
+
+def test_reader_sees_whole_batches_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert batches.read(spark, path, schemas.MESSAGES).collect() == []
+    batches.append(texts(spark, "a", "b"), path, "w", 0)
+    texts(spark, "half").write.parquet(f"{path}/w-1")  # written, never finished
+    found = batches.read(spark, path, schemas.MESSAGES)
+    assert values(found) == ["a", "b"] and found.columns == ["value", "writer", "batch_id"]
+    batches.append(texts(spark, "c"), path, "w", 1)  # repeated after the failure
+    assert values(batches.read(spark, path, schemas.MESSAGES)) == ["a", "b", "c"]
+
+
+def test_finished_batch_stays_as_it_is_and_writers_do_not_meet(spark, tmp_path):
+    path = str(tmp_path / "t")
+    batches.append(texts(spark, "a"), path, "w", 0)
+    batches.append(texts(spark, "other"), path, "w", 0)
+    batches.append(texts(spark, "x"), path, "v", 0)
+    assert values(batches.read(spark, path, schemas.MESSAGES)) == ["a", "x"]
+
+
+def test_compaction_bounds_folders_and_loses_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(14):
+        batches.append(texts(spark, f"{i:02}"), path, "w", i)
+        batches.compact(spark, path, schemas.MESSAGES, together=3)
+        assert len(batches.state(spark, path).live) <= 2 * 3
+        found = batches.read(spark, path, schemas.MESSAGES)
+        assert sorted((r.value, r.writer, r.batch_id) for r in found.collect()) == [
+            (f"{k:02}", "w", k) for k in range(i + 1)]
+
+
+def test_fold_and_sweep_keep_what_is_known(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(4):
+        batches.replace(texts(spark, str(i)), path, "w", i, note=f"n{i}")
+    batches.fold(spark, path)
+    before = batches.state(spark, path)
+    assert batches.sweep(spark, path) == 0  # readers may still hold the older list
+    assert batches.sweep(spark, path, keep=-1) > 0
+    now = batches.state(spark, path)
+    assert now.live == before.live == ["w-3"] and now.done["w"] == 3 and now.notes["w"] == "n3"
+    assert len(list((tmp_path / "t" / "_finished").glob("*.json"))) == 1
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.name[0] == "w") == ["w-3"]
+    batches.replace(texts(spark, "again"), path, "w", 3)  # known through the fold
+    batches.replace(texts(spark, "new"), path, "w", 4)
+    assert values(batches.read_whole(spark, path, schemas.MESSAGES)) == ["new"]
+    batches.fold(spark, path)
+    batches.sweep(spark, path, keep=-1)
+    assert values(batches.read_whole(spark, path, schemas.MESSAGES)) == ["new"]
+
+
+def test_one_job_writes_many_batches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(100).select(F.col("id").cast("string").alias("value"), (F.col("id") % 3).alias("number"))
+    batches.append_by(rows, path, "w", "number")
+    found = batches.read(spark, path, schemas.MESSAGES)
+    assert found.count() == 100 and all(int(r.value) % 3 == r.batch_id for r in found.collect())
+
+
+def seen_by_a_stream(spark, tmp_path, path, **more):
+    seen = []
+    finished.start(spark, path, schemas.MESSAGES, lambda rows, n: seen.append(values(rows)),
+                   checkpoint=str(tmp_path / "follower"), available_now=True, **more).awaitTermination()
+    return seen
+
+
+def test_streams_take_a_finished_batch_at_a_time(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(3):
+        batches.append(texts(spark, *(f"{i}{k}" for k in range(5))).repartition(4), path, "w", i)
+    texts(spark, "half").write.parquet(f"{path}/w-3")
+    assert seen_by_a_stream(spark, tmp_path, path) == [[f"{i}{k}" for k in range(5)] for i in range(3)]
+    batches.append(texts(spark, "late"), path, "w", 3)
+    batches.compact(spark, path, schemas.MESSAGES, together=2)  # moved before the stream comes to it
+    assert seen_by_a_stream(spark, tmp_path, path) == [["late"]]
+
+
+# The order stream over them ---------------------------------------------------------------------
+
+def publish(spark, tmp_path, *clients):
+    finished.publish(dimensions.client_dimension(table(spark, "clients", *clients)), f"{tmp_path}/clients")
+    finished.publish(dimensions.product_dimension(table(spark, "products", product("p0"), product("p1"))),
+                     f"{tmp_path}/products")
+
+
+@pytest.fixture
+def shop(spark, tmp_path):
+    publish(spark, tmp_path, client("c0"), client("c1"))
+    return tmp_path
+
+
+def send(spark, tmp_path, number, *bodies):
+    batches.append(texts(spark, *bodies), f"{tmp_path}/messages", "shop", number)
+
+
+def cleaned(spark, tmp_path, form="joined"):
+    finished.start_cleaning(spark, f"{tmp_path}/messages", f"{tmp_path}/clients", f"{tmp_path}/products",
+                            orders_path=f"{tmp_path}/orders", rejects_path=f"{tmp_path}/rejects",
+                            checkpoint=f"{tmp_path}/check", form=form, available_now=True).awaitTermination()
+    return batches.read(spark, f"{tmp_path}/orders", schemas.ENRICHED_ORDERS)
+
+
+def lose_commits(folder):
+    """As if the stream had stopped before it noted its last batch."""
+    last = max((f for f in (folder / "commits").iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+    last.unlink()
+    (folder / "commits" / f".{last.name}.crc").unlink(missing_ok=True)
+
+
+def test_changed_client_shows_in_the_next_batch_and_a_repeated_one_is_unchanged(spark, shop):
+    send(spark, shop, 0, body(0))
+    assert [r.name for r in cleaned(spark, shop).collect()] == ["Ann c0"]
+    publish(spark, shop, client("c0", first_name="Eve"), client("c1"))
+    # The batch is lost after it was pinned: forget its outputs and its commit, and run it again.
+    lose_commits(shop / "check")
+    for name in ("orders", "rejects"):
+        log = shop / name / "_finished"
+        log.rename(shop / f"old-{name}")
+    batches._rows.clear()
+    assert [r.name for r in cleaned(spark, shop).collect()] == ["Ann c0"]
+    send(spark, shop, 1, body(3))
+    found = {r.order_id: r.name for r in cleaned(spark, shop).collect()}
+    assert found == {"o0": "Ann c0", "o3": "Eve c0"}
+
+
+def test_cleaning_over_finished_batches_equals_batch(spark, shop):
+    sent = [[body(i) for i in range(f * 10, f * 10 + 10)] + ["broken"] for f in range(3)]
+    for f, bodies in enumerate(sent):
+        send(spark, shop, f, *bodies)
+    found = cleaned(spark, shop)
+    plain = enrich.enrich(clean.clean_orders(texts(spark, *sum(sent, []))),
+                          batches.read_whole(spark, f"{shop}/clients", found.select(
+                              "client_id", "name", "email").schema),
+                          batches.read_whole(spark, f"{shop}/products", found.select(
+                              "product_id", F.col("product_name").alias("name"), "category").schema), "joined")
+    columns = [c for c in plain.columns if c != "processed_at"]
+    assert sorted(map(str, found.select(columns).collect())) == sorted(map(str, plain.select(columns).collect()))
+    assert batches.read(spark, f"{shop}/rejects", schemas.REJECTS).count() == 3
+
+
+def totals(spark, tmp_path):
+    finished.start_totals(spark, f"{tmp_path}/orders", path=f"{tmp_path}/totals", checkpoint=f"{tmp_path}/sums",
+                          buckets=4, available_now=True).awaitTermination()
+    return {r.client_id: (r.order_count, r.total_revenue) for r in merged.client_totals(spark, f"{tmp_path}/totals").collect()}
+
+
+def test_totals_equal_batch_after_every_batch_and_after_a_replay(spark, shop):
+    for f in range(4):
+        send(spark, shop, f, *(body(i, total_amount=0.1) for i in range(f * 10, f * 10 + 10)))
+        orders = cleaned(spark, shop)
+        plain = {r.client_id: (r.order_count, r.total_revenue) for r in metrics.client_metrics(orders).collect()}
+        assert totals(spark, shop) == plain
+        # Reading costs the buckets, whatever the number of batches.
+        assert len(batches.state(spark, f"{shop}/totals").live) <= 4
+    lose_commits(shop / "sums")
+    assert totals(spark, shop) == plain
+
+
+def test_totals_of_amounts_that_are_missing_or_fine(spark, tmp_path):
+    rows = [("a", 1e15 + 0.25), ("a", 0.1), ("a", 0.2), ("b", None), ("c", 0.00001), (None, 5.0)]
+    df = spark.createDataFrame(rows, "client_id string, total_amount double")
+    for n in range(2):
+        merged.merge_clients(df, f"{tmp_path}/t", "w", n, buckets=2)
+    got = {r.client_id: (r.order_count, r.total_revenue) for r in merged.client_totals(spark, f"{tmp_path}/t").collect()}
+    plain = {r.client_id: (r.order_count, r.total_revenue) for r in metrics.client_metrics(df.union(df)).collect()}
+    assert got == plain and got["b"] == (2, None)
+
+
+def windows(spark, tmp_path, path="windows", lateness=timedelta(minutes=10)):
+    finished.start_windows(spark, f"{tmp_path}/orders", path=f"{tmp_path}/{path}", checkpoint=f"{tmp_path}/{path}-check",
+                           lateness=lateness, available_now=True).awaitTermination()
+    found = finished.windows_of(spark, f"{tmp_path}/{path}").collect()
+    others = finished.left_out(spark, f"{tmp_path}/{path}").collect()
+    return (sorted((str(r.window_start)[11:16], r.client_id, r.order_count, r.total_revenue, r.closed) for r in found),
+            sorted((r.order_id, r.reason) for r in others))
+
+
+def test_late_and_undated_orders_are_set_aside(spark, shop):
+    send(spark, shop, 0, at(0, "10:00:10"), at(3, "10:00:50"), at(1, "10:01:00"), at(1, "10:11:30"),
+         body(4, order_date=None), at(2, "10:11:30"))  # the client of order 2 is unknown
+    cleaned(spark, shop)
+    first = ([("10:00", "c0", 2, 3.5, True), ("10:01", "c1", 1, 1.25, False), ("10:11", "c1", 1, 1.25, False)],
+             [("o4", "no_date")])
+    assert windows(spark, shop) == first
+    lose_commits(shop / "windows-check")
+    assert windows(spark, shop) == first
+    send(spark, shop, 1, at(6, "10:00:30"), at(4, "10:01:45"), at(3, "10:30:00"))
+    cleaned(spark, shop)
+    assert windows(spark, shop) == (
+        [("10:00", "c0", 2, 3.5, True), ("10:01", "c1", 2, 5.5, True), ("10:11", "c1", 1, 1.25, True),
+         ("10:30", "c0", 1, 3.25, False)], [("o4", "no_date"), ("o6", "late")])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_counted_late_and_undated_orders_are_all_orders_in_any_order(spark, shop, seed):
+    rng = random.Random(seed)
+    for f in range(5):
+        send(spark, shop, f, *(body(i, order_date=rng.choice([None, f"{rng.randint(2019, 2022)}-05-01 10:{rng.randint(0, 59):02}:00"]))
+                               for i in range(20)))
+    orders = cleaned(spark, shop).count()
+    found, others = windows(spark, shop)
+    assert sum(r[2] for r in found) + len(others) == orders > 0
+    assert {reason for _, reason in others} == {"late", "no_date"}
+    assert len({r[:2] for r in finished.windows_of(spark, f"{shop}/windows").select(
+        "window_start", "client_id").collect()}) == len(found)
+
+
+def test_first_batch_without_dates(spark, shop):
+    send(spark, shop, 0, body(0, order_date=None))
+    send(spark, shop, 1, at(0, "10:00:10"))
+    cleaned(spark, shop)
+    assert windows(spark, shop) == ([("10:00", "c0", 1, 0.25, False)], [("o0", "no_date")])
+
+
+# Distinct counts --------------------------------------------------------------------------------
+
+def test_sketches_of_batches_count_within_their_error(spark, tmp_path):
+    rows = spark.range(300_000).select(
+        (F.col("id") % 3).cast("string").alias("page"), F.concat(F.lit("u"), F.col("id") % 70_001).alias("client_id"),
+        (F.col("id") % 4).alias("number")).unionByName(spark.createDataFrame(
+            [("0", None, 1), ("none", None, 1), (None, "u1", 2)], "page string, client_id string, number long"))
+    schema = rows.drop("number").schema
+    batches.append_by(rows, f"{tmp_path}/views", "shop", "number")
+    for _ in range(2):  # the second start finds nothing new
+        finished.start_distinct(spark, f"{tmp_path}/views", schema, group={"page": F.col("page")}, value="client_id",
+                                path=f"{tmp_path}/sketches", checkpoint=f"{tmp_path}/check", available_now=True).awaitTermination()
+    got = {r.page: r.n for r in finished.distinct_counts(spark, f"{tmp_path}/sketches", "page string", "n").collect()}
+    exact = {r.page: r.n for r in rows.groupBy("page").agg(F.countDistinct("client_id").alias("n")).collect()}
+    assert got.keys() == exact.keys() and got["none"] == 0 and got[None] == 1
+    assert all(abs(got[k] - n) <= finished.ERROR * n for k, n in exact.items())
+    lose_commits(tmp_path / "check")
+    finished.start_distinct(spark, f"{tmp_path}/views", schema, group={"page": F.col("page")}, value="client_id",
+                            path=f"{tmp_path}/sketches", checkpoint=f"{tmp_path}/check", available_now=True).awaitTermination()
+    assert batches.read(spark, f"{tmp_path}/sketches", schema).select("writer", "batch_id").distinct().count() == 4

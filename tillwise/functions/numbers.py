@@ -28,6 +28,27 @@ def exact_sum(x: Column | str, weight: Column | None = None, scale: int = 4) ->
     return F.when(F.count(x) > 0, whole.cast("double") / power + F.sum(rest))
 
 
+def unit_parts(x: Column | str, scale: int = 4) -> tuple[Column, Column, Column]:
+    """The sum of ``exact_sum`` in parts that can be added up later: ``units``, ``rest`` and the
+    number of ``amounts``. Sums of sums stay exact, which sums of doubles would not."""
+    x = _col(x)
+    power = float(10 ** scale)
+    units = F.coalesce(F.rint(x * power).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return (F.sum(units.cast("decimal(19,0)")).cast("decimal(38,0)").alias("units"),
+            F.coalesce(F.sum(x - units / power), F.lit(0.0)).alias("rest"), F.count(x).alias("amounts"))
+
+
+def merged_units() -> tuple[Column, Column, Column]:
+    """Aggregates that add up parts."""
+    return (F.sum("units").cast("decimal(38,0)").alias("units"), F.sum("rest").alias("rest"),
+            F.sum("amounts").alias("amounts"))
+
+
+def units_value(scale: int = 4) -> Column:
+    """The sum that parts stand for; NULL without amounts."""
+    return F.when(F.col("amounts") > 0, F.col("units").cast("double") / float(10 ** scale) + F.col("rest"))
+
+
 def mean(x: Column | str, weight: Column | None = None, scale: int = 4) -> Column:
     """Average over the non-null values; NULL when there are none."""
     x = _col(x)

@@ -133,6 +133,30 @@ _WINDOWED = f"""
            client_id, count(*) AS order_count, {_total('total_amount')} AS total_revenue
     FROM joined WHERE order_date IS NOT NULL GROUP BY ALL"""
 
+# One batch per year of order, undated orders first and every eleventh order a year late. A window is
+# closed ten minutes behind the latest order of the batches before; a batch's own orders close windows
+# when it is through.
+_LATE = f"""
+    SELECT * FROM (
+        WITH numbered AS (
+            SELECT *, coalesce(year(order_date) - 1995 + 1 + CASE WHEN CAST(order_id AS BIGINT) % 11 = 4 THEN 1 ELSE 0 END, 0)
+                     AS batch, time_bucket(INTERVAL 60 SECONDS, order_date) AS window_start
+            FROM joined),
+        marks AS (
+            SELECT batch, max(max(order_date)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark,
+                   max(max(order_date)) OVER () AS final_mark
+            FROM numbered GROUP BY batch),
+        judged AS (
+            SELECT *, CASE WHEN order_date IS NULL THEN 'no_date'
+                           WHEN window_start + INTERVAL 60 SECONDS <= mark - INTERVAL 10 MINUTES THEN 'late' END AS reason
+            FROM numbered JOIN marks USING (batch))
+        SELECT window_start, client_id, count(*) AS order_count, {_total('total_amount')} AS total_revenue,
+               CASE WHEN window_start + INTERVAL 60 SECONDS <= any_value(final_mark) - INTERVAL 10 MINUTES THEN 'closed'
+                    ELSE 'open' END AS kind, CAST(NULL AS VARCHAR) AS order_id
+        FROM judged WHERE reason IS NULL GROUP BY window_start, client_id
+        UNION ALL
+        SELECT NULL, client_id, NULL, NULL, reason, order_id FROM judged WHERE reason IS NOT NULL)"""
+
 _INACTIVE = f"""
     SELECT c.client_id, first_name, last_name, email, country, segment, last_order_date,
            date_sub('day', last_order_date, {AS_OF}) AS days_inactive, nb_orders,
@@ -375,6 +399,19 @@ def _bodies() -> dict[str, str]:
         "stream_windowed_metrics": f"""
             SELECT * FROM ({_WINDOWED}) WHERE window_end <=
                 (SELECT max(order_date) - INTERVAL 10 MINUTES FROM joined)""",
+        "stream_finished_batches": f"""
+            SELECT *, CAST(NULL AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS reason FROM enriched
+            UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, value, reason
+            FROM ({rejected})""",
+        "stream_client_totals": _METRICS.format("joined"),
+        "stream_late_orders": _LATE,
+        "stream_distinct_counts": """
+            SELECT 'page' AS measure, page AS group_value, count(DISTINCT client_id) AS distinct_values,
+                   TRUE AS close_in_many, TRUE AS close_in_one FROM page_views GROUP BY page
+            UNION ALL
+            SELECT 'week', CAST(CAST(date_trunc('week', order_date) AS DATE) AS VARCHAR),
+                   count(DISTINCT client_id), TRUE, TRUE
+            FROM shop_orders WHERE status <> 'Cancelled' GROUP BY 2""",
         "csv_roundtrip": "SELECT * FROM clients",
         "csv_roundtrip_all": unchanged,
         "csv_rejects": """

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise import schemas, scratch
 from tillwise.functions.domains import ACCEPTED
+from tillwise.functions.times import iso_week
 from tillwise.operators import dimensions as dim
 from tillwise.operators import clean, enrich, metrics, quality
 from tillwise.plans import catalog, reports, views
-from tillwise.sources import csv_files, landing, messages, star_schema as star, tables
+from tillwise.sources import batches, csv_files, landing, messages, star_schema as star, tables
+from tillwise.streaming import finished, merged
 from tillwise.streaming import orders as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -258,6 +260,87 @@ def stream_dedup_orders(spark, folder):
         "processed_at", "writer", "batch_id")
 
 
+# Streams over tables of finished batches --------------------------------------------------------
+
+def _sent(spark, folder, base, delayed=False):
+    """The order stream as finished batches, one per year of order, written by one job; undated orders
+    come first. ``delayed``: every eleventh order comes a year late."""
+    placed = star.faulty_orders(spark, folder).withColumn("year", F.year("order_date"))
+    late = F.when(F.col("order_id").cast("bigint") % 11 == 4, 1).otherwise(0) if delayed else F.lit(0)
+    number = F.coalesce(F.col("year") - star.FIRST_YEAR + 1 + late, F.lit(0))
+    sent = star.order_messages(spark, folder, placed.withColumn("number", number), "number").drop("key")
+    batches.append_by(sent, f"{base}/messages", "shop", "number")
+
+
+def _followed(spark, folder, base, form="joined", delayed=False):
+    """Messages to the table of enriched orders; its path."""
+    _sent(spark, folder, base, delayed)
+    for name, df in (("clients", dim.client_dimension(star.clients(spark, folder))),
+                     ("products", dim.product_dimension(star.products(spark, folder)))):
+        finished.publish(df, f"{base}/{name}")
+    finished.start_cleaning(
+        spark, f"{base}/messages", f"{base}/clients", f"{base}/products", orders_path=f"{base}/orders",
+        rejects_path=f"{base}/rejects", checkpoint=f"{base}/cleaning", form=form, available_now=True).awaitTermination()
+    return f"{base}/orders"
+
+
+def stream_finished_batches(spark, folder):
+    """Enriched orders and rejects of the batches that are finished, after their files were put
+    together; a batch that is half written is not among them."""
+    base = scratch.new_folder(spark, "finished")
+    orders = _followed(spark, folder, base, "union")
+    batches.compact(spark, orders, schemas.CLEANED_ORDERS, together=4)
+    found = batches.read(spark, orders, schemas.CLEANED_ORDERS)
+    found.withColumn("order_id", F.lit("half")).write.parquet(f"{orders}/cleaning-99")
+    rejects = batches.read(spark, f"{base}/rejects", schemas.REJECTS)
+    return batches.read(spark, orders, schemas.CLEANED_ORDERS).select(UNION_COLUMNS).unionByName(
+        rejects.select("value", "reason"), allowMissingColumns=True)
+
+
+def stream_client_totals(spark, folder):
+    """Running totals merged batch by batch into one snapshot."""
+    base = scratch.new_folder(spark, "totals")
+    finished.start_totals(spark, _followed(spark, folder, base), path=f"{base}/totals", checkpoint=f"{base}/checkpoint",
+                          buckets=int(spark.conf.get("spark.sql.shuffle.partitions")), available_now=True).awaitTermination()
+    return merged.client_totals(spark, f"{base}/totals")
+
+
+def stream_late_orders(spark, folder):
+    """Windows, closed and open, of orders of which some come a year late, and the orders that none of
+    them counts."""
+    base = scratch.new_folder(spark, "late")
+    finished.start_windows(spark, _followed(spark, folder, base, delayed=True), path=f"{base}/windows",
+                           checkpoint=f"{base}/checkpoint", available_now=True).awaitTermination()
+    windows = finished.windows_of(spark, f"{base}/windows").withColumn(
+        "kind", F.when(F.col("closed"), "closed").otherwise("open")).drop("closed", "window_end")
+    others = finished.left_out(spark, f"{base}/windows").select(F.col("reason").alias("kind"), "order_id", "client_id")
+    return windows.unionByName(others, allowMissingColumns=True)
+
+
+def stream_distinct_counts(spark, folder):
+    """Unique users per page and active clients per week, exactly and whether the streams' sketches
+    are within their error of it, over many batches and over one."""
+    base, parts = scratch.new_folder(spark, "distinct"), []
+    views_seen = star.page_views(spark, folder).withColumn("number", F.dayofmonth("event_datetime") % 6)
+    placed = star.orders(spark, folder).where("status <> 'Cancelled'").withColumn("number", F.year("order_date") - star.FIRST_YEAR)
+    for name, rows, group in (("page", views_seen, F.col("page")),
+                              ("week", placed, iso_week("order_date").cast("string"))):
+        schema = rows.drop("number").schema
+        batches.append_by(rows, f"{base}/{name}/many", "shop", "number")
+        batches.append_by(rows.withColumn("number", F.lit(0)), f"{base}/{name}/one", "shop", "number")
+        exact = (rows.groupBy(group.alias("group_value")).agg(F.countDistinct("client_id").alias("distinct_values")))
+        for way in ("many", "one"):
+            path = f"{base}/{name}/{way}-sketches"
+            finished.start_distinct(spark, f"{base}/{name}/{way}", schema, group={"group_value": group}, value="client_id",
+                                    path=path, checkpoint=f"{base}/{name}/{way}-checkpoint", available_now=True).awaitTermination()
+            found = finished.distinct_counts(spark, path, "group_value string", way)
+            exact = exact.join(found, "group_value", "left")
+        close = [(F.abs(F.col(way) - F.col("distinct_values")) <= finished.ERROR * F.col("distinct_values")).alias(f"close_in_{way}")
+                 for way in ("many", "one")]
+        parts.append(exact.select(F.lit(name).alias("measure"), "group_value", "distinct_values", *close))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Sources, sinks, tables -------------------------------------------------------------------------
 
 def _changes(before, after, name):
@@ -464,6 +547,7 @@ ALL: tuple[Query, ...] = (
     orders_join_products, enriched_union, enriched_joined, client_metrics_union, client_metrics,
     client_metrics_windowed, undated_orders,
     stream_clean_orders, stream_client_metrics, stream_windowed_metrics, stream_dedup_orders,
+    stream_finished_batches, stream_client_totals, stream_late_orders, stream_distinct_counts,
     csv_roundtrip, csv_roundtrip_all, csv_rejects, positional_csv, partitioned_roundtrip,
     partitioned_roundtrip_all, catalog_tables, landing_manifest,
     null_profile, duplicate_rows, dedup_rows, email_check, age_check, ref_integrity,

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
-    DoubleType, LongType, StringType, StructField, StructType, TimestampType,
+    DecimalType, DoubleType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
 _TYPES = {"string": StringType(), "double": DoubleType(), "bigint": LongType(),
-          "timestamp": TimestampType()}
+          "timestamp": TimestampType(), "units": DecimalType(38, 0)}
 
 
 def _schema(columns: str) -> StructType:
@@ -55,6 +55,12 @@ CLIENT_METRICS = _schema(
 WINDOWED_METRICS = _schema(
     "window_start timestamp, window_end timestamp, client_id string, order_count bigint, "
     "total_revenue double")
+# Totals that can be added up (functions.numbers.unit_parts).
+CLIENT_TOTALS = _schema("client_id string, order_count bigint, units units, rest double, amounts bigint")
+WINDOW_TOTALS = _schema(
+    "window_start timestamp, window_end timestamp, client_id string, order_count bigint, units units, "
+    "rest double, amounts bigint")
+MESSAGES = _schema("value string")
 REJECTS = _schema("value string, reason string")
 
 

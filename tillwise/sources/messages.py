@@ -10,11 +10,11 @@ _STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def encode_events(orders: DataFrame, sent_at: str | None = None,
-                  limit: int | None = None) -> DataFrame:
+                  limit: int | None = None, *kept: str) -> DataFrame:
     """One message per order: its id as ``key``, its JSON as ``value``.
 
     A NULL becomes a JSON null. ``product_id`` is sent if the input has it. ``limit`` stops after
-    that many orders, in no particular order.
+    that many orders, in no particular order. Columns may be ``kept`` beside the message.
     """
     if limit is not None:
         orders = orders.limit(limit)
@@ -23,7 +23,7 @@ def encode_events(orders: DataFrame, sent_at: str | None = None,
         "order_id", "client_id", *product, "total_amount", "status",
         F.col("order_date").cast("string").alias("order_date"),
         F.date_format(moment(sent_at), _STAMP).alias("sent_at"))
-    return orders.select(F.col("order_id").alias("key"),
+    return orders.select(F.col("order_id").alias("key"), *kept,
                          F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
 
 

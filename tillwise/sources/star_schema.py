@@ -14,6 +14,7 @@ from tillwise import schemas
 from tillwise.sources.messages import encode_events, write_messages
 
 AS_OF = "2001-08-02 00:00:00"
+FIRST_YEAR = 1995  # of the orders
 
 # Columns of the star schema that the shop tables use; given, so that no file is opened to infer.
 STAR = {
@@ -175,12 +176,13 @@ def faulty_orders(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("status"))})
 
 
-def order_messages(spark: SparkSession, folder: str, placed: DataFrame | None = None) -> DataFrame:
-    """The order stream as JSON text; some texts are cut off and some lack the product."""
+def order_messages(spark: SparkSession, folder: str, placed: DataFrame | None = None, *kept: str) -> DataFrame:
+    """The order stream as JSON text; some texts are cut off and some lack the product. Columns of
+    ``placed`` may be kept beside the text."""
     value, key = F.col("value"), F.col("key").cast("bigint")
     sent = faulty_orders(spark, folder) if placed is None else placed
-    return encode_events(sent, sent_at=AS_OF).select(
-        "key",
+    return encode_events(sent, AS_OF, None, *kept).select(
+        "key", *kept,
         F.when(key % 103 == 7, F.expr("left(value, length(value) - 3)"))
         .when(key % 109 == 11, F.replace(value, F.lit('"product_id"'), F.lit('"product"')))
         .otherwise(value).alias("value"))
