@@ -14,6 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 EAGER = {"stream_clean_orders", "stream_client_metrics", "stream_windowed_metrics", "stream_dedup_orders",
          "catalog_tables", "landing_manifest", "csv_roundtrip", "positional_csv",
          "stream_finished_batches", "stream_client_totals", "stream_late_orders", "stream_distinct_counts",
+         "csv_split_quoted", "catalog_replace",
          "partitioned_roundtrip", "csv_roundtrip_all", "partitioned_roundtrip_all", "csv_rejects"}
 
 

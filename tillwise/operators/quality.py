@@ -219,3 +219,53 @@ def seeded_sample(df: DataFrame, keys: list[str], fraction: float = 0.01, seed:
     rank = F.row_number().over(Window.partitionBy("_group").orderBy("_number"))
     return (drawn.join(quota, "_group").withColumn("_rank", rank).where("_rank <= _quota")
             .select(*df.columns))
+
+
+# Draws that one task makes, and bits of a draw's number.
+_DRAWS, _BITS = 1 << 16, 60
+# Hex digits of a row's MD5 that name its part of the table.
+_DIGITS = 4
+
+
+def drawn_sample(df: DataFrame, keys: list[str], fraction: float = 0.01, seed: int = 42) -> DataFrame:
+    """A sample with replacement of ``max(1, floor(fraction * rows))`` draws (none of an empty table),
+    each of which may take any row, however often it was taken; the same for a seed in any layout.
+
+    Rows stand in order of the MD5 of their keys, then of all columns; draw number i takes the row at
+    the place that the MD5 of seed and i names, evenly over all places. Equal rows are counted first
+    and hold as many places. A row's place is one within its part, the rows whose MD5 begins alike,
+    and the parts are counted, so no task holds more than one part. A draw is dealt to its part, where
+    the row at or before its place is looked up in order. ``keys`` are to tell rows apart: rows that
+    agree in them fall in one part.
+    """
+    digest = F.md5(F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys)))
+    whole = F.struct(*df.columns)
+    rows = (df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+            .select(whole.alias("_row"), "_copies", digest.alias("_md5"))
+            .withColumn("_part", F.conv(F.left("_md5", F.lit(_DIGITS)), 16, 10).cast("int")))
+    before = Window.partitionBy("_part").orderBy("_md5", "_row").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.select("_part", F.coalesce(F.sum("_copies").over(before), F.lit(0)).alias("_place"), "_row")
+    # At most 16^_DIGITS parts.
+    in_order = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("_part").agg(F.sum("_copies").alias("_n")).withColumns({
+        "_first": F.coalesce(F.sum("_n").over(in_order), F.lit(0)), "_rows": F.sum("_n").over(Window.partitionBy())})
+    # The draws are made in blocks, and a block's draws in a task of its own.
+    blocks = (parts.agg(F.max("_rows").alias("_rows")).where("_rows > 0")
+              .withColumn("_draws", F.greatest(F.lit(1), F.floor(F.col("_rows") * fraction)).cast("bigint"))
+              .withColumn("_block", F.explode(F.sequence(F.lit(0), F.expr(f"(_draws - 1) div {_DRAWS}")))).repartition("_block"))
+    first = F.col("_block") * _DRAWS
+    number = F.conv(F.left(F.md5(F.concat_ws("|", F.lit(seed), "_i")), F.lit(_BITS // 4)), 16, 10).cast("decimal(20,0)")
+    draws = (blocks.withColumn("_i", F.explode(F.sequence(first + 1, F.least(first + _DRAWS, F.col("_draws")))))
+             .withColumn("_at", F.floor(number * F.col("_rows").cast("decimal(17,0)") / F.lit(1 << _BITS).cast("decimal(20,0)"))
+                         .cast("bigint")))
+    # Parts and draws meet on cells of about a part's size: a part lies in two or three.
+    size = f"greatest(1, _rows div {16 ** _DIGITS})"
+    cells = parts.withColumn("_cell", F.explode(F.sequence(
+        F.expr(f"_first div {size}"), F.expr(f"(_first + _n - 1) div {size}")))).drop("_rows")
+    dealt = (draws.withColumn("_cell", F.expr(f"_at div {size}")).join(cells, "_cell")
+             .where("_at >= _first AND _at < _first + _n")
+             .select("_part", (F.col("_at") - F.col("_first")).alias("_place"), F.lit(True).alias("_drawn")))
+    upto = Window.partitionBy("_part").orderBy("_place", F.col("_drawn").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    looked = placed.unionByName(dealt, allowMissingColumns=True).withColumn("_row", F.last("_row", True).over(upto))
+    return looked.where("_drawn").select("_row.*")

@@ -2,33 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BANDS_PER_DOUBLING = 1024
-_TOP, _BOTTOM = (1 << 63) - 1, -(1 << 63)
+from tillwise.operators.skew import join_per_key
+
+# A double's 64 bits in order of its value are a path of three steps; a window sees the children of one
+# node, so at most 2^22 rows, whatever the table.
+_LOW, _MIDDLE = 21, 42
+_LAST = -(1 << 63)
+
+
+def _ordered_bits(value: Column) -> Column:
+    """A 64-bit integer that orders as the double does: NaN above infinity, NULL below all."""
+    number = F.coalesce(value, F.lit(0.0)) + F.lit(0.0)  # the method takes no NULL; -0.0 is 0.0
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), number).cast("bigint")
+    return (F.when(value.isNull(), F.lit(_LAST)).when(bits >= 0, bits)
+            .otherwise(bits.bitwiseXOR(F.lit((1 << 63) - 1))))
 
 
 def rank_within(df: DataFrame, group: str, value: str, rank: str) -> DataFrame:
     """Add ``rank() OVER (PARTITION BY group ORDER BY value DESC)``, ties sharing a rank.
 
-    Values are cut into narrow bands that keep their order. Rows are ranked inside their band, and
-    the rows in the bands above are added from a table of one count per group and band. So the
-    largest window partition is one band of one group, not the group. ``df`` is used twice; shuffles
-    below it are read again, not made again.
+    Rows become distinct values with their number first, so any number of ties is one row. The values'
+    bits make a tree of three levels; a node's rows are counted, and what lies above a value is a
+    prefix sum among the children of each node on its way. So no task holds a group, and the result
+    does not depend on how rows are laid out. Rows are joined to their value's rank at the end.
     """
-    v = F.col(value)
-    doublings = F.log2(F.abs(v) + 1) * BANDS_PER_DOUBLING
-    # NaN sorts above infinity, with which it shares the top band; NULL comes last.
-    band = (F.when(v.isNull(), _BOTTOM).when(F.isnan(v), _TOP)
-            .when(v < 0, -F.floor(doublings)).otherwise(F.floor(doublings)))
-    banded = df.withColumn("band", band)
-    counted = banded.groupBy(group, "band").agg(F.count("*").alias("n"))
-    higher = Window.partitionBy(group).orderBy(F.desc("band")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    above = counted.select(F.col(group).alias("_group"), F.col("band").alias("_band"),
-                           F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("_above"))
-    inside = F.rank().over(Window.partitionBy(group, "band").orderBy(F.desc(value)))
-    placed = banded.withColumn("_inside", inside)
-    return (placed.join(above, F.col(group).eqNullSafe(F.col("_group"))
-                        & (F.col("band") == F.col("_band")))
-            .select(*df.columns, (F.col("_above") + F.col("_inside")).alias(rank)))
+    node = {"_none": F.col(group).isNull(), "_text": F.coalesce(F.col(group).cast("string"), F.lit(""))}
+    keyed = df.withColumns({**node, "_key": _ordered_bits(F.col(value).cast("double"))})
+    top, middle = F.shiftright("_key", _MIDDLE), F.shiftright("_key", _LOW).bitwiseAND(F.lit((1 << _LOW) - 1))
+    names = list(node)
+    values = (keyed.groupBy(*names, "_key").agg(F.count("*").alias("n"))
+              .withColumns({"_top": top, "_middle": middle}))
+    twigs = values.groupBy(*names, "_top", "_middle").agg(F.sum("n").alias("n"))
+    limbs = twigs.groupBy(*names, "_top").agg(F.sum("n").alias("n"))
+
+    def above(within: list[str], by: str) -> Column:
+        before = Window.partitionBy(*within).orderBy(F.desc(by)).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(before), F.lit(0))
+
+    limbs = limbs.select(*names, "_top", above(names, "_top").alias("_above"))
+    within = [*names, "_top"]
+    twigs = (twigs.withColumn("_here", above(within, "_middle")).join(limbs, within)
+             .select(*within, "_middle", (F.col("_above") + F.col("_here")).alias("_above")))
+    within = [*within, "_middle"]
+    ranked = (values.withColumn("_here", above(within, "_key")).join(twigs, within)
+              .select(*names, "_key", (F.col("_above") + F.col("_here") + 1).alias("_rank")))
+    return join_per_key(keyed, ranked, [*names, "_key"]).select(*df.columns, F.col("_rank").alias(rank))

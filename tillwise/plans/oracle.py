@@ -414,6 +414,16 @@ def _bodies() -> dict[str, str]:
             FROM shop_orders WHERE status <> 'Cancelled' GROUP BY 2""",
         "csv_roundtrip": "SELECT * FROM clients",
         "csv_roundtrip_all": unchanged,
+        "csv_split_quoted": """
+            SELECT * REPLACE (CASE WHEN CAST(client_id AS BIGINT) % 3 = 0
+                              THEN 'a "b"' || chr(10) || ',' || last_name || chr(10) || chr(10) || '"'
+                              ELSE last_name END AS last_name) FROM clients""",
+        "catalog_replace": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, '{step}' AS step, count(*) AS n_rows, "
+            f"CAST(sum(CAST({key} AS BIGINT)) AS BIGINT) AS keys FROM {source} {where}"
+            for name, source, key in (("page_views", "page_views", "session_id"), ("clients", "clients", "client_id"))
+            for step, where in (("first", f"WHERE CAST({key} AS BIGINT) % 5 = 0"),
+                                ("failed", f"WHERE CAST({key} AS BIGINT) % 5 = 0"), ("second", ""))),
         "csv_rejects": """
             SELECT product_id || ',' || product_name || ',' || category || ',cheap,' || stock AS value,
                    'bad_value' AS reason FROM products WHERE CAST(product_id AS BIGINT) % 20 = 3""",
@@ -471,6 +481,17 @@ def _bodies() -> dict[str, str]:
                                                    ORDER BY quantity, unit_price) AS place FROM order_items),
                      (SELECT unnest([1, 2, 3]) AS chance))
             WHERE rank <= greatest(1, floor((SELECT count(*) FROM order_items) * 0.01))""",
+        "drawn_sample": """
+            SELECT * FROM (WITH twice AS (
+                SELECT * FROM order_items UNION ALL SELECT * FROM order_items WHERE order_id LIKE '%7'),
+            numbered AS (
+                SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', item_id, order_id, product_id)), item_id,
+                          order_id, product_id, quantity, unit_price) - 1 AS place FROM twice),
+            draws AS (
+                SELECT CAST(('0x' || left(md5('42|' || i), 15))::HUGEINT * (SELECT count(*) FROM twice)::HUGEINT
+                            // 1152921504606846976 AS BIGINT) AS place
+                FROM (SELECT unnest(range(1, CAST(greatest(1, floor((SELECT count(*) FROM twice) * 0.01)) AS BIGINT) + 1)) AS i))
+            SELECT item_id, order_id, product_id, quantity, unit_price FROM draws JOIN numbered USING (place))""",
         "date_order_check": """
             SELECT o.client_id, order_id, order_date, registration_date
             FROM shop_orders o JOIN clients c ON o.client_id = c.client_id

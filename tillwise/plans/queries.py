@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise import schemas, scratch
@@ -368,6 +369,16 @@ def csv_roundtrip_all(spark, folder):
         for name, df in shop.items()))
 
 
+def csv_split_quoted(spark, folder):
+    """Clients with line breaks and quotes in their names, through CSV files that any number of tasks
+    may share."""
+    path = scratch.new_folder(spark, "csv")
+    k = F.col("client_id").cast("bigint")
+    odd = F.when(k % 3 == 0, F.concat(F.lit('a "b"\n,'), "last_name", F.lit('\n\n"'))).otherwise(F.col("last_name"))
+    csv_files.write_csv(star.clients(spark, folder).withColumn("last_name", odd), path)
+    return csv_files.load_csv_split(spark, schemas.CLIENTS, path)
+
+
 def csv_rejects(spark, folder):
     """Products of which some have a word for a price: what the typed load sets aside."""
     path = scratch.new_folder(spark, "csv")
@@ -432,6 +443,33 @@ def catalog_tables(spark, folder):
         spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
 
+def catalog_replace(spark, folder):
+    """Page views and clients by name after a good load, after one that failed half-way, and after a
+    second good one."""
+    base = scratch.new_folder(spark, "shop")
+    database = "shop_" + base.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}'")
+    steps = []
+    try:
+        for table, rows in (("page_views", star.page_views(spark, folder)), ("clients", star.clients(spark, folder))):
+            key = rows.columns[0]
+            some = rows.where(F.col(key).cast("bigint") % 5 == 0)
+            broken = rows.withColumn(key, F.when(F.col(key).cast("bigint") % 7 == 0, F.raise_error(F.lit("lost"))).otherwise(F.col(key)))
+            for step, load in (("first", some), ("failed", broken), ("second", rows)):
+                try:
+                    tables.replace_table(spark, database, base, table, load)
+                except PySparkException as failed:
+                    if step != "failed" or "lost" not in str(failed):
+                        raise
+                seen = spark.table(f"{database}.{table}").agg(
+                    F.count("*").alias("n_rows"), F.sum(F.col(key).cast("bigint")).alias("keys"))
+                steps.append(scratch.stored(spark, seen.select(
+                    F.lit(table).alias("table_name"), F.lit(step).alias("step"), "n_rows", "keys"), "seen"))
+        return reduce(DataFrame.unionByName, steps)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def landing_manifest(spark, folder):
     """All six tables, one that the data model does not know and one without rows to CSV, landed
     as Parquet; the manifest per table."""
@@ -538,6 +576,10 @@ def seeded_sample(spark, folder):
     return quality.seeded_sample(star.order_items(spark, folder), ["item_id", "order_id", "product_id"])
 
 
+def drawn_sample(spark, folder):
+    return quality.drawn_sample(star.repeated_items(spark, folder), ["item_id", "order_id", "product_id"])
+
+
 ALL: tuple[Query, ...] = (
     revenue_by_region, inactive_clients, top_products, recurring_incidents, navigation_funnel,
     weekly_kpis, client_360, sql_over_views,
@@ -553,4 +595,5 @@ ALL: tuple[Query, ...] = (
     null_profile, duplicate_rows, dedup_rows, email_check, age_check, ref_integrity,
     order_total_check, date_order_check, incident_date_check, mend_ages, segment_rule, region_lookup, resolution_rule,
     price_band_check, catalogue_band_check, duration_band_check, accepted_values, seeded_sample,
+    drawn_sample, csv_split_quoted, catalog_replace,
 )
