@@ -25,7 +25,7 @@ stay exact up to 9e15 words of a language.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -40,8 +40,8 @@ LEAST_DOCUMENTS, TOP = 10, 10
 SHARD_TERMS, SHARD_BYTES = 1 << 16, 1 << 22
 # Bytes of a text looked at at once; distinct terms a task holds; bytes of a message.
 PART, HELD, MESSAGE = 1 << 20, 200_000, 1 << 18
-# Source and term pairs of a block; partitions that each transducer meets at least.
-CELLS, SALTS = 1 << 20, 8
+# Source and term pairs of a block; partitions that each transducer, and each group there, meets at least.
+CELLS, SALTS, SPREAD = 1 << 16, 8, 4
 
 # Letters and bytes of other code points than ASCII stay, A-Z lowered; all else parts terms.
 _TERM = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -246,26 +246,22 @@ def _messages(firsts: list[bytes], most: int):
 
         def rows() -> Iterator[pa.RecordBatch]:
             for (lang, source), found in held.items():
-                prefix, out = key_prefix(lang), defaultdict(list)
+                prefix, sent = key_prefix(lang), []
                 ordered = sorted(found)
+                counts = np.array([found[t] for t in ordered], np.int64)
+                ends = np.cumsum([len(t) + 1 for t in ordered])
                 at = 0
                 while at < len(ordered):
                     run = max(0, bisect_right(firsts, prefix + ordered[at]) - 1)
-                    end, size = at, 0
                     # A message ends where the next run of keys begins, or when it is long enough.
-                    beyond = firsts[run + 1] if run + 1 < len(firsts) else None
-                    while end < len(ordered) and size < most and (beyond is None or prefix + ordered[end] < beyond):
-                        size += len(ordered[end]) + 1
-                        end += 1
-                    out["run"].append(run)
-                    out["text"].append(b" ".join(ordered[at:end]))
-                    out["counts"].append(np.array([found[t] for t in ordered[at:end]], np.int64).tobytes())
+                    end = int(np.searchsorted(ends, ends[at] + most, "right"))
+                    if run + 1 < len(firsts) and prefix + ordered[end - 1] >= firsts[run + 1]:
+                        end = bisect_left(ordered, firsts[run + 1][len(prefix):], at, end)
+                    sent.append((lang, source, run, b" ".join(ordered[at:end]), counts[at:end].tobytes()))
                     at = end
-                n = len(out["run"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), pa.array(out["run"], pa.int64()),
-                     pa.array(out["text"], pa.binary()), pa.array(out["counts"], pa.binary())],
-                    names=["lang", "source", "run", "text", "counts"])
+                kinds = (pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*sent)) or [[]] * 5, kinds)],
+                                                 names=["lang", "source", "run", "text", "counts"])
             held.clear()
 
         for batch in batches:
@@ -281,22 +277,36 @@ def _messages(firsts: list[bytes], most: int):
 
 
 def _recounted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    run = base = built = None
+    """Counts per group and ordinal; messages of one group follow each other and are added up."""
+    run = base = built = group = None
+    ordinals, counts = [], []
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        if ordinals:
+            found, at = np.unique(np.concatenate(ordinals), return_inverse=True)
+            total = np.zeros(len(found), np.int64)
+            np.add.at(total, at, np.concatenate(counts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([group[0]] * len(found), pa.string()), pa.array([group[1]] * len(found), pa.string()),
+                 pa.array(found + base), pa.array(total)], names=["lang", "source", "ordinal", "n"])
+        ordinals.clear()
+        counts.clear()
+
     for batch in batches:
         for row in batch.to_pylist():
-            if row["base"] is not None:
+            own = None if row["base"] is not None else (row["lang"], row["source"])
+            if own != group or sum(map(len, ordinals)) > HELD:
+                yield from rows()
+                group = own
+            if own is None:
                 run, base, built = row["run"], row["base"], Transducer.load(row["text"])
                 continue
             if row["run"] != run:
                 raise RuntimeError(f"no transducer came before the messages of run {row['run']}")
-            ordinals = built.ordinals(key_prefix(row["lang"]), row["text"])
-            good = ordinals >= 0
-            n = int(good.sum())
-            if n:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["lang"]] * n, pa.string()), pa.array([row["source"]] * n, pa.string()),
-                     pa.array(ordinals[good] + base), pa.array(np.frombuffer(row["counts"], np.int64)[good])],
-                    names=["lang", "source", "ordinal", "n"])
+            found = built.ordinals(key_prefix(row["lang"]), row["text"])
+            ordinals.append(found[found >= 0])
+            counts.append(np.frombuffer(row["counts"], np.int64)[found >= 0])
+    yield from rows()
 
 
 def recount(documents: DataFrame, runs: DataFrame, message: int = MESSAGE) -> DataFrame:
@@ -308,15 +318,18 @@ def recount(documents: DataFrame, runs: DataFrame, message: int = MESSAGE) -> Da
         return spark.createDataFrame([], "lang string, source string, ordinal long, n long")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salts = max(SALTS, -(-4 * partitions // len(firsts)))
+    # A group's messages go to a part of the salts, where they add up; a large group is still dealt.
+    spread = max(SPREAD, salts // 16)
     texts = documents.select("text", "lang", "source").mapInArrow(
         _messages(firsts, message), "lang string, source string, run long, text binary, counts binary")
-    sent = texts.withColumn("salt", F.pmod(F.xxhash64("text", "source", "counts"), F.lit(salts)))
+    sent = texts.withColumn("salt", F.pmod(F.xxhash64("lang", "source") % salts + F.pmod(F.xxhash64("text", "counts"), F.lit(spread)),
+                                           F.lit(salts)))
     number = F.row_number().over(Window.orderBy("first")) - 1
     numbered = runs.select("first", "base", number.cast("long").alias("run")).join(runs.select("first", "built"), "first")
     every = numbered.select("run", "base", F.col("built").alias("text")).withColumn(
         "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     streamed = (sent.unionByName(every, allowMissingColumns=True).repartition("run", "salt")
-                .sortWithinPartitions("run", "salt", F.col("base").asc_nulls_last()))
+                .sortWithinPartitions("run", "salt", F.col("base").asc_nulls_last(), "lang", "source"))
     return (streamed.select("lang", "source", "run", "text", "counts", "base")
             .mapInArrow(_recounted, "lang string, source string, ordinal long, n long")
             .groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n")))
