@@ -252,7 +252,7 @@ def stream_dedup_orders(spark, folder):
     base = scratch.new_folder(spark, "dedup")
     path = f"{base}/messages"
     for _ in range(2):
-        messages.write_messages(star.order_messages(spark, folder).coalesce(2), path)
+        messages.write_messages(star.order_messages(spark, folder).hint("rebalance"), path)
     once = quality.dedup_stream(
         clean.clean_orders(messages.stream_messages(spark, path, max_files=1)), ["order_id"])
     streams.start_appending(once, path=f"{base}/orders", checkpoint=f"{base}/checkpoint",

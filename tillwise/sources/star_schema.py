@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillwise import schemas
+from tillwise import schemas, scratch
 from tillwise.sources.messages import encode_events, write_messages
 
 AS_OF = "2001-08-02 00:00:00"
@@ -190,8 +190,8 @@ def order_messages(spark: SparkSession, folder: str, placed: DataFrame | None =
 
 def messages_by_year(spark: SparkSession, folder: str) -> Iterator[DataFrame]:
     """The order stream in order of date, one table per year; orders without a date come first. The
-    years are those of the orders' first and last date."""
-    placed = faulty_orders(spark, folder)
+    years are those of the orders' first and last date. The orders are put together once and stored."""
+    placed = scratch.stored(spark, faulty_orders(spark, folder), "placed")
     ends = read(spark, folder, "orders").agg(
         F.year(F.min("o_orderdate")).alias("first"), F.year(F.max("o_orderdate")).alias("last")).first()
     year = F.year("order_date")
@@ -200,6 +200,7 @@ def messages_by_year(spark: SparkSession, folder: str) -> Iterator[DataFrame]:
 
 
 def write_by_year(spark: SparkSession, folder: str, path: str) -> None:
-    """The order stream as files in order of date, one write per year."""
-    for sent in messages_by_year(spark, folder):
-        write_messages(sent.coalesce(1), path)
+    """The order stream as files of about a range of years each, as many as the session's shuffles have
+    partitions, joined and written by one job."""
+    placed = faulty_orders(spark, folder).withColumn("year", F.year("order_date"))
+    write_messages(order_messages(spark, folder, placed, "year").repartitionByRange("year", "key"), path)
