@@ -2,6 +2,9 @@
 
 import base64
 import hashlib
+import random
+import re
+import time
 
 import pytest
 
@@ -88,3 +91,33 @@ def test_text_after_tags_without_an_end_stays():
         assert warc.plain_text(page).split() == ["a", "b"], page
     for page in ("a <script>no", "a <style >no", "a <!-- no", "a <script/src=x>no</script>"):
         assert warc.plain_text(page) == "a", page
+
+
+def test_what_is_shown_is_what_plain_patterns_leave():
+    """A pattern that looks for every closing tag anew, which takes the square of the page."""
+    dropped = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1\s*>|\Z)|<svg(?:\s[^<>]*)?/>|"
+                         r"<(noscript|template|svg)(?=[\s/>])[^<>]*>.*?</\2\s*>", re.I | re.S)
+    title = re.compile(r"<title\b[^<>]*>(.*?)</title", re.I | re.S)
+    rng = random.Random(5)
+    parts = ["<svg>", "<svg/>", "<svg a='b'/>", "</svg>", "</SVG >", "<svg", "<svg-icon>", "<template x>", "</template>", "<noscript>",
+             "</noscript>", "<script>", "</script\n>", "<style ", "</style>", "<!--", "-->", "<title>", "<title", "</title>", "word", ">", " "]
+    for _ in range(4000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert warc._shown(page) == dropped.sub(" ", page), page
+        found = title.search(page)
+        assert warc._title(page) == (found[1] if found else ""), page
+
+
+@pytest.mark.parametrize("tag", ["<svg>", "<template a>", "<title>", "<svg", "<!-", "<noscript>x", "</svg", "<style>", "<svg a='"])
+def test_tags_without_an_end_take_time_in_proportion(tag):
+    def seconds(n):
+        page, best = tag * n, None
+        for _ in range(3):
+            start = time.perf_counter()
+            warc.plain_text(page)
+            warc._title(page)
+            best = min(best or 1e9, time.perf_counter() - start)
+        return best
+
+    # Eight times the page: the square would take 64 times as long.
+    assert seconds(80_000) < 24 * max(seconds(10_000), 0.001)

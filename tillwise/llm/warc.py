@@ -35,23 +35,58 @@ _KINDS = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}
 _SCHEMA = pa.schema([(n, _KINDS[k]) for n, k in (x.split() for x in RECORD.split(", "))])
 
 # Only comments, scripts and styles without an end run to the end of the page; a self-closed svg is gone alone.
-_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1\s*>|\Z)|<svg(?:\s[^<>]*)?/>|"
-                      r"<(noscript|template|svg)(?=[\s/>])[^<>]*>.*?</\2\s*>", re.I | re.S)
+_OPENING = re.compile(r"<!--|<(?:script|style|noscript|template|svg)(?=[\s/>])", re.I)
+_CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "svg")}
+_ALONE = re.compile(r"<svg(?:\s[^<>]*)?/>", re.I)
+_REST = re.compile(r"[^<>]*>")
 _BREAK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|"
                     r"h[1-6]|header|hr|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^<>]*>", re.I)
 _TAG = re.compile(r"<[A-Za-z/!?][^<>]*>")
 _SPACE = re.compile(r"\s+")
 _BLANK = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
-_TITLE = re.compile(r"<title\b[^<>]*>(.*?)</title", re.I | re.S)
+_TITLE, _TITLE_END = re.compile(r"<title\b[^<>]*>", re.I), re.compile("</title", re.I)
 _LANG = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
 _LINK = re.compile(r"<(a|img|link|script|iframe)\b[^<>]*?\b(href|src)\s*=\s*(?:\"([^\"<>]*)\"|'([^'<>]*)')", re.I)
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
 
+def _shown(page: str) -> str:
+    """The page without what is not shown. Tags are met once, in order; a name whose closing tag was
+    looked for in vain is not looked for again, so the time grows with the page alone."""
+    out, done, at, unclosed = [], 0, 0, set()
+    while opening := _OPENING.search(page, at):
+        name, at = opening[0][1:].lower(), opening.end()
+        if name == "!--":
+            end = page.find("-->", at)
+            end = len(page) if end < 0 else end + 3
+        elif name in ("script", "style"):
+            closing = _CLOSING[name].search(page, at)
+            end = closing.end() if closing else len(page)
+        elif name == "svg" and (alone := _ALONE.match(page, opening.start())):
+            end = alone.end()
+        else:
+            rest = None if name in unclosed else _REST.match(page, at)
+            closing = _CLOSING[name].search(page, rest.end()) if rest else None
+            if not closing:
+                if rest:
+                    unclosed.add(name)
+                continue
+            end = closing.end()
+        out.append(page[done:opening.start()])
+        done = at = end
+    return " ".join([*out, page[done:]])
+
+
+def _title(page: str) -> str:
+    opening = _TITLE.search(page)
+    closing = opening and _TITLE_END.search(page, opening.end())
+    return page[opening.end():closing.start()] if closing else ""
+
+
 def plain_text(page: str) -> str:
     """The words of a page, one line per block."""
-    flat = _SPACE.sub(" ", _DROPPED.sub(" ", page))
+    flat = _SPACE.sub(" ", _shown(page))
     text = html.unescape(_TAG.sub("", _BREAK.sub("\n", flat)))
     return _LINES.sub("\n", _BLANK.sub(" ", text)).strip()
 
@@ -108,10 +143,10 @@ def derive(record: dict) -> Iterator[tuple]:
     fields = [("http-status", "" if status is None else str(status)), ("content-type", content_type),
               ("charset", charset)]
     if is_html:
-        title, lang = _TITLE.search(page), _LANG.search(page)
-        fields += [("title", _one_line(title[1]) if title else ""), ("language", lang[1] if lang else "")]
+        lang = _LANG.search(page)
+        fields += [("title", _one_line(_title(page))), ("language", lang[1] if lang else "")]
         fields += [("outlink", f"{_one_line(a or b)} {tag.lower()}/@{how.lower()}")
-                   for tag, how, a, b in _LINK.findall(_DROPPED.sub(" ", page))]
+                   for tag, how, a, b in _LINK.findall(_shown(page))]
     blocks = [("metadata", "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in fields))]
     if status is not None and (is_html or is_text):
         blocks.append(("conversion", "text/plain; charset=utf-8", plain_text(page) if is_html else page))
