@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 
@@ -123,3 +124,27 @@ def test_mailed_turns_reply_to_the_turn_before(spark):
     assert len(joined) == table.count()
     assert all(r.body == r.said.strip() for r in joined)
     assert all((r.parent is None) == (r.position == 0) for r in joined)
+
+
+def test_many_lines_take_time_in_proportion(spark):
+    def seconds(n):
+        best = None
+        for _ in range(2):
+            text = "\n".join(("> said %d" if i % 2 else "line %d") % i for i in range(n))
+            df = spark.createDataFrame([(1, 0, "r", text)], "conv long, at long, role string, text string")
+            start = time.perf_counter()
+            row = quotes.keyed(quotes.parse(df, "conv", "at", "role", "text")).first()
+            best = min(best or 1e9, time.perf_counter() - start)
+            assert len(row.quotes) == n // 2 and row.body.count("\n") == n // 2 - 1
+        return best
+
+    # Eight times the lines: the square would take 64 times as long.
+    small = seconds(8_000)
+    assert seconds(64_000) < 16 * small
+
+
+def test_long_texts(spark):
+    rows = [(1, 0, "a", "> " * 50_000 + "x\nown"), (1, 1, "b", "\n" * 200_000 + "y" + " " * 200_000 + "z\n" + "\n" * 1000),
+            (1, 2, "c", "> own\n" + "word " * 100_000)]
+    got = run(spark, rows)
+    assert got == brute(rows) and got[2][4] == 0

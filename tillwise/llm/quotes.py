@@ -16,9 +16,11 @@ quotes of a hot line. No group is collected and no pairs are made.
 quotes), parent, root, depth, n_quotes, n_linked, and ``reply_order`` (root, depth, position), by
 which a conversation's rows are in reply order.
 
-Defined results: a null text is empty; repeated rows count once; several texts under one position
+Defined results: a null text is empty; a very long text, or one of very many lines or quote marks,
+takes time in proportion to its length, in one task; repeated rows count once; several texts under one position
 are one message with several rows; a null conversation or position is never linked, and its row
-comes back with no parent, itself as root (null position) and depth 0.
+comes back with no parent, itself as root (null position) and depth 0. Columns of other names pass
+unread.
 """
 
 from __future__ import annotations
@@ -36,78 +38,88 @@ def _normal(x: Column) -> Column:
 
 
 def parse(messages: DataFrame, conversation: str, position: str, role: str, text: str) -> DataFrame:
-    """Distinct message rows with their passages: (level, lines), in order."""
+    """Distinct message rows with their passages (level, lines, normalised lines), in order.
+
+    Lines, levels and starts are columns of their own, each referred to more than once above, so
+    they are made once per text and not once per line."""
     rows = messages.select(
         F.col(conversation).alias("conversation"), F.col(position).cast("long").alias("position"),
         F.col(role).alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     ).distinct()
-    lines = F.split("text", "\r?\n", -1)
-    mark = r"^(?:>[ \t]?)+"
-    rows = rows.withColumn("lines", F.transform(lines, lambda x: F.struct(
-        F.length(F.regexp_replace(F.regexp_extract(x, mark, 0), r"[^>]", "")).alias("level"),
-        F.regexp_replace(x, mark, "").alias("said"))))
-    levels = F.col("lines.level")
-    rows = rows.withColumn("levels", levels).withColumn("starts", F.filter(
+    # Possessive, so that a line of many marks is read in a loop.
+    mark = r"^(?:>[ \t]?)++"
+    rows = rows.withColumn("lines", F.split("text", "\r?\n", -1))
+    rows = rows.withColumns({
+        "levels": F.transform("lines", lambda x: F.length(F.regexp_replace(
+            F.regexp_extract(x, mark, 0), r"[^>]", ""))),
+        "said": F.transform("lines", lambda x: F.regexp_replace(x, mark, ""))})
+    rows = rows.withColumn("plain", F.transform("said", _normal)).withColumn("starts", F.filter(
         F.sequence(F.lit(1), F.size("levels")),
-        lambda i: (i == 1) | (F.element_at("levels", i) != F.try_element_at(
-            F.col("levels"), F.greatest(i - 1, F.lit(1))))))
-    following = F.concat(F.slice("starts", F.lit(2), F.size("starts")), F.array(F.size("lines") + 1))
+        lambda i: (i == 1) | (F.element_at("levels", i) != F.element_at(F.col("levels"), F.greatest(i - 1, F.lit(1))))))
+    following = F.concat(F.slice("starts", F.lit(2), F.size("starts")), F.array(F.size("levels") + 1))
     rows = rows.withColumn("ends", following)
     return rows.withColumn("passages", F.transform(
         F.arrays_zip("starts", "ends"), lambda x: F.struct(
             F.element_at("levels", x["starts"]).alias("level"),
-            F.slice(F.col("lines.said"), x["starts"], x["ends"] - x["starts"]).alias("said"))
+            F.slice("said", x["starts"], x["ends"] - x["starts"]).alias("said"),
+            F.slice("plain", x["starts"], x["ends"] - x["starts"]).alias("plain"))
     )).select("conversation", "position", "role", "passages")
 
 
-def _body(passages: Column) -> Column:
-    own = F.transform(F.filter(passages, lambda p: p["level"] == 0), lambda p: F.array_join(p["said"], "\n"))
-    return F.regexp_replace(F.array_join(own, "\n"), r"^\s+|\s+$", "")
+def _whole(plain: Column) -> Column:
+    """Lines joined and normalised: line breaks are nothing but letters and digits either."""
+    return F.array_join(F.filter(plain, lambda s: s != ""), " ")
 
 
-def _hashes(units: Column) -> Column:
-    """Distinct hashes of the units that have a letter or digit."""
-    named = F.filter(F.transform(units, _normal), lambda u: u != "")
-    return F.array_distinct(F.transform(named, lambda u: F.xxhash64(u)))
+def _hash(plain: Column) -> Column:
+    return F.when(plain != "", F.xxhash64(plain))
 
 
-def _units(body: Column, passages: Column) -> Column:
-    """What a quote may hold of a message's own words."""
-    own = F.transform(F.filter(passages, lambda p: p["level"] == 0), lambda p: F.array_join(p["said"], "\n"))
-    return F.concat(F.array(body), own, F.split(body, r"\n\s*\n", -1), F.split(body, "\n", -1))
+def keyed(parsed: DataFrame) -> DataFrame:
+    """Message rows with their body (own words), ``units``: hashes of what a quote may hold of it
+    (the body, its passages, paragraphs and lines), and ``quotes``: n, level and the hashes of the
+    whole passage and of its longest line (null without a letter or digit)."""
+    own = F.filter("passages", lambda p: p["level"] == 0)
+    said = F.array_join(F.transform(own, lambda p: F.array_join(p["said"], "\n")), "\n")
+    rows = parsed.withColumns({
+        "body": F.btrim(said, F.lit(" \t\n\x0b\f\r")), "own": F.transform(own, lambda p: p["plain"])})
+    units = F.concat(
+        F.array(_whole(F.flatten("own"))), F.transform("own", _whole), F.flatten("own"),
+        F.transform(F.split("body", r"\n\s*\n", -1), _normal))
+    longest = lambda p: F.array_max(F.transform(p["plain"], lambda s: F.struct(F.length(s).alias("size"), s.alias("u"))))["u"]
+    quotes = F.filter(F.transform("passages", lambda p, n: F.struct(
+        n.alias("n"), p["level"].alias("level"), F.when(p["level"] > 0, _hash(_whole(p["plain"]))).alias("whole"),
+        F.when(p["level"] > 0, _hash(longest(p))).alias("line"))), lambda q: q["level"] > 0)
+    return rows.select(*NODE, "role", "body", quotes.alias("quotes"), F.array_distinct(F.transform(
+        F.filter(units, lambda u: u != ""), lambda u: F.xxhash64(u))).alias("units"))
 
 
-def links(parsed: DataFrame) -> DataFrame:
-    """(conversation, position, n, level, source): the n-th quoted passage of a message and the
-    position of the message it is from, null if none is found."""
-    body = _body(F.col("passages"))
-    known = parsed.dropna(subset=NODE)
-    originals = (known.select(*NODE, F.explode(_hashes(_units(body, F.col("passages")))).alias("hash"))
+def links(messages: DataFrame) -> DataFrame:
+    """(conversation, position, n, level, source) of ``keyed`` messages: the n-th quoted passage of
+    a message and the position of the message it is from, null if none is found."""
+    known = messages.dropna(subset=NODE)
+    originals = (known.select(*NODE, F.explode("units").alias("hash"))
                  .groupBy("conversation", "hash").agg(F.min("position").alias("source")))
-    quoted = known.select(*NODE, F.posexplode("passages").alias("n", "passage")).where("passage.level > 0")
-    whole = _normal(F.array_join("passage.said", "\n"))
-    keyed = quoted.select(*NODE, "n", "passage.level", F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), whole.alias("u")),
-        F.struct(F.lit(1).alias("kind"), F.array_max(F.transform("passage.said", lambda s: F.struct(
-            F.length(_normal(s)).alias("size"), _normal(s).alias("u"))))["u"].alias("u"))
-    )).alias("key")).select(*NODE, "n", "level", "key.kind", F.when(
-        F.col("key.u") != "", F.xxhash64("key.u")).alias("hash"))
+    wanted = known.select(*NODE, F.explode("quotes").alias("q")).select(*NODE, "q.n", "q.level", F.explode(F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("q.whole").alias("hash")),
+        F.struct(F.lit(1).alias("kind"), F.col("q.line").alias("hash")))).alias("key")
+    ).select(*NODE, "n", "level", "key.kind", "key.hash")
     # From a written table, so both sides of the join are plain shuffles and a hot key is split.
-    originals = scratch.stored(parsed.sparkSession, originals, "originals")
-    found = keyed.join(originals, ["conversation", "hash"], "left")
+    originals = scratch.stored(messages.sparkSession, originals, "originals")
+    found = wanted.join(originals, ["conversation", "hash"], "left")
     earlier = F.when(F.col("source") < F.col("position"), F.col("source"))
     return (found.groupBy(*NODE, "n", "level")
             .agg(F.min(F.when(earlier.isNotNull(), F.struct("kind", earlier.alias("source")))).alias("x"))
             .select(*NODE, "n", "level", "x.source"))
 
 
-def replies(parsed: DataFrame) -> DataFrame:
-    """(conversation, position, parent, root, depth, n_quotes, n_linked) of every message."""
-    spark = parsed.sparkSession
+def replies(messages: DataFrame) -> DataFrame:
+    """(conversation, position, parent, root, depth, n_quotes, n_linked) of every ``keyed`` message."""
+    spark = messages.sparkSession
     best = F.max(F.when(F.col("source").isNotNull(), F.struct((-F.col("level")).alias("near"), "source")))
-    linked = links(parsed).groupBy(*NODE).agg(
+    linked = links(messages).groupBy(*NODE).agg(
         best["source"].alias("parent"), F.count("*").alias("n_quotes"), F.count("source").alias("n_linked"))
-    nodes = scratch.stored(spark, parsed.select(*NODE).dropna().distinct().join(linked, NODE, "left").select(
+    nodes = scratch.stored(spark, messages.select(*NODE).dropna().distinct().join(linked, NODE, "left").select(
         *NODE, "parent", F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).alias("n_linked")), "replies")
     # ``up`` is an ancestor ``steps`` above; once it is a root the message is done and joins no more.
@@ -124,15 +136,15 @@ def replies(parsed: DataFrame) -> DataFrame:
         done, open_ = done.unionByName(after.where("done")), after.where("NOT done")
         if open_.isEmpty():
             break
+    else:
+        raise RuntimeError(f"messages without a root after {MOST_ROUNDS} rounds")
     return nodes.join(done.select(*NODE, F.col("up").alias("root"), F.col("steps").alias("depth")), NODE)
 
 
 def messages(rows: DataFrame, conversation: str, position: str, role: str, text: str) -> DataFrame:
     """Messages without quotes, with their place in the reply order."""
-    parsed = scratch.stored(rows.sparkSession, parse(rows, conversation, position, role, text), "parsed")
-    body = _body(F.col("passages"))
-    clean = parsed.select(*NODE, "role", body.alias("body"))
-    joined = clean.join(replies(parsed), NODE, "left")
+    own = scratch.stored(rows.sparkSession, keyed(parse(rows, conversation, position, role, text)), "messages")
+    joined = own.select(*NODE, "role", "body").join(replies(own), NODE, "left")
     root = F.coalesce("root", "position")
     depth = F.coalesce("depth", F.lit(0).cast("long"))
     return joined.select(
