@@ -2,8 +2,10 @@
 
 import hashlib
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise import scratch
 from tillwise.llm import secrets
@@ -93,7 +95,24 @@ def test_the_scan_is_built_in_expressions_only(spark):
 
 @pytest.mark.parametrize("text", ["aaXaaXXaa", "", "X", "XX", "aXa"])
 def test_spans_of_touching_matches(spark, text):
-    from pyspark.sql import functions as F
-
-    got = spark.range(1).select(secrets.spans(F.lit(text), Rule("k", "X", 0, 1)).alias("s")).first().s
+    rule = Rule("k", "X", 0, 1)
+    matched = spark.range(1).select(F.lit("b").alias("blob"), F.lit(rule.name).alias("rule"),
+                                    secrets.matches(F.lit(text), rule).alias("matches"))
+    got = secrets.spans(matched, (rule,)).first().spans
     assert [tuple(x) for x in got] == [m.span() for m in re.finditer("X", text)]
+
+
+def test_many_findings_take_time_in_proportion(spark):
+    def seconds(n):
+        best = None
+        for _ in range(2):
+            df = table(spark, ["".join(f"{i:024x} " for i in range(n))])
+            start = time.perf_counter()
+            row = secrets.secret_scan(df, scratch.new_folder(spark, "ledger")).first()
+            best = min(best or 1e9, time.perf_counter() - start)
+            assert row.n_hex == n and row.spans.endswith(f"hex:{25 * (n - 1)}:{25 * n - 1}")
+        return best
+
+    # Eight times the findings: the square would take 64 times as long.
+    small = seconds(8_000)
+    assert seconds(64_000) < 8 * small

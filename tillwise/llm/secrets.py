@@ -5,11 +5,13 @@ rule version, the spans that rule found (none, too). A scan reads only pairs of
 version that the ledger lacks, appends them, and joins the ledger's spans back to all paths.
 
 Positions: ``regexp_extract_all`` gives the matches and ``split`` the text between them; the running
-sum of their lengths (in code points) is where each match begins. So spans are leftmost and
-non-overlapping per rule, as the pattern engine finds them.
+sum of their lengths (in code points), over a blob's matches of one rule in order, is where each
+match begins. So spans are leftmost and non-overlapping per rule, as the pattern engine finds them.
+Only lengths are summed and shuffled, so a text of many findings costs in proportion to them.
 
 Defined results: a null text is the empty text; an empty table gives no rows and leaves the ledger
-as it was; repeated rows come back as often as they came in; a null path is a path.
+as it was; repeated rows come back as often as they came in; a null path is a path; a very long text is read
+whole, in one task. Columns of other names pass unread.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tillwise import scratch
 from tillwise.operators.skew import join_per_key
@@ -49,31 +51,36 @@ MORE = (
 )
 RULES = BASE + MORE
 SPAN = "array<struct<start: int, stop: int>>"
+MATCHES = "array<struct<gap: int, size: int, part: int>>"
 LEDGER = f"blob string, rule string, spans {SPAN}"
 
 
-def spans(text: Column, rule: Rule) -> Column:
-    """Start and end (exclusive) of the rule's matches, in code points."""
-    matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    parts = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.part))
+def matches(text: Column, rule: Rule) -> Column:
+    """The rule's matches in order: how far each begins behind the one before, and the lengths of
+    the match and of its part, in code points."""
+    hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    parts = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.part)) if rule.part else hits
     between = F.split(text, rule.pattern, -1)
-    pairs = F.arrays_zip(
-        F.slice(between, F.lit(1), F.size(matches)).alias("gap"), matches.alias("hit"),
-        parts.alias("part"))
-    empty = F.struct(F.lit(0).alias("at"), F.expr(f"CAST(array() AS {SPAN})").alias("found"))
-
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["0"])
-        stop = start + F.length(x["1"])
-        one = F.array(F.struct(start.alias("start"), stop.alias("stop")))
-        return F.struct(stop.alias("at"), F.when(F.length(x["2"]) >= rule.least,
-                                                 F.concat(state["found"], one))
-                        .otherwise(state["found"]).alias("found"))
-
-    named = F.transform(pairs, lambda x: F.struct(x["gap"].alias("0"), x["hit"].alias("1"),
-                                                  x["part"].alias("2")))
-    return F.when(text.rlike(rule.pattern), F.aggregate(named, empty, step, lambda s: s["found"])
-                  ).otherwise(F.expr(f"CAST(array() AS {SPAN})"))
+    triples = F.arrays_zip(F.slice(between, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"), parts.alias("part"))
+    return F.when(text.rlike(rule.pattern), F.transform(triples, lambda x: F.struct(
+        F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("size"), F.length(x["part"]).alias("part")))
+    ).otherwise(F.expr(f"CAST(array() AS {MATCHES})"))
+
+
+def spans(matched: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, rule, matches) to (blob, rule, spans): start and end (exclusive) of the matches that
+    are long enough. Running sums over a text's matches; texts without any pass by the shuffle."""
+    least = F.element_at(F.create_map(*(F.lit(x) for r in rules for x in (r.name, r.least))), F.col("rule"))
+    # Repeated rows carry a blob more than once, with equal matches.
+    some = (matched.where(F.size("matches") > 0).groupBy("blob", "rule").agg(F.first("matches").alias("matches"))
+            .select("blob", "rule", F.posexplode("matches").alias("n", "x")))
+    upto = Window.partitionBy("blob", "rule").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = some.withColumn("stop", F.sum(F.col("x.gap") + F.col("x.size")).over(upto).cast("int"))
+    span = F.struct((F.col("stop") - F.col("x.size")).alias("start"), "stop")
+    found = placed.groupBy("blob", "rule").agg(F.sort_array(F.collect_list(
+        F.when(F.col("x.part") >= least, span))).alias("spans"))
+    none = matched.where(F.size("matches") == 0).select("blob", "rule", F.expr(f"CAST(array() AS {SPAN})").alias("spans"))
+    return none.unionByName(found)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -111,11 +118,11 @@ def scan(paths: DataFrame, path: str, text: str, ledger: str, rules: tuple[Rule,
                      ).select(whole.blob, "body", "due")
     each = F.filter(F.array(*(
         F.when(F.array_contains("due", rule.name),
-               F.struct(F.lit(rule.name).alias("rule"), spans(F.col("body"), rule).alias("spans")))
+               F.struct(F.lit(rule.name).alias("rule"), matches(F.col("body"), rule).alias("matches")))
         for rule in rules)), lambda x: x.isNotNull())
     # An empty result of an empty table would leave a folder without files, which is fine to read.
-    due.select("blob", F.explode(each).alias("x")).select("blob", "x.rule", "x.spans").write.mode(
-        "append").parquet(ledger)
+    matched = scratch.stored(spark, due.select("blob", F.explode(each).alias("x")).select("blob", "x.rule", "x.matches"), "matches")
+    spans(matched, rules).write.mode("append").parquet(ledger)
     now = [r.name for r in rules]
     found = (read_ledger(spark, ledger).where(F.col("rule").isin(now) & (F.size("spans") > 0))
              .distinct().groupBy("blob")
