@@ -1,10 +1,12 @@
 """Derived records: links, headers, digests and plain text."""
 
 import base64
+import gzip
 import hashlib
 import random
 import re
 import time
+import zlib
 
 import pytest
 
@@ -19,6 +21,11 @@ def block(body, kind="text/html; charset=utf-8"):
     return f"HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\nX-Other: a: b\r\n\r\n".encode() + body
 
 
+def chunked(data, n=7):
+    parts = [data[i:i + n] for i in range(0, len(data), n)]
+    return b"".join(b"%x;a=b\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\n\r\n"
+
+
 def run(spark, rows):
     df = spark.createDataFrame([(*r, "x") for r in rows], "record_id string, target_uri string, warc_date string, "
                                "warc_headers map<string,string>, block binary, warc_type string")
@@ -121,3 +128,48 @@ def test_tags_without_an_end_take_time_in_proportion(tag):
 
     # Eight times the page: the square would take 64 times as long.
     assert seconds(80_000) < 24 * max(seconds(10_000), 0.001)
+
+
+RAW = zlib.compressobj(wbits=-15)
+RAW = RAW.compress(PAGE.encode()) + RAW.flush()
+
+
+@pytest.mark.parametrize("codings, body", [
+    ("Content-Encoding: gzip", gzip.compress(PAGE.encode())),
+    ("content-encoding: x-gzip", gzip.compress(PAGE[:30].encode()) + gzip.compress(PAGE[30:].encode()) + b"\0\0"),
+    ("Content-Encoding: deflate", zlib.compress(PAGE.encode())), ("Content-Encoding: deflate", RAW),
+    ("Transfer-Encoding: chunked", chunked(PAGE.encode())),
+    ("Transfer-Encoding: chunked\r\nContent-Encoding: gzip", chunked(gzip.compress(PAGE.encode()))),
+    ("Transfer-Encoding: gzip, chunked", chunked(gzip.compress(PAGE.encode()))),
+    ("Content-Encoding: deflate, gzip", gzip.compress(zlib.compress(PAGE.encode()))),
+    ("Transfer-Encoding: chunked\r\nContent-Encoding: gzip", PAGE.encode()), ("Content-Encoding: identity", PAGE.encode())])
+def test_coded_payloads_are_decoded(codings, body):
+    data = block(body).replace(b"X-Other", codings.encode() + b"\r\nX-Other")
+    record = {"record_id": "r", "block": data, "target_uri": "u", "warc_date": "d", "warc_headers": [
+        ("WARC-Payload-Digest", warc.digest(body))]}
+    got = {r[1]: r for r in warc.derive(record)}
+    assert got["conversion"][-1] == "A & B\nOne two three\nfour\nlink" and got["conversion"][13] is True
+    assert "title: A & B" in got["metadata"][-1]
+
+
+def test_broken_and_unknown_codings():
+    def derived(codings, body, digest_of=None):
+        data = block(body, "text/plain").replace(b"X-Other", codings.encode() + b"\r\nX-Other")
+        headers = [("WARC-Payload-Digest", warc.digest(digest_of))] if digest_of is not None else []
+        return {r[1]: r for r in warc.derive({"record_id": "r", "block": data, "target_uri": "u", "warc_date": "d", "warc_headers": headers})}
+
+    rng = random.Random(1)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(20_000)).encode()
+    assert set(derived("Content-Encoding: br", b"\x01\x02")) == {"metadata"}
+    cut = derived("Content-Encoding: gzip", gzip.compress(text)[:4000])["conversion"][-1].encode()
+    assert len(cut) > 1000 and text.startswith(cut)
+    bad = bytearray(gzip.compress(text))
+    bad[-6] ^= 255
+    assert derived("Content-Encoding: gzip", bytes(bad))["conversion"][-1].encode() == text
+    part = derived("Transfer-Encoding: chunked", chunked(text, 900)[:5000])["conversion"][-1].encode()
+    assert len(part) > 4500 and text.startswith(part)
+    assert derived("Transfer-Encoding: chunked", b"10 apples\r\nand pears")["conversion"][-1] == "10 apples\r\nand pears"
+    assert derived("Transfer-Encoding: chunked", b"")["conversion"][-1] == ""
+    # A digest of the joined body holds as well as one of the chunks.
+    assert derived("Transfer-Encoding: chunked", chunked(text), text)["conversion"][13] is True
+    assert derived("Transfer-Encoding: chunked", chunked(text), b"other")["conversion"][13] is False

@@ -6,11 +6,15 @@ plain text. Both name the response in ``refers_to``, with its target and date, k
 digests, and are tied to each other by ``concurrent_to``; their own ids are made from the response's
 id, so a second run makes the same records. Digests of the source are checked, not trusted.
 
-One pass without a shuffle; a page is handled by itself, so nothing in it depends on other rows.
+Chunked, gzip and deflate bodies are decoded before their text is taken; digests are those of the
+stored bytes. One pass without a shuffle; a page is handled by itself, so nothing in it depends on
+other rows, and a very long one takes time in proportion to its decoded length, in one task.
 
 Defined results: a null or empty block, or one without an HTTP head, gives a metadata record only,
 with status null; bytes that are not valid in the charset are replaced; an unknown charset is read
-as UTF-8; a null record id gives records whose own ids are null; repeated rows give repeated records.
+as UTF-8; a null record id gives records whose own ids are null; repeated rows give repeated records;
+a body that is not in the coding its header names is read as it is, a broken one as far as it goes,
+and one in a coding that is not known gives a metadata record only. Columns of other names pass unread.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,6 +53,7 @@ _LINES = re.compile(r" ?\n[ \n]*")
 _TITLE, _TITLE_END = re.compile(r"<title\b[^<>]*>", re.I), re.compile("</title", re.I)
 _LANG = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
 _LINK = re.compile(r"<(a|img|link|script|iframe)\b[^<>]*?\b(href|src)\s*=\s*(?:\"([^\"<>]*)\"|'([^'<>]*)')", re.I)
+_CHUNK = re.compile(rb"[ \t]*([0-9A-Fa-f]{1,16})[ \t]*(?:;[^\r\n]*)?")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
 
@@ -114,6 +120,71 @@ def split_http(block: bytes) -> tuple[int | None, list[tuple[str, str]], bytes]:
     return int(status[1]), [(k.strip(), v.strip()) for k, v in pairs], payload
 
 
+def _unchunked(data: bytes) -> bytes | None:
+    """The data of a chunked body, as far as it goes; None where it does not begin with a chunk, as
+    in crawls that store the body joined and keep the header."""
+    out, at = [], 0
+    while at < len(data):
+        end = data.find(b"\r\n", at, at + 1024)
+        size = _CHUNK.fullmatch(data, at, end) if end >= 0 else None
+        if not size:
+            return b"".join(out) if out else None
+        n = int(size[1], 16)
+        if n == 0:
+            return b"".join(out)
+        stop = end + 2 + n
+        if stop < len(data) and not b"\r\n".startswith(data[stop:stop + 2]):
+            return b"".join(out) if out else None
+        out.append(data[end + 2:stop])
+        at = stop + 2
+    return b"".join(out) if out else None
+
+
+def _inflated(data: bytes, window: int) -> bytes | None:
+    """Members one after another, the last as far as it goes; None where none begins."""
+    out = []
+    while data:
+        member = zlib.decompressobj(window)
+        try:
+            out.append(member.decompress(data) + member.flush())
+        except zlib.error:
+            # What stands before the broken place is had byte by byte only.
+            member = zlib.decompressobj(window)
+            try:
+                for at in range(len(data)):
+                    out.append(member.decompress(data[at:at + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out) or None
+        data = member.unused_data  # bytes behind the last member that begin none are padding
+    return b"".join(out)
+
+
+def decoded(http: list[tuple[str, str]], payload: bytes) -> tuple[bytes, bytes | None]:
+    """The body without its transfer coding, and without its content codings (gzip, deflate): None
+    if one of them is not known. A body that is not in the coding its header names is left as it is."""
+    def named(header: str) -> list[str]:
+        return [x.strip().lower() for k, v in http if k.lower() == header for x in v.split(",") if x.strip()]
+
+    body, unchunked = payload, False
+    for coding in [*reversed(named("transfer-encoding")), None, *reversed(named("content-encoding"))]:
+        if coding is None:
+            payload, unchunked = body, True
+            continue
+        if coding == "identity" or not body:
+            continue
+        if coding == "chunked":
+            plain = _unchunked(body)
+        elif coding in ("gzip", "x-gzip"):
+            plain = _inflated(body, 31)
+        elif coding == "deflate":
+            plain = _inflated(body, 15) or _inflated(body, -15)
+        else:
+            return (payload if unchunked else body), None
+        body = body if plain is None else plain
+    return payload, body
+
+
 def _own_id(kind: str, source: str | None) -> str | None:
     return None if source is None else f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind} of {source}')}>"
 
@@ -131,8 +202,11 @@ def derive(record: dict) -> Iterator[tuple]:
     kind = content_type.partition(";")[0].strip().lower()
     claimed = {n: next((v for k, v in headers.items() if k.lower() == f"warc-{n}-digest"), None)
                for n in ("payload", "block")}
-    checks = [c for c in (_same_digest(claimed["payload"], payload), _same_digest(claimed["block"], block))
-              if c is not None]
+    body, plain = decoded(http, payload)
+    # Crawlers take the payload's digest with its transfer coding or without.
+    held = [_same_digest(claimed["payload"], x) for x in (payload, body)]
+    checks = [c for c in (held[0] or held[1], _same_digest(claimed["block"], block)) if c is not None]
+    payload = plain or b""
     charset = (_CHARSET.search(content_type) or _CHARSET.search(payload[:1024].decode("ascii", "replace")) or [None, "utf-8"])[1]
     try:
         page = payload.decode(charset, "replace")
@@ -148,7 +222,7 @@ def derive(record: dict) -> Iterator[tuple]:
         fields += [("outlink", f"{_one_line(a or b)} {tag.lower()}/@{how.lower()}")
                    for tag, how, a, b in _LINK.findall(_shown(page))]
     blocks = [("metadata", "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in fields))]
-    if status is not None and (is_html or is_text):
+    if status is not None and plain is not None and (is_html or is_text):
         blocks.append(("conversion", "text/plain; charset=utf-8", plain_text(page) if is_html else page))
     ids = {k: _own_id(k, source) for k, _, _ in blocks}
     for name, mime, body in blocks:
