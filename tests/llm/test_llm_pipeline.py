@@ -42,13 +42,38 @@ def collected(df):
 
 
 def test_near_duplicates_keep_one_of_each_group(spark, rows):
-    got = collected(stages.near_duplicates(spark, docs(spark, rows), "unused"))
-    verdict = defaultdict(bool)
-    for i, _, _, kept in brute([r[:2] for r in rows], stages.WIDTH):
-        verdict[i] |= kept
-    assert Counter(r[0] for r in got if r[0] is not None) == Counter(i for i, kept in verdict.items() if kept and i is not None)
-    assert sum(r[0] is None for r in got) == sum(r[0] is None for r in rows)
-    assert set(got) <= set(rows)
+    """Rows are judged one by one: numbered in the order in which a group's first is chosen."""
+    extra = [(5, rows[8][1] + " more words under an id of others", "a"), (None, "no id at all", "c"), (None, rows[5][1], "a"), (7, "", "a")]
+    everything = rows + extra + extra[:1]
+    got = collected(stages.near_duplicates(spark, docs(spark, everything), "unused"))
+    ordered = sorted(everything, key=lambda r: (r[0] is None, r[0] or 0))
+    groups = defaultdict(list)
+    for k, _, group, _ in sorted(brute([(k, r[1]) for k, r in enumerate(ordered)], stages.WIDTH)):
+        groups[group].append(ordered[k])
+    assert len(got) == len(groups) and set(got) <= set(everything)
+    left = Counter(got)
+    # Groups of one are all there; of every other, one row of the smallest id.
+    for held in sorted(groups.values(), key=len):
+        least = [r for r in held if r[0] == held[0][0]]
+        chosen = next(r for r in least if left[r])
+        left[chosen] -= 1
+    assert not +left
+
+
+def test_mixing_takes_rows_of_one_id_one_by_one(spark):
+    rows = [(i % 3 if i % 2 else None, " ".join(f"w{i}x{k}" for k in range(10 + i % 5)), "ab"[i % 2]) for i in range(400)]
+    got = collected(stages.mixing(spark, docs(spark, rows), "unused"))
+    taken = Counter()
+    for _, t, s in got:
+        taken[s] += size(t)
+    totals = Counter()
+    for _, t, s in rows:
+        totals[s] += size(t)
+    assert set(got) <= set(rows) and max(Counter(got).values()) <= 2
+    for s, t in targets(totals).items():
+        assert abs(taken[s] - t) <= max(3, 0.01 * t)
+    again = collected(stages.mixing(spark, docs(spark, rows[::-1]).repartition(5), "unused"))
+    assert Counter(got) == Counter(again)
 
 
 def test_secrets_go_and_all_others_stay(spark, rows):

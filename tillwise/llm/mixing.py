@@ -36,14 +36,14 @@ def key(source: str) -> Column:
     return F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n"))
 
 
-def sized(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source"
-          ) -> DataFrame:
-    """doc_id, source, its key (never null) and size in words."""
+def sized(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+          also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, its key (never null) and size in words, with other columns as they are."""
     words = F.regexp_count(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(WORD))
     return documents.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
         key(source).alias("key"),
-        words.cast("long").alias("size"))
+        words.cast("long").alias("size"), *also)
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -128,10 +128,15 @@ def _fit_source(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(whole=whole, extra=extra)[["key", "size", "source_size", "target", "whole", "extra"]]
 
 
-def mix(documents: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken, key for every row; taken counts repeats."""
-    sizes = common.stored(sized(documents), "sizes")
-    part = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(PARTS)).cast("int")
+def mix(documents: DataFrame, tie: str | None = None, row: str | None = None) -> DataFrame:
+    """doc_id, size, source_size, target, taken, key for every row; taken counts repeats.
+
+    Rows are drawn by their ids. Where ids may be shared or missing, ``tie`` names a column that
+    tells rows apart by what they hold, and ``row`` one that tells all apart; both are returned."""
+    ids = ["doc_id", tie] if tie else ["doc_id"]
+    also = tuple(c for c in (tie, row) if c)
+    sizes = common.stored(sized(documents, also=also), "sizes")
+    part = F.pmod(F.xxhash64(F.lit(SEED), *ids), F.lit(PARTS)).cast("int")
     cells = sizes.groupBy("key", "size", part.alias("part")).agg(F.count("*").alias("n"))
     cells = common.stored(cells, "cells")
     per_length = (cells.groupBy("key", "size").agg(F.sum("n").alias("n"))
@@ -143,8 +148,8 @@ def mix(documents: DataFrame) -> DataFrame:
              .join(per_length, ["key", "size"])
              .select("key", "size", "part", "source_size", "target", "whole",
                      (F.col("extra") - F.col("earlier")).alias("quota")))
-    own = Window.partitionBy("key", "size", "part").orderBy(F.xxhash64(F.lit(SEED + 1), "doc_id"), "doc_id")
+    own = Window.partitionBy("key", "size", "part").orderBy(F.xxhash64(F.lit(SEED + 1), *ids), "doc_id", *also)
     times = F.col("whole") + (F.row_number().over(own) <= F.col("quota")).cast("int")
     return (sizes.withColumn("part", part).join(quota, ["key", "size", "part"])
             .withColumn("taken", F.col("size") * times)
-            .select("doc_id", "size", "source_size", "target", "taken", "key"))
+            .select("doc_id", "size", "source_size", "target", "taken", "key", *also))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise import scratch
 from tillwise.llm import common, minhash, mixing as mixes, neighbours, packing as packs, secrets as secret
+from tillwise.operators.skew import join_per_key
 
 # Words of a shingle in the near-duplicate stage.
 WIDTH = 5
@@ -33,20 +34,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _columns(scored.where(F.col("score") >= neighbours.KEEP))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents, each row with a number of its own and a hash of all its columns. Written once,
+    so all that reads them sees the same numbers, also after lost executors."""
+    return common.stored(_columns(docs).withColumns({
+        "_tie": F.xxhash64(*COLUMNS), "_row": F.monotonically_increasing_id()}), "rows")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, and one row of each document; rows
-    without an id stay."""
+    """One row of each group of near duplicates stays: the one of the smallest doc_id (null last).
+    Every row is judged by its own text, whatever rows share its id or lack one; texts without words
+    are nobody's copy and stay. No rows give no rows; very long texts are compared whole."""
     common.prepare(spark)
-    docs = _columns(docs)
-    verdict = minhash.near_duplicates(docs, WIDTH).where("doc_id IS NOT NULL")
-    kept = common.stored(verdict.groupBy("doc_id").agg(
-        F.bool_or("kept").alias("kept"), F.count("*").alias("n")).where("kept").drop("kept"), "kept")
-    once = docs.join(kept.where("n = 1").select("doc_id"), "doc_id", "left_semi")
-    # Of rows that share an id the first by content stays; equal rows are one.
-    chosen = (docs.join(kept.where("n > 1").select("doc_id"), "doc_id", "left_semi")
-              .groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("x"))
-              .select("doc_id", "x.*"))
-    return _columns(once.unionByName(chosen).unionByName(docs.where("doc_id IS NULL")))
+    rows = _numbered(docs)
+    groups = common.stored(minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), WIDTH)
+                           .select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "groups")
+    # Numbers follow the layout of the files; the row that stays does not.
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_tie", "_row")
+    first = (groups.join(rows.select("_row", "doc_id", "_tie"), "_row").groupBy("_group")
+             .agg(F.min(order).alias("x"), F.count("*").alias("n")).where("n > 1")
+             .select("_group", F.col("x._row").alias("_first")))
+    gone = join_per_key(groups, first, "_group").where("_row <> _first").select("_row")
+    return _columns(rows.join(gone, "_row", "left_anti"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,14 +70,13 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it; one that it does not take goes. Rows that share
-    id and source are taken alike."""
+    """Every row as often as the mix takes it; one that it does not take goes, so do rows without
+    words. Rows that share an id, or have none, are taken one by one. No rows give no rows."""
     common.prepare(spark)
-    docs = _columns(docs)
-    takes = (mixes.mix(docs).where("taken > 0")
-             .groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-             .agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("_times")))
-    chosen = docs.join(takes.hint("merge"), docs.doc_id.eqNullSafe(F.col("_id")) & (mixes.key("source") == F.col("_key")))
+    rows = _numbered(docs)
+    takes = mixes.mix(rows, "_tie", "_row").where("taken > 0").select(
+        "_row", (F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    chosen = rows.join(takes.hint("merge"), "_row")
     return _columns(chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))))
 
 
