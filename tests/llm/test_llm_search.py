@@ -72,8 +72,8 @@ def test_one_vector_of_many_rows(spark):
     x[::3] = x[0]  # a third of the rows, and of the queries
     rows = [(i, floats(v)) for i, v in enumerate(x)]
     same(run(spark, rows), brute(rows))
-    classes = rotated_codes.classes_of(rotated_codes.usable(
-        spark.createDataFrame(rows, "vec_id long, embedding array<float>")), 11).collect()
+    classes = rotated_codes.classes_of(rotated_codes.marked(rotated_codes.usable(
+        spark.createDataFrame(rows, "vec_id long, embedding array<float>"))), 11).collect()
     assert len(classes) == 601 and sorted(len(r["ids"]) for r in classes)[-2:] == [1, 11]
 
 

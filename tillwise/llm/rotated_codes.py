@@ -38,6 +38,7 @@ BITS = 1024
 QUERY_BLOCK, CODE_BLOCK = 16_384, 16_384
 # Queries and codes whose estimates are held at a time.
 _QUERIES, _CODES = 1024, 2048
+MARKS = ("mark", "mark_2")
 # Estimates are added in single precision.
 _ROUNDING = 1e-5
 
@@ -166,17 +167,23 @@ def _encoded(centre: np.ndarray):
 
 
 def classes_of(rows: DataFrame, most: int) -> DataFrame:
-    """(class, v, ids): the distinct vectors of (vec_id, v), each with its ``most`` smallest ids."""
-    own = Window.partitionBy("v").orderBy("vec_id")
+    """(class, *MARKS, v, ids): the distinct vectors of (vec_id, v, *MARKS), each with its ``most``
+    smallest ids."""
+    own = Window.partitionBy(*MARKS).orderBy("vec_id")
     few = rows.withColumn("at", F.row_number().over(own)).where(F.col("at") <= most)
-    return few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select(
-        F.monotonically_increasing_id().alias("class"), "v", "ids")
+    return few.groupBy(*MARKS).agg(F.first("v").alias("v"), F.sort_array(F.collect_list("vec_id")).alias("ids")).select(
+        F.monotonically_increasing_id().alias("class"), *MARKS, "v", "ids")
+
+
+def marked(rows: DataFrame) -> DataFrame:
+    """With a 128-bit hash of the vector, by which equal vectors are told."""
+    return rows.withColumns({MARKS[0]: F.xxhash64("v"), MARKS[1]: F.xxhash64(F.lit(SEED), "v")})
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest other vectors. ``is_query`` is a
     condition on vec_id."""
-    rows = common.stored(usable(vectors), "vectors")
+    rows = common.stored(marked(usable(vectors)), "vectors")
     # The usual length; ties go to the longer. One row per length reaches the driver, at most one here.
     usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     if usual is None:
@@ -185,7 +192,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     rows = rows.where(F.size("v") == n)
     classes = common.stored(classes_of(rows, k + 1), "classes")
     queries = common.stored(
-        join_per_key(rows.where(is_query), classes.select("v", "class"), "v", deal_by=["vec_id"])
+        join_per_key(rows.where(is_query).select("vec_id", *MARKS), classes.select(*MARKS, "class"), list(MARKS),
+                     deal_by=["vec_id"])
         .select(F.col("vec_id").alias("query_id"), "class"), "queries")
     asked = common.stored(queries.select("class").distinct().join(classes, "class").select(
         F.col("class").alias("q_class"), "v"), "asked")
@@ -209,7 +217,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
         return q.groupBy("q_block", "c_block").cogroup(c.groupBy("q_block", "c_block")).applyInArrow(run, schema)
 
     def exact(pairs: DataFrame) -> DataFrame:
-        both = pairs.select("q_class", "class").join(classes, "class").join(
+        both = pairs.select("q_class", "class").join(classes.select("class", "v", "ids"), "class").join(
             asked.withColumnRenamed("v", "q"), "q_class")
         return both.select("q_class", "class", "ids", "v", "q").mapInArrow(
             _distances(n), "q_class long, class long, ids array<long>, score double")
