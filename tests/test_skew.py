@@ -79,3 +79,12 @@ def test_rank_in_bands_is_the_plain_rank(spark):
     mine = rank_within(df, "grp", "v", "place")
     assert mine.columns == plain.columns
     assert mine.exceptAll(plain).isEmpty() and plain.exceptAll(mine).isEmpty()
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_repeated_values_never_pass_the_driver(spark, rows, values, how):
+    """Small as they look here, repeated values are not broadcast."""
+    found = join_per_key(rows, values, "k", how)
+    assert found.count() == (rows if how == "left" else rows.where("k <> '5'")).count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

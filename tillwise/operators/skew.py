@@ -18,7 +18,8 @@ def join_per_key(rows: DataFrame, values: DataFrame, key: str | list[str], how:
     a hash of ``deal_by`` (all columns unless given), and each value row is repeated for each part.
     No key is looked up beforehand, and a retried task deals as before. A hot key fills ``slices``
     tasks; 1 makes it a plain join. Keep ``values`` narrow, as it is repeated ``slices`` times.
-    ``how`` is inner or left.
+    The repeated values are merged, never broadcast: Spark's estimate knows neither their repeats nor
+    how well their files are packed. ``how`` is inner or left.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if how == "inner":
@@ -30,4 +31,4 @@ def join_per_key(rows: DataFrame, values: DataFrame, key: str | list[str], how:
     dealt = rows.withColumn("_slice", F.when(empty, F.pmod(part, F.lit(_NULL_SLICES)))
                             .otherwise(F.pmod(part, F.lit(slices))).cast("int"))
     repeated = values.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return dealt.join(repeated, [*keys, "_slice"], how).drop("_slice")
+    return dealt.join(repeated.hint("merge"), [*keys, "_slice"], how).drop("_slice")
