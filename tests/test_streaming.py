@@ -197,3 +197,27 @@ def test_windows_of_years_that_are_many_files(spark):
             spark.conf.set(k, v)
     # The last windows stay open.
     assert len(got) > 0.9 * len(whole) and set(map(str, got)) <= set(whole)
+
+
+@pytest.fixture
+def many_files(spark):
+    """Shuffles that keep all their partitions, so that tables come in many files."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_batches_do_not_grow_with_the_files(many_files, monkeypatch, tmp_path):
+    from tillwise.plans import queries
+
+    monkeypatch.setattr(scratch, "new_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    folder = "/root/testdata/sf0.001"
+    got = queries.stream_client_metrics(many_files, folder)
+    base = f"{tmp_path}/metrics"
+    assert len(messages.read_messages(many_files, f"{base}/messages").inputFiles()) > queries.BATCHES
+    for name, schema in (("orders", schemas.ENRICHED_ORDERS), ("metrics", schemas.CLIENT_METRICS)):
+        rows = streams.read_sink(many_files, f"{base}/{name}", schema)
+        assert 1 < rows.select("batch_id").distinct().count() <= queries.BATCHES
+    monkeypatch.undo()
+    assert same(got, queries.client_metrics(many_files, folder))

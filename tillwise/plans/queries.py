@@ -191,20 +191,31 @@ def undated_orders(spark, folder):
     return metrics.undated(_joined(spark, folder)).select("order_id", "client_id", "reason")
 
 
-# The same as streams, one file at a time --------------------------------------------------------
+# The same as streams, some files at a time -------------------------------------------------------
+
+# Batches of a stream over a folder. A batch has fixed costs, so their number does not grow with the
+# files; what a batch holds is shared by all tasks.
+BATCHES = 4
+
+
+def _a_batch(df):
+    """Files that each of the batches takes."""
+    return -(-len(df.inputFiles()) // BATCHES)
+
 
 def _clean_stream(spark, folder, base, form):
     path = f"{base}/messages"
     star.write_by_year(spark, folder, path)
     streams.start_cleaning(
-        messages.stream_messages(spark, path, max_files=1), *_dimensions(spark, folder),
+        messages.stream_messages(spark, path, _a_batch(messages.read_messages(spark, path))), *_dimensions(spark, folder),
         orders_path=f"{base}/orders", rejects_path=f"{base}/rejects", checkpoint=f"{base}/cleaning",
         form=form, available_now=True).awaitTermination()
 
 
 def _enriched_stream(spark, folder, base):
     _clean_stream(spark, folder, base, "joined")
-    return streams.stream_sink(spark, f"{base}/orders", schemas.ENRICHED_ORDERS, max_files=1)
+    found = streams.read_sink(spark, f"{base}/orders", schemas.ENRICHED_ORDERS)
+    return streams.stream_sink(spark, f"{base}/orders", schemas.ENRICHED_ORDERS, _a_batch(found))
 
 
 def stream_clean_orders(spark, folder):
