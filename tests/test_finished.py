@@ -257,3 +257,17 @@ def test_sketches_of_batches_count_within_their_error(spark, tmp_path):
     finished.start_distinct(spark, f"{tmp_path}/views", schema, group={"page": F.col("page")}, value="client_id",
                             path=f"{tmp_path}/sketches", checkpoint=f"{tmp_path}/check", available_now=True).awaitTermination()
     assert batches.read(spark, f"{tmp_path}/sketches", schema).select("writer", "batch_id").distinct().count() == 4
+
+
+def test_a_batch_of_one_file_is_parsed_by_many_tasks(spark, tmp_path):
+    base = str(tmp_path)
+    for name, df in (("clients", dimensions.client_dimension(table(spark, "clients", client("c0"), client("c1"), client("c2")))),
+                     ("products", dimensions.product_dimension(table(spark, "products", product("p0"), product("p1"))))):
+        finished.publish(df, f"{base}/{name}")
+    sent = texts(spark, *(body(i) for i in range(400))).repartition(1)
+    batches.append(sent, f"{base}/in", "shop", 0)
+    finished.start_cleaning(
+        spark, f"{base}/in", f"{base}/clients", f"{base}/products", orders_path=f"{base}/orders",
+        rejects_path=f"{base}/rejects", checkpoint=f"{base}/check", available_now=True).awaitTermination()
+    orders = batches.read(spark, f"{base}/orders", schemas.ENRICHED_ORDERS)
+    assert orders.count() == 400 and len(orders.inputFiles()) > 1

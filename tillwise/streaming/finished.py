@@ -88,7 +88,9 @@ def start_cleaning(spark: SparkSession, source: str, clients: str, products: str
             return
         versions = pinned(session, f"{orders_path}/_versions", writer, batch_id, dims)
         sides = [session.read.parquet(*(f"{dims[name]}/{f}" for f in versions[name])) for name in dims]
-        assessed = assess(messages).persist(StorageLevel.MEMORY_AND_DISK)  # both outputs, one parse
+        # A batch is few files, each one task of the scan; parsing costs more than dealing them out.
+        dealt = messages.repartition(int(session.conf.get("spark.sql.shuffle.partitions")))
+        assessed = assess(dealt).persist(StorageLevel.MEMORY_AND_DISK)  # both outputs, one parse
         try:
             batches.append(rejects_of(assessed), rejects_path, writer, batch_id)
             batches.append(enrich(accepted(assessed), *sides, form), orders_path, writer, batch_id)
