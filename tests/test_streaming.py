@@ -221,3 +221,15 @@ def test_batches_do_not_grow_with_the_files(many_files, monkeypatch, tmp_path):
         assert 1 < rows.select("batch_id").distinct().count() <= queries.BATCHES
     monkeypatch.undo()
     assert same(got, queries.client_metrics(many_files, folder))
+
+
+def test_messages_by_year_are_made_once_and_read_by_year(spark):
+    from tillwise.sources import star_schema
+
+    folder = "/root/testdata/sf0.001"
+    parts = list(star_schema.messages_by_year(spark, folder))
+    assert sorted(r.value for part in parts for r in part.collect()) == sorted(
+        r.value for r in star_schema.order_messages(spark, folder).collect())
+    for part in parts:
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "to_json" not in plan and "PartitionFilters: [is" in plan

@@ -190,13 +190,18 @@ def order_messages(spark: SparkSession, folder: str, placed: DataFrame | None =
 
 def messages_by_year(spark: SparkSession, folder: str) -> Iterator[DataFrame]:
     """The order stream in order of date, one table per year; orders without a date come first. The
-    years are those of the orders' first and last date. The orders are put together once and stored."""
-    placed = scratch.stored(spark, faulty_orders(spark, folder), "placed")
+    years are those of the orders' first and last date. All messages are made and stored by one job,
+    and a year reads its own files only."""
+    path = scratch.new_folder(spark, "placed")
+    placed = faulty_orders(spark, folder).withColumn("year", F.year("order_date"))
+    sent = order_messages(spark, folder, placed, "year")
+    sent.hint("rebalance", "year").write.partitionBy("year").parquet(path)
+    stored = spark.read.schema(sent.schema).parquet(path)
     ends = read(spark, folder, "orders").agg(
         F.year(F.min("o_orderdate")).alias("first"), F.year(F.max("o_orderdate")).alias("last")).first()
-    year = F.year("order_date")
+    year = F.col("year")
     for part in [year.isNull(), *(year == y for y in range(ends["first"] or 0, (ends["last"] or -1) + 1))]:
-        yield order_messages(spark, folder, placed.where(part))
+        yield stored.where(part).drop("year")
 
 
 def write_by_year(spark: SparkSession, folder: str, path: str) -> None:
