@@ -1,8 +1,10 @@
 """The streams give what the batch gives, in one batch or many, and after a restart."""
 
 import json
+import os
 
 import pytest
+from pyspark.sql import functions as F
 from rows import client, product, table
 
 from tillwise import schemas, scratch
@@ -233,3 +235,12 @@ def test_messages_by_year_are_made_once_and_read_by_year(spark):
     for part in parts:
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "to_json" not in plan and "PartitionFilters: [is" in plan
+
+
+def test_packed_dimensions_are_not_taken_for_small_ones(spark):
+    """A file of some megabytes holds more rows than a broadcast is to send."""
+    many = spark.range(1_500_000).select(F.col("id").cast("string").alias("client_id"), F.lit("same name").alias("name"))
+    clients = scratch.stored(spark, many.repartition(1), "packed")
+    assert sum(os.path.getsize(f.removeprefix("file://")) for f in clients.inputFiles()) < 10 << 20
+    joined = spark.range(9_000_000).select(F.col("id").cast("string").alias("client_id")).join(clients, "client_id")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()

@@ -16,6 +16,9 @@ RUNTIME = {
     # Split a hot join key even where that costs one more exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Columns in files are packed to about a tenth of their rows, and a broadcast side is its rows: without
+    # this a dimension of a million keys passes for a small one and is sent through the driver.
+    "spark.sql.sources.fileCompressionFactor": "10.0",
     # A retried map task that puts rows elsewhere than its first run restarts its consumers.
     "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
     "spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch": "true",
