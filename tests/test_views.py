@@ -193,3 +193,14 @@ def test_registered_names(spark):
     for name in [*tables, *catalog.all_views(tables)]:
         spark.sql(f"SELECT * FROM {name}").collect()
     assert spark.sql("SELECT revenue FROM v_top_products").collect()[0][0] == 10.0
+
+
+def test_top_products_counts_orders_without_a_distinct_table(spark):
+    """An order counts once per product, however many items name it; no task holds the pairs."""
+    items = table(spark, "order_items", item("a", "x", 1, 2.0), item("a", "x", 1, 2.0), item("b", "x", 1, 2.0),
+                  item("a", "y", 1, 2.0), item(None, "x", 1, 2.0), item("b", None, 1, 2.0))
+    found = views.top_products(items, table(spark, "products", product("x"), product("y")),
+                               table(spark, "orders", order("a", "c", 1.0), order("a", "c", 1.0), order("b", "c", 1.0)))
+    assert {r.product_id: (r.nb_orders, r.qty_sold) for r in found.collect()} == {"x": (2, 5), "y": (1, 2)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "distinct" not in plan and "keys=[product_id, order_id]" not in plan
