@@ -4,6 +4,8 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillwise.llm import minhash
@@ -93,3 +95,32 @@ def test_intersections_by_incidence():
     sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(20)]
     found = minhash._common(sets[:8], sets[8:])
     assert found.tolist() == [[len(np.intersect1d(a, b)) for b in sets[8:]] for a in sets[:8]]
+
+
+def _rows(sets, side):
+    """Rows of one block, each its own component."""
+    at = len(sets)
+    least = [minhash.minima(s) for s in sets]
+    node = pa.array([k + 1 for k in range(at)], pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([7] * at, pa.int64()), pa.array([0] * at, pa.int64()), pa.array([0] * at, pa.int64()),
+         pa.array([side] * at, pa.int32()), node, node, pa.array([s.tobytes() for s in sets], pa.binary()),
+         pa.array([(x >> np.uint32(24) ^ x & np.uint32(255)).astype(np.uint8).tobytes() for x in least], pa.binary())],
+        names=["bucket", "l", "r", "side", "node", "component", "shingles", "minima"])
+
+
+def test_links_of_a_large_group_are_a_forest():
+    """Two groups of near copies: all pairs of a group are links, and one fewer than its members come out."""
+    draw = np.random.default_rng(3)
+    sets = []
+    for _ in range(2):
+        base = np.unique(draw.integers(0, 1 << 63, 400, np.uint64))
+        sets += [np.sort(np.delete(base, k)) for k in range(60)]
+    out = list(minhash._cross_links(iter([_rows(sets, 0), _rows(sets, 1)])))
+    links = [(a, b) for part in out for a, b in zip(part["a"].to_pylist(), part["b"].to_pylist())]
+    assert len(links) == 2 * (60 - 1)
+    above = {k: k for k in range(1, 121)}
+    for _ in range(120):
+        for a, b in links:
+            above[a] = above[b] = min(above[a], above[b])
+    assert [above[k] for k in range(1, 121)] == [1] * 60 + [61] * 60

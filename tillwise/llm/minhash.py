@@ -8,12 +8,14 @@ shares no band, (1 - 0.8^ROWS)^BANDS, about 1e-7, and less for closer pairs.
 1. One pass over the texts gives each document its set's size, a 128-bit key and band keys from the
    minima of universal hash functions. Documents of one key hold one set, so only the first of them
    goes on: thousands of copies are one node.
-2. Each bucket of a band proposes its first member to the others; every document takes the smallest
-   proposal, and the pair is checked on the whole sets. This joins the bulk of any large group.
+2. Each bucket of a band proposes ``HEADS`` of its members to the others, the first in as many orders;
+   every document takes the first proposal of each order, and these pairs are checked on the whole sets.
+   This joins the bulk of any large group, also where its members differ from any one of them.
 3. Buckets that still hold several components compare the rows outside their largest component with
    all rows, block by block: first the signatures, then, for pairs that may reach the threshold, the
-   whole sets. A block returns a link per document and component at most. Pairs inside one
-   component could change nothing, so no link is lost, and no group is written out as pairs.
+   whole sets. A task returns a forest: a link only where it joins components that the links before
+   it left apart, so fewer links than it has rows. Pairs inside one component could change nothing
+   and are not compared, so no link is lost, and no group is written out as pairs.
 4. Components of all checked links by large-star and small-star.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; a row without
@@ -37,6 +39,8 @@ from tillwise.operators.skew import join_per_key
 WIDTH = 4
 BANDS, ROWS = 40, 5
 MINIMA = BANDS * ROWS
+# Members that a bucket proposes to the others.
+HEADS = 4
 # Agreement of signature bytes that a pair of similarity 0.8 misses with a chance below 1e-7.
 LEAST_AGREEMENT = 0.64
 # Rows of a block; whole sets travel in it, so it is kept small.
@@ -167,34 +171,63 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _links(left: _Side, right: _Side) -> Iterator[pa.RecordBatch]:
+class _Forest:
+    """Components that the links so far have joined, by their least."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        above = self.above
+        top = x
+        while top in above:
+            top = above[top]
+        while x != top:
+            above[x], x = top, above[x]
+        return top
+
+    def roots(self, groups: np.ndarray) -> np.ndarray:
+        return np.array([self.root(x) for x in groups.tolist()], np.int64)
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether the two were apart."""
+        x, y = sorted((self.root(x), self.root(y)))
+        if x < y:
+            self.above[y] = x
+        return x < y
+
+
+def _links(left: _Side, right: _Side, forest: _Forest) -> Iterator[pa.RecordBatch]:
     for i in left.parts(64):
         for j in right.parts(512):
+            apart = forest.roots(left.group[i])[:, None] != forest.roots(right.group[j])[None, :]
+            if not apart.any():
+                continue
             agree = (left.bytes[i][:, None, :] == right.bytes[j][None, :, :]).sum(axis=2, dtype=np.uint16)
-            may = (agree >= LEAST_AGREEMENT * MINIMA) & (left.group[i][:, None] != right.group[j][None, :])
+            may = (agree >= LEAST_AGREEMENT * MINIMA) & apart
             if not may.any():
                 continue
-            li, rj = i[may.any(axis=1)], j[may.any(axis=0)]
+            x, y = may.any(axis=1), may.any(axis=0)
+            li, rj = i[x], j[y]
             both = _common([left.sets[k] for k in li], [right.sets[k] for k in rj]).astype(np.int64)
             size = left.sizes[li][:, None] + right.sizes[rj][None, :]
-            hit = (100 * both >= 80 * (size - both)) & (left.group[li][:, None] != right.group[rj][None, :])
-            a, b = np.nonzero(hit)
-            if len(a):
-                # One link to each component is enough.
-                _, once = np.unique(np.stack([li[a], right.group[rj[b]]]), axis=1, return_index=True)
+            a, b = np.nonzero((100 * both >= 80 * (size - both)) & apart[np.ix_(x, y)])
+            new = [forest.join(p, q) for p, q in zip(left.group[li[a]].tolist(), right.group[rj[b]].tolist())]
+            if any(new):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(left.node[li[a[once]]]), pa.array(right.node[rj[b[once]]])], names=["a", "b"])
+                    [pa.array(left.node[li[a[new]]]), pa.array(right.node[rj[b[new]]])], names=["a", "b"])
 
 
 def _cross_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows (bucket, l, r, side, node, component, shingles, minima) to the links between the
-    left and the right rows of each block that differ in component."""
+    left and the right rows of each block that join components which the links before left apart."""
+    forest = _Forest()
 
     def compared(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(parts).combine_chunks()
         left, right = (rows.filter(pc.equal(rows["side"], s)) for s in (0, 1))
         if len(left) and len(right):
-            yield from _links(_Side(left), _Side(right))
+            yield from _links(_Side(left), _Side(right), forest)
 
     open_, key = [], None
     for batch in batches:
@@ -292,12 +325,18 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     same_id = split.join(placed, "doc_id").select("a", F.col("rep").alias("b"))
 
     entries = nodes.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
-    heads = entries.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("last"))
+    # The orders of heads: by id, then by hashes of it.
+    orders = [F.col("id"), *(F.xxhash64("id", F.lit(k)) for k in range(1, HEADS))]
+    least = [F.min(F.struct(by.alias("at"), F.col("id").alias("head"))).alias(f"h{k}") for k, by in enumerate(orders)]
+    heads = entries.groupBy("bucket").agg(*least, F.max("id").alias("last"))
     members = common.stored(
-        join_per_key(entries, heads.where("head < last").drop("last"), "bucket"), "members")
+        join_per_key(entries, heads.where("h0.head < last").drop("last"), "bucket"), "members")
     sets = common.stored(_sets_of(members.select(F.col("id").alias("doc_id")).distinct(), documents, width), "sets")
-    proposed = common.stored(members.where("head < id").groupBy("id").agg(F.min("head").alias("a"))
-                             .select("a", F.col("id").alias("b")), "proposed")
+    taken = members.groupBy("id").agg(*(F.min(f"h{k}").alias(f"h{k}") for k in range(HEADS)))
+    head = F.explode(F.array(*(F.col(f"h{k}.head") for k in range(HEADS))))
+    proposed = common.stored(
+        taken.select("id", head.alias("head")).where("head <> id")
+        .select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b")).distinct(), "proposed")
     known = common.stored(_checked(proposed, sets).unionByName(same_id), "links")
     rest = _unsettled(members, components(known, "a", "b"), sets, proposed)
     found = common.stored(known.unionByName(rest), "links")
