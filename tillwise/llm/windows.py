@@ -15,7 +15,8 @@ remains after the last gap makes windows of powers of two, which need no padding
 
 Pieces are numbered as they are written, so none is sorted: a task numbers its pieces per length, and
 sums of the tasks' counts give each task its place. So no length is one task. Texts are read once;
-tokens are kept only of pieces shorter than a window, and looked at again only for cut ones.
+tokens are kept only of pieces shorter than a window. Once the plan is made, the pieces that are given
+up are told by a few ranges of tasks and places, and only their tokens leave the files again.
 
 Defined results: a null text is empty and gives one piece with the end token alone; repeated rows are
 packed one by one; a null doc_id stays null; an empty table gives no rows. A very long text is
@@ -28,6 +29,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +46,7 @@ PART = 1 << 18
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BREAK = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
 
-PIECES = "task int, row long, doc_id long, start long, length int, ids_crc32 long, doc_tokens long, place long, ids binary"
+PIECES = "task int, doc_id long, start long, length int, ids_crc32 long, doc_tokens long, place long, ids binary"
 
 
 class Tokens:
@@ -92,8 +94,8 @@ def _cut(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _loaded:
             _loaded[path] = Tokens(path)
-        tokens, task, row, places = _loaded[path], TaskContext.get().partitionId(), 0, [0] * (CAPACITY + 1)
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        tokens, task, places = _loaded[path], TaskContext.get().partitionId(), [0] * (CAPACITY + 1)
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         names = [part.split()[0] for part in PIECES.split(", ")]
         for batch in batches:
             rows = []
@@ -102,10 +104,9 @@ def _cut(path: str):
                 for at in range(0, len(ids), CAPACITY):
                     piece = ids[at:at + CAPACITY].tobytes()
                     n = len(piece) // 4
-                    rows.append((task, row, doc_id, at, n, zlib.crc32(piece), len(ids), places[n],
+                    rows.append((task, doc_id, at, n, zlib.crc32(piece), len(ids), places[n],
                                  piece if n < CAPACITY else None))
                     places[n] += 1
-                    row += 1
             columns = list(zip(*rows)) or [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
     return run
@@ -225,6 +226,20 @@ class Plan:
     def sequences(self) -> int:
         return self.windows - sum(n for _, n, _, _ in self.given) + self.rest.bit_count()
 
+    def moved(self) -> list[tuple[int, int, int]]:
+        """(length, first place, last place) of the pieces that are given up, as ranges of places."""
+        given, found = sorted(self.given), []
+        firsts = [first for first, *_ in given]
+        for length, placed, windows, each, first, _ in sorted(self.runs):
+            for begin, n, _, _ in given[max(bisect(firsts, first) - 1, 0):bisect(firsts, first + windows - 1)]:
+                low, end = max(first, begin), min(first + windows, begin + n)
+                if low < end:
+                    low, last = placed + (low - first) * each, placed + (end - first) * each - 1
+                    if found and found[-1][0] == length and found[-1][2] == low - 1:
+                        low = found.pop()[1]
+                    found.append((length, low, last))
+        return found
+
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         runs = np.array(sorted(self.runs), np.int64).reshape(-1, 6)
         return (runs, np.array(sorted(self.given), np.int64).reshape(-1, 4), np.array(self.gaps, np.int64).reshape(-1, 4))
@@ -254,11 +269,12 @@ def _placed(plan: Plan):
                     row, skip, size, window, offset = (np.concatenate((x, y)) for x, y in (
                         (stay, parts[:, 0]), (skip[stay], parts[:, 1]), (length[stay], parts[:, 2]),
                         (window[stay], parts[:, 3]), (offset[stay], parts[:, 4])))
-            out = pa.Table.from_batches([batch.select(["task", "row", "doc_id", "start", "ids_crc32", "doc_tokens"])]).take(pa.array(row))
-            whole = size == length[row]
+            out = pa.Table.from_batches([batch.select(["doc_id", "start", "ids_crc32", "doc_tokens"])]).take(pa.array(row))
+            crc32, held = out["ids_crc32"].to_numpy().copy(), batch.column("ids")
+            for i in np.flatnonzero(size < length[row]).tolist():
+                crc32[i] = zlib.crc32(held[int(row[i])].as_py()[4 * skip[i]:4 * (skip[i] + size[i])])
             yield from pa.table({
-                "task": out["task"], "row": out["row"], "doc_id": out["doc_id"], "skip": skip,
-                "start": out["start"].to_numpy() + skip, "length": size, "ids_crc32": pa.array(out["ids_crc32"].to_numpy(), mask=~whole),
+                "doc_id": out["doc_id"], "start": out["start"].to_numpy() + skip, "length": size, "ids_crc32": crc32,
                 "doc_tokens": out["doc_tokens"], "sequence_id": window, "offset": offset}).to_batches()
 
     def _parts(token: int, n: int) -> Iterator[tuple[int, int, int, int]]:
@@ -276,8 +292,27 @@ def _placed(plan: Plan):
     return run
 
 
-PLACED = ("task int, row long, doc_id long, skip long, start long, length long, ids_crc32 long, doc_tokens long, "
-          "sequence_id long, offset long")
+PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+
+
+def _lightened(cut: DataFrame, first: DataFrame, moved: list[tuple[int, int, int]]) -> DataFrame:
+    """Pieces, of which only those in the ranges of places still hold their tokens.
+
+    Pieces of one length are placed by task and number, so a range of places goes from a task and
+    number to another: there are as many of these as the plan has ranges, whatever the number of tasks.
+    """
+    if not moved:
+        return cut.withColumn("ids", F.lit(None).cast("binary"))
+    spark, spot = cut.sparkSession, lambda at: F.shiftleft(F.col("task").cast("long"), 40) + F.col(at)
+    ends = spark.createDataFrame(sorted({(length, at) for length, *both in moved for at in both}), "length int, rank long")
+    found = (first.join(F.broadcast(ends), "length").where("rank >= first AND rank < first + n")
+             .withColumn("place", F.expr("rank - first")))
+    spots = {(r.length, r.rank): r.spot for r in found.select("length", "rank", spot("place").alias("spot")).collect()}
+    ranges = spark.createDataFrame([(length, spots[length, low], spots[length, last]) for length, low, last in moved],
+                                   "of int, low long, last long")
+    inside = (F.col("length") == F.col("of")) & spot("place").between(F.col("low"), F.col("last"))
+    return (cut.join(F.broadcast(ranges), inside, "left")
+            .withColumn("ids", F.when(F.col("of").isNotNull(), F.col("ids"))).drop("of", "low", "last"))
 
 
 def pack(documents: DataFrame, path: str) -> DataFrame:
@@ -289,16 +324,8 @@ def pack(documents: DataFrame, path: str) -> DataFrame:
     counts = {r.length: r.n for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = Plan(counts)
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    first = cells.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
-    placed = (cut.drop("ids").join(first, ["task", "length"])
-              .withColumn("rank", F.col("first") + F.col("place"))
-              .select("task", "row", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank")
-              .mapInArrow(_placed(plan), PLACED))
-    columns = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
-    if not plan.given:
-        return placed.select(*columns)
-    placed = common.stored(placed, "placed")
-    split = common.stored(placed.where("ids_crc32 IS NULL"), "split")
-    mended = (split.drop("ids_crc32").join(cut.where("ids IS NOT NULL").select("task", "row", "ids"), ["task", "row"])
-              .withColumn("ids_crc32", F.expr("crc32(substring(ids, CAST(4 * skip + 1 AS INT), CAST(4 * length AS INT)))")))
-    return placed.where("ids_crc32 IS NOT NULL").select(*columns).unionByName(mended.select(*columns))
+    first = cells.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    return (_lightened(cut, first, plan.moved()).join(first.drop("n"), ["task", "length"])
+            .withColumn("rank", F.col("first") + F.col("place"))
+            .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank", "ids")
+            .mapInArrow(_placed(plan), PLACED))
