@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from exchanges import shuffled_bytes
 
 from tillwise.llm import windows
 
@@ -146,21 +147,6 @@ def test_empty_table(spark):
     assert df.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-def shuffled_bytes(df):
-    """What the exchanges of a query that has run have written."""
-    def walk(node):
-        kind = node.getClass().getSimpleName()
-        if kind == "AdaptiveSparkPlanExec":
-            return walk(node.executedPlan())
-        if kind.endswith("QueryStageExec"):
-            return walk(node.plan())
-        own = node.metrics().apply("dataSize").value() if kind == "ShuffleExchangeExec" else 0
-        children = node.children()
-        return own + sum(walk(children.apply(i)) for i in range(children.size()))
-
-    return walk(df._jdf.queryExecution().executedPlan())
-
-
 def test_only_tokens_of_pieces_that_are_given_up_travel(spark, monkeypatch):
     # No small side is broadcast, as on large tables; 400 windows are left with gaps of 324 tokens and of 24, which five pieces of 1,000 fill.
     rows = [*((i, "a" + " b" * 998) for i in range(400)), *((400 + i, "c" + " d" * 698) for i in range(20))]

@@ -1,0 +1,51 @@
+"""What a round trip of a table has lost, added or altered."""
+
+from datetime import datetime
+
+import pytest
+from exchanges import shuffled_bytes
+from pyspark.sql import functions as F
+
+from tillwise import scratch
+from tillwise.plans import queries
+
+KIND = "a string, b string, n int, x double, at timestamp"
+NOON = datetime(2024, 1, 1, 12)
+ROWS = [("a", None, 1, 0.5, NOON), ("a", None, 1, 0.5, NOON), (None, "a", 1, 0.5, NOON), ("", "b", None, None, None),
+        (None, None, None, None, None), ("z", "z", 0, 0.0, NOON), ("n", "n", 0, float("nan"), NOON)]
+
+
+@pytest.mark.parametrize("after, changed", [
+    (ROWS[::-1], 0),
+    (ROWS[1:], 1),                                      # one of two equal rows is lost
+    ([*ROWS, ROWS[0]], 1),
+    ([*ROWS[:-2], ("z", "z", 0, -0.0, NOON), ROWS[-1]], 0),   # equal to SQL
+    ([(None, "a", 1, 0.5, NOON), *ROWS[1:]], 2),        # a null in another column
+    ([("a", "", 1, 0.5, NOON), *ROWS[1:]], 2),
+    ([ROWS[2], *ROWS[2:]], 3),                          # two of one row for one of another
+    ([], 7),
+])
+def test_changes_are_counted_row_by_row(spark, after, changed):
+    before = spark.createDataFrame(ROWS, KIND)
+    got = queries._changes(before, spark.createDataFrame(after, KIND), "t")
+    assert [tuple(r) for r in got.collect()] == [("t", 7, changed)]
+    assert got.dtypes == [("table_name", "string"), ("n_rows", "bigint"), ("n_changed", "bigint")]
+
+
+def test_no_rows_at_all(spark):
+    empty = spark.createDataFrame([], KIND)
+    assert queries._changes(empty, empty, "t").collect() == [("t", 0, 0)]
+    assert queries._changes(empty, spark.createDataFrame(ROWS, KIND), "t").collect() == [("t", 0, 7)]
+
+
+def test_rows_that_came_back_are_not_moved(spark, monkeypatch):
+    rows = spark.range(20_000).select(F.col("id").cast("string"), F.repeat(F.lit("x"), 1000).alias("text"))
+    seen, stored = [], scratch.stored
+    monkeypatch.setattr(scratch, "stored", lambda spark, df, purpose: (seen.append(df), stored(spark, df, purpose))[1])
+    got = queries._changes(rows, rows.repartition(4), "t")
+    assert got.collect() == [("t", 20_000, 0)]
+    own = rows.repartition(4)
+    for df in (*seen, own):
+        df.collect()
+    # Without what the second side itself has moved.
+    assert sum(map(shuffled_bytes, [got, *seen])) - shuffled_bytes(own) < 2_000_000
