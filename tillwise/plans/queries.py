@@ -372,7 +372,7 @@ def _changes(before, after, name):
     both = (before.withColumn("_sign", F.lit(1)).unionByName(after.select(columns).withColumn("_sign", F.lit(-1)))
             .withColumns({"_hash": F.xxhash64(*row), "_other": F.xxhash64(F.lit(name), *row)})
             .withColumn("_slice", F.pmod("_hash", F.lit(SLICES))))
-    # Hashes are summed up by halves, which no number of rows of a slice makes too large.
+    # Hashes are summed up by halves: a bigint holds the sums of 2^31 rows of a slice.
     halves = [half for h in map(F.col, hashes) for half in (h.bitwiseAND(0xFFFFFFFF), F.shiftright(h, 32))]
     left = {"_left": F.sum("_sign")} | {f"_sum{i}": F.sum(F.col("_sign") * half) for i, half in enumerate(halves)}
     slices = scratch.stored(before.sparkSession, both.groupBy("_slice").agg(
